@@ -37,8 +37,11 @@ gives one well-defined answer; costs must be strictly positive.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+import time
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -227,6 +230,20 @@ def _target_bound(state: DataFrame, targets: DataFrame, scen: list[str]) -> Data
     return per.where(F.col("missing") == 0).select(*scen, "source", "bound")
 
 
+@contextmanager
+def _static_plan(spark: SparkSession):
+    """Plan without adaptive execution, so a checkpoint records the hash
+    partitioning it was written with (and later joins on the same keys reuse
+    it instead of shuffling the checkpointed side again)."""
+    key = "spark.sql.adaptive.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def _edge_stats(prepared: DataFrame) -> tuple[int, object]:
     row = prepared.agg(F.count(F.lit(1)).alias("n"), F.min("cost").alias("min_cost")).first()
     return int(row["n"]), row["min_cost"]
@@ -236,7 +253,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
                    with_path: bool = True, max_rounds: int | None = None,
                    targets: DataFrame | None = None, broadcast_max_edges: int = 200_000,
                    fanout_chunk: int = 50_000, partitions: int | None = None,
-                   stats: dict | None = None) -> DataFrame:
+                   checkpoint_every: int = 1, stats: dict | None = None) -> DataFrame:
     """Least-cost distance (and path) from every source to every reachable vertex.
 
     edges   : <scen>, src, dst, cost (cost > 0; parallel edges allowed)
@@ -246,21 +263,30 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
               still lists every settled vertex, but only the targets are
               guaranteed final.
     Result  : <scen>, source, id, dist, path (array incl. both ends), hops
+
+    Every round's state is persisted (memory, spilling to disk) and counted
+    once; every ``checkpoint_every`` rounds it is also checkpointed to
+    ``spark.checkpoint.dir`` so that recovery after a lost executor replays
+    at most that many rounds.
     """
     scen = _cols(scenario_cols)
     spark = edges.sparkSession
     checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    prepared = prepare_edges(edges, scen, fanout_chunk)
+    prepared = prepare_edges(edges, scen, fanout_chunk).persist(StorageLevel.MEMORY_AND_DISK)
     n_edges, min_cost = _edge_stats(prepared)
     if n_edges and min_cost is not None and min_cost <= 0:
+        prepared.unpersist()
         raise ValueError(f"edge costs must be > 0, found {min_cost}")
     broadcast_edges = n_edges <= broadcast_max_edges
-    if broadcast_edges:
-        prepared = prepared.checkpoint(eager=True)
-    else:
-        prepared = prepared.repartition(n_parts, *scen, "src", "chunk").checkpoint(eager=True)
+    with _static_plan(spark):
+        if broadcast_edges:
+            cut = prepared.checkpoint(eager=True)
+        else:
+            cut = prepared.repartition(n_parts, *scen, "src", "chunk").checkpoint(eager=True)
+    prepared.unpersist()
+    prepared = cut
 
     id_type = prepared.schema["src"].dataType
     sources = sources.select(*scen, F.col("source").cast(id_type).alias("source"))
@@ -268,26 +294,39 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
         targets = targets.select(*scen, F.col("source").cast(id_type).alias("source"),
                                  F.col("target").cast(id_type).alias("target")).cache()
     state = seed_state(prepared, sources, scen, with_path)
-    state = state.repartition(n_parts, *scen, "source", "id").checkpoint(eager=True)
+    with _static_plan(spark):
+        state = state.repartition(n_parts, *scen, "source", "id").checkpoint(eager=True)
 
     rounds = 0
-    frontier_sizes = []
-    while True:
-        n_changed = state.where(F.col("changed")).count()
-        frontier_sizes.append(n_changed)
-        if n_changed == 0:
-            break
+    t_round = [time.perf_counter()]
+    n_changed = state.where(F.col("changed")).count()
+    frontier_sizes = [n_changed]
+    held = None                         # persisted (not checkpointed) state, if any
+    while n_changed:
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"no fixpoint after {max_rounds} rounds "
                                f"({n_changed} vertices still improving)")
         bound = _target_bound(state, targets, scen) if targets is not None else None
-        state = relax(state, prepared, scen, with_path, broadcast_edges, bound).checkpoint(eager=True)
+        nxt = relax(state, prepared, scen, with_path, broadcast_edges, bound)
+        nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+        n_changed = nxt.where(F.col("changed")).count()   # materialises the whole round once
         rounds += 1
+        frontier_sizes.append(n_changed)
+        if held is not None:
+            held.unpersist()
+        held = nxt
+        if rounds % checkpoint_every == 0 or not n_changed:
+            nxt = nxt.checkpoint(eager=True)                # written from the cache
+            held.unpersist()
+            held = None
+        state = nxt
+        t_round.append(time.perf_counter())
     if targets is not None:
         targets.unpersist()
     if stats is not None:
         stats.update(rounds=rounds, edges=n_edges, broadcast_edges=broadcast_edges,
-                     frontier=frontier_sizes)
+                     frontier=frontier_sizes,
+                     round_s=[round(b - a, 2) for a, b in zip(t_round, t_round[1:])])
     out = state.select(*scen, "source", "id", "dist", "path")
     if with_path:
         return out.withColumn("hops", F.size("path") - 1)

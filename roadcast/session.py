@@ -37,6 +37,7 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
     """Build (or reuse) a session with the package conventions applied."""
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in {**SESSION_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
