@@ -22,11 +22,14 @@ Scale notes
   frontier row is replicated once per chunk of its vertex and joined on
   (scenario, src, chunk), so no single task expands a whole hub.
 * Candidates are pre-aggregated map-side (``min`` is partial) before the
-  shuffle on (scenario, source, target); the state is kept hash-partitioned on
-  the same keys, so the merge join does not shuffle the state again.
-* Edges are broadcast only when their counted size is below
-  ``broadcast_max_edges``; otherwise they are checkpointed once, partitioned
-  on the join keys.
+  shuffle on (scenario, source, target).  The merge with the state is a
+  full outer join on the same keys, so the state is shuffled once per round
+  (its size is the number of reached (scenario, source, vertex) rows).
+* Edges are checkpointed once, hash-partitioned on the join keys
+  (scenario, src, chunk), so each round only the frontier is shuffled to
+  them.  Broadcasting them instead (``broadcast_max_edges``, off by
+  default) re-ships every edge every round and only pays off for tiny
+  graphs; the decision is taken on the counted edge number.
 * Lineage is cut with reliable ``checkpoint()`` (``spark.checkpoint.dir``),
   so a lost executor re-reads the last round instead of replaying the loop.
 
@@ -131,16 +134,21 @@ def aggregate_messages(vertices: DataFrame, edges: DataFrame, agg=F.min,
 # Routing state
 # --------------------------------------------------------------------------
 def prepare_edges(edges: DataFrame, scenario_cols: Sequence[str] = (),
-                  fanout_chunk: int = 50_000) -> DataFrame:
+                  fanout_chunk: int = 50_000, max_out_degree: int | None = None) -> DataFrame:
     """Collapse parallel edges to their minimum and split hot adjacency lists.
 
     Output: <scen>, src, chunk, dst, cost, dst_chunks.  ``chunk`` is a hash
     bucket of the edge inside the adjacency list of ``src`` (one bucket unless
     the out-degree exceeds ``fanout_chunk``); ``dst_chunks`` is the number of
-    buckets of the target (1 for vertices without out-edges).
+    buckets of the target (1 for vertices without out-edges).  When the
+    largest out-degree is known to be within one chunk (``max_out_degree``),
+    the degree joins are skipped.
     """
     scen = _cols(scenario_cols)
     e = edges.groupBy(*scen, "src", "dst").agg(F.min("cost").alias("cost"))
+    if max_out_degree is not None and max_out_degree <= fanout_chunk:
+        return e.select(*scen, "src", F.lit(0).alias("chunk"), "dst", "cost",
+                        F.lit(1).alias("dst_chunks"))
     deg = (e.groupBy(*scen, "src").agg(F.count(F.lit(1)).alias("deg"))
            .select(*scen, "src",
                    ((F.col("deg") + (fanout_chunk - 1)) / F.lit(fanout_chunk))
@@ -154,6 +162,15 @@ def prepare_edges(edges: DataFrame, scenario_cols: Sequence[str] = (),
                     F.coalesce(F.col("dst_chunks"), F.lit(1)).alias("dst_chunks")))
 
 
+def out_degree_stats(edges: DataFrame, scenario_cols: Sequence[str] = ()) -> tuple[int, int, object]:
+    """(distinct edges, largest out-degree, smallest cost) in one aggregation job."""
+    scen = _cols(scenario_cols)
+    e = edges.groupBy(*scen, "src", "dst").agg(F.min("cost").alias("cost"))
+    deg = e.groupBy(*scen, "src").agg(F.count(F.lit(1)).alias("deg"), F.min("cost").alias("mc"))
+    row = deg.agg(F.sum("deg").alias("n"), F.max("deg").alias("d"), F.min("mc").alias("c")).first()
+    return int(row["n"] or 0), int(row["d"] or 0), row["c"]
+
+
 def _better(d_new: Column, p_new: Column, d_old: Column, p_old: Column) -> Column:
     """Strictly smaller (dist, path) -- path breaks ties lexicographically."""
     return d_new.isNotNull() & (d_old.isNull() | (F.struct(d_new.alias("d"), p_new.alias("p"))
@@ -244,16 +261,12 @@ def _static_plan(spark: SparkSession):
         spark.conf.set(key, old)
 
 
-def _edge_stats(prepared: DataFrame) -> tuple[int, object]:
-    row = prepared.agg(F.count(F.lit(1)).alias("n"), F.min("cost").alias("min_cost")).first()
-    return int(row["n"]), row["min_cost"]
-
-
 def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence[str] = (),
                    with_path: bool = True, max_rounds: int | None = None,
-                   targets: DataFrame | None = None, broadcast_max_edges: int = 200_000,
+                   targets: DataFrame | None = None, broadcast_max_edges: int = 0,
                    fanout_chunk: int = 50_000, partitions: int | None = None,
-                   checkpoint_every: int = 1, stats: dict | None = None) -> DataFrame:
+                   checkpoint_every: int = 1, steps_per_round: int = 1,
+                   stats: dict | None = None) -> DataFrame:
     """Least-cost distance (and path) from every source to every reachable vertex.
 
     edges   : <scen>, src, dst, cost (cost > 0; parallel edges allowed)
@@ -274,19 +287,16 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
     checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    prepared = prepare_edges(edges, scen, fanout_chunk).persist(StorageLevel.MEMORY_AND_DISK)
-    n_edges, min_cost = _edge_stats(prepared)
+    n_edges, max_deg, min_cost = out_degree_stats(edges, scen)
     if n_edges and min_cost is not None and min_cost <= 0:
-        prepared.unpersist()
         raise ValueError(f"edge costs must be > 0, found {min_cost}")
+    prepared = prepare_edges(edges, scen, fanout_chunk, max_out_degree=max_deg)
     broadcast_edges = n_edges <= broadcast_max_edges
     with _static_plan(spark):
         if broadcast_edges:
-            cut = prepared.checkpoint(eager=True)
+            prepared = prepared.checkpoint(eager=True)
         else:
-            cut = prepared.repartition(n_parts, *scen, "src", "chunk").checkpoint(eager=True)
-    prepared.unpersist()
-    prepared = cut
+            prepared = prepared.repartition(n_parts, *scen, "src", "chunk").checkpoint(eager=True)
 
     id_type = prepared.schema["src"].dataType
     sources = sources.select(*scen, F.col("source").cast(id_type).alias("source"))
@@ -294,8 +304,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
         targets = targets.select(*scen, F.col("source").cast(id_type).alias("source"),
                                  F.col("target").cast(id_type).alias("target")).cache()
     state = seed_state(prepared, sources, scen, with_path)
-    with _static_plan(spark):
-        state = state.repartition(n_parts, *scen, "source", "id").checkpoint(eager=True)
+    state = state.checkpoint(eager=True)
 
     rounds = 0
     t_round = [time.perf_counter()]
@@ -307,7 +316,9 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
             raise RuntimeError(f"no fixpoint after {max_rounds} rounds "
                                f"({n_changed} vertices still improving)")
         bound = _target_bound(state, targets, scen) if targets is not None else None
-        nxt = relax(state, prepared, scen, with_path, broadcast_edges, bound)
+        nxt = state
+        for _ in range(steps_per_round):
+            nxt = relax(nxt, prepared, scen, with_path, broadcast_edges, bound)
         nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
         n_changed = nxt.where(F.col("changed")).count()   # materialises the whole round once
         rounds += 1
