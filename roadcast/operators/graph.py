@@ -133,8 +133,15 @@ def aggregate_messages(vertices: DataFrame, edges: DataFrame, agg=F.min,
 # --------------------------------------------------------------------------
 # Routing state
 # --------------------------------------------------------------------------
+def collapse_edges(edges: DataFrame, scenario_cols: Sequence[str] = ()) -> DataFrame:
+    """One edge per (scenario, src, dst) with the minimum cost (same routes)."""
+    scen = _cols(scenario_cols)
+    return edges.groupBy(*scen, "src", "dst").agg(F.min("cost").alias("cost"))
+
+
 def prepare_edges(edges: DataFrame, scenario_cols: Sequence[str] = (),
-                  fanout_chunk: int = 50_000, max_out_degree: int | None = None) -> DataFrame:
+                  fanout_chunk: int = 50_000, max_out_degree: int | None = None,
+                  collapsed: bool = False) -> DataFrame:
     """Collapse parallel edges to their minimum and split hot adjacency lists.
 
     Output: <scen>, src, chunk, dst, cost, dst_chunks.  ``chunk`` is a hash
@@ -145,7 +152,7 @@ def prepare_edges(edges: DataFrame, scenario_cols: Sequence[str] = (),
     the degree joins are skipped.
     """
     scen = _cols(scenario_cols)
-    e = edges.groupBy(*scen, "src", "dst").agg(F.min("cost").alias("cost"))
+    e = edges if collapsed else collapse_edges(edges, scen)
     if max_out_degree is not None and max_out_degree <= fanout_chunk:
         return e.select(*scen, "src", F.lit(0).alias("chunk"), "dst", "cost",
                         F.lit(1).alias("dst_chunks"))
@@ -162,10 +169,11 @@ def prepare_edges(edges: DataFrame, scenario_cols: Sequence[str] = (),
                     F.coalesce(F.col("dst_chunks"), F.lit(1)).alias("dst_chunks")))
 
 
-def out_degree_stats(edges: DataFrame, scenario_cols: Sequence[str] = ()) -> tuple[int, int, object]:
+def out_degree_stats(edges: DataFrame, scenario_cols: Sequence[str] = (),
+                     collapsed: bool = False) -> tuple[int, int, object]:
     """(distinct edges, largest out-degree, smallest cost) in one aggregation job."""
     scen = _cols(scenario_cols)
-    e = edges.groupBy(*scen, "src", "dst").agg(F.min("cost").alias("cost"))
+    e = edges if collapsed else collapse_edges(edges, scen)
     deg = e.groupBy(*scen, "src").agg(F.count(F.lit(1)).alias("deg"), F.min("cost").alias("mc"))
     row = deg.agg(F.sum("deg").alias("n"), F.max("deg").alias("d"), F.min("mc").alias("c")).first()
     return int(row["n"] or 0), int(row["d"] or 0), row["c"]
@@ -238,9 +246,16 @@ def relax(state: DataFrame, prepared: DataFrame, scenario_cols: Sequence[str] =
 
 
 def _target_bound(state: DataFrame, targets: DataFrame, scen: list[str]) -> DataFrame:
-    """Per (scenario, source): max distance over its targets once all are reached."""
-    per = (targets.select(*scen, "source", F.col("target").alias("id")).distinct()
-           .join(state.select(*scen, "source", "id", "dist"), [*scen, "source", "id"], "left")
+    """Per (scenario, source): max distance over its targets once all are reached.
+
+    ``targets`` is small (its size was counted) and broadcast, so the state is
+    filtered in place instead of being shuffled to the targets.
+    """
+    reached = state.select(*scen, "source", "id", "dist").join(
+        F.broadcast(targets.select(*scen, "source", F.col("target").alias("id"))),
+        [*scen, "source", "id"], "left_semi")
+    per = (targets.select(*scen, "source", F.col("target").alias("id"))
+           .join(reached, [*scen, "source", "id"], "left")
            .groupBy(*scen, "source")
            .agg(F.max("dist").alias("bound"),
                 F.count_if(F.col("dist").isNull()).alias("missing")))
@@ -266,15 +281,17 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
                    targets: DataFrame | None = None, broadcast_max_edges: int = 0,
                    fanout_chunk: int = 50_000, partitions: int | None = None,
                    checkpoint_every: int = 1, steps_per_round: int = 1,
+                   edges_collapsed: bool = False, prune_max_targets: int = 1_000,
                    stats: dict | None = None) -> DataFrame:
     """Least-cost distance (and path) from every source to every reachable vertex.
 
     edges   : <scen>, src, dst, cost (cost > 0; parallel edges allowed)
     sources : <scen>, source
     targets : optional <scen>, source, target -- only used to prune the
-              frontier once every target of a source is reached; the result
-              still lists every settled vertex, but only the targets are
-              guaranteed final.
+              frontier once every target of a source is reached (when there
+              are at most ``prune_max_targets`` of them; they are broadcast);
+              the result still lists every settled vertex, but only the
+              targets are guaranteed final.
     Result  : <scen>, source, id, dist, path (array incl. both ends), hops
 
     Every round's state is persisted (memory, spilling to disk) and counted
@@ -287,22 +304,30 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
     checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    n_edges, max_deg, min_cost = out_degree_stats(edges, scen)
+    # the edge source (possibly an aggregation over a huge fact table) is read once
+    collapsed = edges if edges_collapsed else collapse_edges(edges, scen)
+    collapsed = collapsed.persist(StorageLevel.MEMORY_AND_DISK)
+    n_edges, max_deg, min_cost = out_degree_stats(collapsed, scen, collapsed=True)
     if n_edges and min_cost is not None and min_cost <= 0:
+        collapsed.unpersist()
         raise ValueError(f"edge costs must be > 0, found {min_cost}")
-    prepared = prepare_edges(edges, scen, fanout_chunk, max_out_degree=max_deg)
+    prepared = prepare_edges(collapsed, scen, fanout_chunk, max_out_degree=max_deg, collapsed=True)
     broadcast_edges = n_edges <= broadcast_max_edges
     with _static_plan(spark):
         if broadcast_edges:
             prepared = prepared.checkpoint(eager=True)
         else:
             prepared = prepared.repartition(n_parts, *scen, "src", "chunk").checkpoint(eager=True)
+    collapsed.unpersist()
 
     id_type = prepared.schema["src"].dataType
     sources = sources.select(*scen, F.col("source").cast(id_type).alias("source"))
     if targets is not None:
         targets = targets.select(*scen, F.col("source").cast(id_type).alias("source"),
-                                 F.col("target").cast(id_type).alias("target")).cache()
+                                 F.col("target").cast(id_type).alias("target")).distinct().cache()
+        if targets.count() > prune_max_targets:   # too many to broadcast: no pruning
+            targets.unpersist()
+            targets = None
     state = seed_state(prepared, sources, scen, with_path)
     state = state.checkpoint(eager=True)
 
@@ -360,6 +385,9 @@ def route(edges: DataFrame, pairs: DataFrame, scenario_cols: Sequence[str] = (),
     id_type = edges.schema["src"].dataType
     pairs = pairs.select(*scen, F.col("src").cast(id_type).alias("src"),
                          F.col("dst").cast(id_type).alias("dst")).distinct()
+    checkpoint_dir(edges.sparkSession)
+    # read the edge source once: vertex set, routing and status all use this copy
+    edges = collapse_edges(edges, scen).checkpoint(eager=True)
     verts = graph_vertices(edges, scen, vertices)
     known_src = verts.select(*scen, F.col("id").alias("src"), F.lit(True).alias("src_known"))
     known_dst = verts.select(*scen, F.col("id").alias("dst"), F.lit(True).alias("dst_known"))
@@ -374,7 +402,7 @@ def route(edges: DataFrame, pairs: DataFrame, scenario_cols: Sequence[str] = (),
         usable_edges = edges.join(verts.select(*scen, F.col("id").alias("dst")), [*scen, "dst"],
                                   "left_semi")
     sp = shortest_paths(usable_edges, sources, scen, with_path=True,
-                        targets=targets if prune else None, **kw)
+                        targets=targets if prune else None, edges_collapsed=True, **kw)
     reached = sp.select(*scen, F.col("source").alias("src"), F.col("id").alias("dst"),
                         F.col("dist").alias("total"), "path", "hops")
     res = checked.join(reached, [*scen, "src", "dst"], "left")
