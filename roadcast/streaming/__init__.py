@@ -1,0 +1,6 @@
+"""Streaming operators.
+
+The analysed application has no streaming part (no stream sources or sinks,
+watermarks or stateful operators), so nothing is built here.  Prepared
+datasets are batch Parquet/JSON tables (see ``roadcast.sources.files``).
+"""
