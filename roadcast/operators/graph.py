@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, scratch_path
 
 STATUS_OK = "ok"
 STATUS_SRC_MISSING = "src_missing"
@@ -282,7 +282,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
                    fanout_chunk: int = 50_000, partitions: int | None = None,
                    checkpoint_every: int = 1, steps_per_round: int = 1,
                    edges_collapsed: bool = False, prune_max_targets: int = 1_000,
-                   stats: dict | None = None) -> DataFrame:
+                   state_store: str = "table", stats: dict | None = None) -> DataFrame:
     """Least-cost distance (and path) from every source to every reachable vertex.
 
     edges   : <scen>, src, dst, cost (cost > 0; parallel edges allowed)
@@ -336,6 +336,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
     n_changed = state.where(F.col("changed")).count()
     frontier_sizes = [n_changed]
     held = None                         # persisted (not checkpointed) state, if any
+    table_base = scratch_path(spark, "route-state") if state_store == "table" else None
     while n_changed:
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"no fixpoint after {max_rounds} rounds "
@@ -344,17 +345,25 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
         nxt = state
         for _ in range(steps_per_round):
             nxt = relax(nxt, prepared, scen, with_path, broadcast_edges, bound)
-        nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        n_changed = nxt.where(F.col("changed")).count()   # materialises the whole round once
         rounds += 1
+        if table_base is not None:
+            # one job writes the round; two alternating folders bound the disk
+            # use, and the next round reads only files (no lineage)
+            path = f"{table_base}/s{rounds % 2}"
+            nxt.write.mode("overwrite").parquet(path)
+            nxt = spark.read.schema(nxt.schema).parquet(path)
+            n_changed = nxt.where(F.col("changed")).count()
+        else:
+            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+            n_changed = nxt.where(F.col("changed")).count()   # materialises the round once
+            if held is not None:
+                held.unpersist()
+            held = nxt
+            if rounds % checkpoint_every == 0 or not n_changed:
+                nxt = nxt.checkpoint(eager=True)                # written from the cache
+                held.unpersist()
+                held = None
         frontier_sizes.append(n_changed)
-        if held is not None:
-            held.unpersist()
-        held = nxt
-        if rounds % checkpoint_every == 0 or not n_changed:
-            nxt = nxt.checkpoint(eager=True)                # written from the cache
-            held.unpersist()
-            held = None
         state = nxt
         t_round.append(time.perf_counter())
     if targets is not None:
