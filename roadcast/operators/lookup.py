@@ -49,6 +49,17 @@ def newest_rows(df: DataFrame, period: str) -> DataFrame:
     return df.join(newest, F.col(period) == F.col("_newest")).drop("_newest")
 
 
+def keys_in_newest(df: DataFrame, key: str | Sequence[str], period: str) -> DataFrame:
+    """Keys that occur in the newest ``period`` of ``df``.
+
+    One partial aggregation (newest period per key); the overall newest
+    period is then taken over that per-key table, not over the facts.
+    """
+    k = _keys(key)
+    per_key = df.groupBy(*k).agg(F.max(period).alias("_p"))
+    return newest_rows(per_key, "_p").select(*k)
+
+
 def conform_to_latest(df: DataFrame, key: str | Sequence[str], attrs: Sequence[str],
                       period: str, order: Sequence[str | Column]) -> DataFrame:
     """Conform facts to the newest dimension.
@@ -56,12 +67,19 @@ def conform_to_latest(df: DataFrame, key: str | Sequence[str], attrs: Sequence[s
     The dimension is the newest ``period`` of ``df`` itself: one row per key
     (the latest by ``order``), giving ``attrs``.  Facts of keys absent from the
     newest period are dropped; ``attrs`` of the remaining facts are replaced.
+
+    The facts are read twice: once for a partial ``max(struct(period, order,
+    attrs))`` per key -- the key's newest period comes first in the struct, so
+    the winner is its latest row of its newest period -- and once for the
+    join.  Only keys whose newest period is the overall newest survive.
     """
     k = _keys(key)
-    current = newest_rows(df, period)
-    dim = latest_per_key(current.select(*k, *attrs, *[o for o in order if isinstance(o, str)
-                                                       and o not in k and o not in attrs]),
-                         k, order).select(*k, *attrs)
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    packed = F.struct(F.col(period).alias("p"), F.struct(*order_cols).alias("o"),
+                      F.struct(*[F.col(a) for a in attrs]).alias("a"))
+    per_key = (df.groupBy(*k).agg(F.max(packed).alias("_m"))
+               .select(*k, F.col("_m.p").alias("_p"), "_m.a.*"))
+    dim = newest_rows(per_key, "_p").select(*k, *attrs)
     return df.drop(*attrs).join(dim, k)
 
 

@@ -128,7 +128,7 @@ SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
 WHERE l_partkey IN (SELECT l_partkey FROM nm)""")
 def q_join_semi_known(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem").withColumn("period", F.date_trunc("month", "l_shipdate"))
-    known = L.newest_rows(li, "period").select("l_partkey")
+    known = L.keys_in_newest(li, "l_partkey", "period")
     return L.keep_known(li, known, "l_partkey").select(*LINE_KEYS, "l_partkey")
 
 
