@@ -193,29 +193,33 @@ def seed_state(prepared: DataFrame, sources: DataFrame, scenario_cols: Sequence[
     (they reach only themselves).
     """
     scen = _cols(scenario_cols)
-    # chunk count of each source = max(chunk)+1 over its out-edges
-    src_chunks = (prepared.groupBy(*scen, F.col("src").alias("source"))
-                  .agg((F.max("chunk") + 1).alias("chunks")))
     id_type = prepared.schema["src"].dataType
     path_col = (F.array(F.col("source")) if with_path else F.lit(None))
     path_col = path_col.cast(T.ArrayType(id_type, containsNull=True)).alias("path")
-    return (sources.select(*scen, "source").distinct()
-            .join(src_chunks, [*scen, "source"], "left")
-            .select(*scen, "source", F.col("source").alias("id"),
-                    F.lit(0).cast(prepared.schema["cost"].dataType).alias("dist"),
-                    path_col,
-                    F.coalesce(F.col("chunks"), F.lit(1)).alias("chunks"),
-                    F.lit(True).alias("changed")))
+    seeds = sources.select(*scen, "source").distinct()
+    if "chunk" in prepared.columns:
+        # chunk count of each source = max(chunk)+1 over its out-edges
+        src_chunks = (prepared.groupBy(*scen, F.col("src").alias("source"))
+                      .agg((F.max("chunk") + 1).alias("chunks")))
+        seeds = seeds.join(src_chunks, [*scen, "source"], "left")
+    else:
+        seeds = seeds.withColumn("chunks", F.lit(1))
+    return seeds.select(*scen, "source", F.col("source").alias("id"),
+                        F.lit(0).cast(prepared.schema["cost"].dataType).alias("dist"),
+                        path_col,
+                        F.coalesce(F.col("chunks"), F.lit(1)).alias("chunks"),
+                        F.lit(True).alias("changed"))
 
 
 def relax(state: DataFrame, prepared: DataFrame, scenario_cols: Sequence[str] = (),
           with_path: bool = True, broadcast_edges: bool = False,
-          bound: DataFrame | None = None) -> DataFrame:
+          bound: DataFrame | None = None, chunked: bool = True) -> DataFrame:
     """One round: changed vertices send dist+cost; accept strictly smaller.
 
     Returns the full new state with ``changed`` marking improved rows.
     ``bound`` (<scen>, source, bound) prunes frontier rows whose distance is
-    already >= the bound (exact for positive costs).
+    already >= the bound (exact for positive costs).  ``chunked=False`` (no
+    adjacency list was split) joins on (scenario, src) only.
     """
     scen = _cols(scenario_cols)
     keys = [*scen, "source", "id"]
@@ -224,11 +228,16 @@ def relax(state: DataFrame, prepared: DataFrame, scenario_cols: Sequence[str] =
         frontier = (frontier.join(bound, [*scen, "source"], "left")
                     .where(F.col("bound").isNull() | (F.col("dist") < F.col("bound")))
                     .drop("bound"))
-    frontier = frontier.select(
-        *scen, "source", F.col("id").alias("src"), "dist", "path",
-        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    if chunked:
+        frontier = frontier.select(
+            *scen, "source", F.col("id").alias("src"), "dist", "path",
+            F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+        join_keys = [*scen, "src", "chunk"]
+    else:
+        frontier = frontier.select(*scen, "source", F.col("id").alias("src"), "dist", "path")
+        join_keys = [*scen, "src"]
     e = F.broadcast(prepared) if broadcast_edges else prepared
-    cand = frontier.join(e, [*scen, "src", "chunk"])
+    cand = frontier.join(e, join_keys)
     new_path = F.concat(F.col("path"), F.array(F.col("dst"))) if with_path else F.col("path")
     best = (cand.select(*scen, "source", F.col("dst").alias("id"),
                         F.struct((F.col("dist") + F.col("cost")).alias("d"),
@@ -312,12 +321,19 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
         collapsed.unpersist()
         raise ValueError(f"edge costs must be > 0, found {min_cost}")
     prepared = prepare_edges(collapsed, scen, fanout_chunk, max_out_degree=max_deg, collapsed=True)
+    chunked = max_deg > fanout_chunk
     broadcast_edges = n_edges <= broadcast_max_edges
+    keys = [*scen, "src", "chunk"] if chunked else [*scen, "src"]
+    if not chunked:
+        prepared = prepared.drop("chunk")
     with _static_plan(spark):
         if broadcast_edges:
             prepared = prepared.checkpoint(eager=True)
         else:
-            prepared = prepared.repartition(n_parts, *scen, "src", "chunk").checkpoint(eager=True)
+            # partitioned and sorted on the join keys: the frontier join neither
+            # shuffles nor re-sorts the edges in any round
+            prepared = (prepared.repartition(n_parts, *keys).sortWithinPartitions(*keys)
+                        .checkpoint(eager=True))
     collapsed.unpersist()
 
     id_type = prepared.schema["src"].dataType
@@ -344,7 +360,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
         bound = _target_bound(state, targets, scen) if targets is not None else None
         nxt = state
         for _ in range(steps_per_round):
-            nxt = relax(nxt, prepared, scen, with_path, broadcast_edges, bound)
+            nxt = relax(nxt, prepared, scen, with_path, broadcast_edges, bound, chunked)
         rounds += 1
         if table_base is not None:
             # one job writes the round; two alternating folders bound the disk
@@ -369,7 +385,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
     if targets is not None:
         targets.unpersist()
     if stats is not None:
-        stats.update(rounds=rounds, edges=n_edges, broadcast_edges=broadcast_edges,
+        stats.update(rounds=rounds, edges=n_edges, broadcast_edges=broadcast_edges, chunked=chunked,
                      frontier=frontier_sizes,
                      round_s=[round(b - a, 2) for a, b in zip(t_round, t_round[1:])])
     out = state.select(*scen, "source", "id", "dist", "path")
