@@ -285,13 +285,20 @@ def _static_plan(spark: SparkSession):
         spark.conf.set(key, old)
 
 
+def _state_counts(state: DataFrame) -> tuple[int, int]:
+    """(rows, changed rows) of a state, one aggregation job."""
+    row = state.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("changed")).alias("c")).first()
+    return int(row["n"]), int(row["c"])
+
+
 def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence[str] = (),
                    with_path: bool = True, max_rounds: int | None = None,
                    targets: DataFrame | None = None, broadcast_max_edges: int = 0,
                    fanout_chunk: int = 50_000, partitions: int | None = None,
                    checkpoint_every: int = 1, steps_per_round: int = 1,
                    edges_collapsed: bool = False, prune_max_targets: int = 1_000,
-                   state_store: str = "table", stats: dict | None = None) -> DataFrame:
+                   state_store: str = "auto", bucket_min_rows: int = 2_000_000,
+                   stats: dict | None = None) -> DataFrame:
     """Least-cost distance (and path) from every source to every reachable vertex.
 
     edges   : <scen>, src, dst, cost (cost > 0; parallel edges allowed)
@@ -303,10 +310,18 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
               targets are guaranteed final.
     Result  : <scen>, source, id, dist, path (array incl. both ends), hops
 
-    Every round's state is persisted (memory, spilling to disk) and counted
-    once; every ``checkpoint_every`` rounds it is also checkpointed to
-    ``spark.checkpoint.dir`` so that recovery after a lost executor replays
-    at most that many rounds.
+    Every round's state is written once to the shared checkpoint folder and
+    read back, so a lost executor never replays earlier rounds:
+
+    * ``state_store="table"``: Parquet, two alternating folders (bounded disk);
+    * ``"bucketed"``: a table bucketed on (scenario, source, vertex) with the
+      shuffle width, so the next merge reads the state already partitioned
+      and only the candidates are shuffled;
+    * ``"auto"`` (default): ``table`` while the counted state is at most
+      ``bucket_min_rows`` rows, ``bucketed`` beyond (the catalog and bucket
+      writing overhead only pays off for a large state);
+    * ``"checkpoint"``: persist, count, then reliable ``checkpoint()`` every
+      ``checkpoint_every`` rounds.
     """
     scen = _cols(scenario_cols)
     spark = edges.sparkSession
@@ -349,10 +364,14 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
 
     rounds = 0
     t_round = [time.perf_counter()]
-    n_changed = state.where(F.col("changed")).count()
+    state_rows, n_changed = _state_counts(state)
     frontier_sizes = [n_changed]
     held = None                         # persisted (not checkpointed) state, if any
-    table_base = scratch_path(spark, "route-state") if state_store == "table" else None
+    if state_store not in ("auto", "bucketed", "table", "checkpoint"):
+        raise ValueError(f"unknown state_store {state_store!r}")
+    table_base = scratch_path(spark, "route-state") if state_store != "checkpoint" else None
+    table_tag = table_base.rsplit("-", 1)[-1] if table_base else ""
+    state_keys = [*scen, "source", "id"]
     while n_changed:
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"no fixpoint after {max_rounds} rounds "
@@ -362,16 +381,27 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
         for _ in range(steps_per_round):
             nxt = relax(nxt, prepared, scen, with_path, broadcast_edges, bound, chunked)
         rounds += 1
-        if table_base is not None:
+        store = state_store
+        if store == "auto":
+            store = "bucketed" if state_rows > bucket_min_rows else "table"
+        if store == "bucketed":
+            # bucketed on the state keys with the shuffle width: the next merge
+            # reads the state already hash-partitioned, only candidates move
+            name = f"roadcast_route_state_{table_tag}_{rounds % 2}"
+            (nxt.write.mode("overwrite").bucketBy(n_parts, *state_keys)
+             .option("path", f"{table_base}/s{rounds % 2}").saveAsTable(name))
+            nxt = spark.table(name)
+            state_rows, n_changed = _state_counts(nxt)
+        elif store == "table":
             # one job writes the round; two alternating folders bound the disk
             # use, and the next round reads only files (no lineage)
             path = f"{table_base}/s{rounds % 2}"
             nxt.write.mode("overwrite").parquet(path)
             nxt = spark.read.schema(nxt.schema).parquet(path)
-            n_changed = nxt.where(F.col("changed")).count()
+            state_rows, n_changed = _state_counts(nxt)
         else:
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            n_changed = nxt.where(F.col("changed")).count()   # materialises the round once
+            state_rows, n_changed = _state_counts(nxt)         # materialises the round once
             if held is not None:
                 held.unpersist()
             held = nxt

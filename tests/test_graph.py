@@ -120,3 +120,17 @@ def test_aggregate_messages_and_triplets(spark):
     assert t.count() == 3  # the edge into Z (not a vertex) is dropped
     m = {r.id: r.msg for r in G.aggregate_messages(v, e, F.min, to_dst=F.col("cost") + F.col("src_w")).collect()}
     assert m == {"B": 2.0, "C": 4.0}
+
+
+def test_state_stores_agree(spark):
+    from roadcast.plans import graph_checks as GC
+
+    edges = GC.directed_edges(spark, "/root/testdata/sf0.001")
+    srcs = GC._sources(edges)
+    results = []
+    for store in ("table", "bucketed", "checkpoint"):
+        sp = G.shortest_paths(edges, srcs, ["scen"], state_store=store, bucket_min_rows=0)
+        results.append(sorted((r.scen, r.id, r.dist, tuple(r.path)) for r in sp.collect()))
+    assert results[0] == results[1] == results[2]
+    auto = G.shortest_paths(edges, srcs, ["scen"], state_store="auto", bucket_min_rows=1)
+    assert sorted((r.scen, r.id, r.dist, tuple(r.path)) for r in auto.collect()) == results[0]
