@@ -285,6 +285,16 @@ def _static_plan(spark: SparkSession):
         spark.conf.set(key, old)
 
 
+def _write_read(df: DataFrame, path: str) -> DataFrame:
+    """Materialise ``df`` once as Parquet in the shared folder and read it back.
+
+    One job (a reliable checkpoint of an unpersisted frame would compute it
+    twice) and the lineage ends at the files.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _observed(state: DataFrame, obs: Observation) -> DataFrame:
     """Count rows and changed rows while the round is written (no extra job)."""
     return state.observe(obs, F.count(F.lit(1)).alias("n"),
@@ -333,11 +343,13 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
     spark = edges.sparkSession
     checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    t_setup = [time.perf_counter()]
 
     # the edge source (possibly an aggregation over a huge fact table) is read once
     collapsed = edges if edges_collapsed else collapse_edges(edges, scen)
     collapsed = collapsed.persist(StorageLevel.MEMORY_AND_DISK)
     n_edges, max_deg, min_cost = out_degree_stats(collapsed, scen, collapsed=True)
+    t_setup.append(time.perf_counter())
     if n_edges and min_cost is not None and min_cost <= 0:
         collapsed.unpersist()
         raise ValueError(f"edge costs must be > 0, found {min_cost}")
@@ -357,6 +369,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
                         .checkpoint(eager=True))
     collapsed.unpersist()
 
+    t_setup.append(time.perf_counter())
     id_type = prepared.schema["src"].dataType
     sources = sources.select(*scen, F.col("source").cast(id_type).alias("source"))
     if targets is not None:
@@ -365,9 +378,10 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
         if targets.count() > prune_max_targets:   # too many to broadcast: no pruning
             targets.unpersist()
             targets = None
-    state = seed_state(prepared, sources, scen, with_path)
-    state = state.checkpoint(eager=True)
+    state = _write_read(seed_state(prepared, sources, scen, with_path),
+                        scratch_path(spark, "route-seed"))
 
+    t_setup.append(time.perf_counter())
     rounds = 0
     t_round = [time.perf_counter()]
     state_rows, n_changed = _state_counts(state)
@@ -425,7 +439,8 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
     if stats is not None:
         stats.update(rounds=rounds, edges=n_edges, broadcast_edges=broadcast_edges, chunked=chunked,
                      frontier=frontier_sizes,
-                     round_s=[round(b - a, 2) for a, b in zip(t_round, t_round[1:])])
+                     round_s=[round(b - a, 2) for a, b in zip(t_round, t_round[1:])],
+                     setup_s=[round(b - a, 2) for a, b in zip(t_setup, t_setup[1:])])
     out = state.select(*scen, "source", "id", "dist", "path")
     if with_path:
         return out.withColumn("hops", F.size("path") - 1)
@@ -448,14 +463,16 @@ def route(edges: DataFrame, pairs: DataFrame, scenario_cols: Sequence[str] = (),
     id_type = edges.schema["src"].dataType
     pairs = pairs.select(*scen, F.col("src").cast(id_type).alias("src"),
                          F.col("dst").cast(id_type).alias("dst")).distinct()
-    checkpoint_dir(edges.sparkSession)
     # read the edge source once: vertex set, routing and status all use this copy
-    edges = collapse_edges(edges, scen).checkpoint(eager=True)
+    edges = _write_read(collapse_edges(edges, scen), scratch_path(edges.sparkSession, "route-edges"))
     verts = graph_vertices(edges, scen, vertices)
     known_src = verts.select(*scen, F.col("id").alias("src"), F.lit(True).alias("src_known"))
     known_dst = verts.select(*scen, F.col("id").alias("dst"), F.lit(True).alias("dst_known"))
-    checked = (pairs.join(known_src, [*scen, "src"], "left")
-               .join(known_dst, [*scen, "dst"], "left"))
+    # requests with their vertex checks, materialised once: used for the seeds
+    # and again for the answer
+    checked = _write_read(pairs.join(known_src, [*scen, "src"], "left")
+                          .join(known_dst, [*scen, "dst"], "left"),
+                          scratch_path(edges.sparkSession, "route-requests"))
     runnable = checked.where(F.col("src_known") & F.col("dst_known"))
     sources = runnable.select(*scen, F.col("src").alias("source"))
     targets = runnable.select(*scen, F.col("src").alias("source"), F.col("dst").alias("target"))
