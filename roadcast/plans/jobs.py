@@ -181,3 +181,7 @@ def run(spark: SparkSession, cfg: RunConfig, pairs: DataFrame) -> DataFrame:
                              lambda: label_traffic(traffic, conditions), cfg.refresh,
                              partition_by=["hour"])
     return routes_by_scenario(labelled, pairs)
+
+
+# name used in the blueprint (weather observations are the usual conditions)
+prepare_weather = prepare_conditions
