@@ -69,3 +69,14 @@ def test_conform_schema_missing_column(spark):
     df = spark.createDataFrame([("1",)], "`일자` string")
     with pytest.raises(ValueError):
         S.conform_schema(df, SCHEMA)
+
+
+def test_audit_encoding_line_endings(spark, tmp_path):
+    d = str(tmp_path)
+    write(f"{d}/crlf.csv", "a,서울\r\nb,부산\r\n", "utf-8")
+    write(f"{d}/crlf_bom.csv", "﻿a,서울\r\nb,부산", "utf-8")
+    write(f"{d}/nofinal.csv", "a,서울\nb,부산", "cp949")
+    write(f"{d}/bom_nofinal.csv", "﻿a", "utf-8")
+    got = {r.file: r.encoding for r in S.audit_encoding(spark, f"{d}/*.csv").collect()}
+    assert got == {"crlf.csv": "utf-8", "crlf_bom.csv": "utf-8-sig", "nofinal.csv": "cp949",
+                   "bom_nofinal.csv": "utf-8-sig"}
