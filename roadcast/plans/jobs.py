@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,11 +53,18 @@ def prepare_traffic(wide: DataFrame, hour_cols: Sequence[str] | dict = SC.SPEED_
 # ---------------------------------------------------------------- Q2
 @dataclass
 class ConditionModel:
-    predictions: DataFrame          # observations + condition
+    predictions: DataFrame          # observations + condition (reads the persisted features)
     silhouette: float
     centers: list
     k: int
     spec: M.PrepSpec
+    features: DataFrame | None = None
+
+    def release(self) -> None:
+        """Drop the persisted feature frame once the predictions are written."""
+        if self.features is not None:
+            self.features.unpersist()
+            self.features = None
 
     def meta(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
@@ -70,16 +78,19 @@ def prepare_conditions(observations: DataFrame, spec: M.PrepSpec, k: int, seed:
 
     The forward fill (if the spec has one) runs per (series, day) with a
     carry-in from earlier days, so a single long series is not one task.
+    The cleaned features stay persisted (memory, spilling to disk) for the
+    fit, the silhouette and the caller's use of ``predictions``; call
+    ``release()`` after writing them.
     """
     if bucket is None and spec.ffill:
         bucket = F.date_trunc("day", F.col(spec.order[0]))
-    feats = M.prep_and_assemble(observations, spec, "features", bucket).persist()
+    feats = M.prep_and_assemble(observations, spec, "features", bucket).persist(
+        StorageLevel.MEMORY_AND_DISK)
     model = M.fit_conditions(feats, k, "features", seed)
     pred = model.transform(feats)
     sil = M.silhouette(pred, "features", "condition")
-    out = pred.drop("features")
-    feats.unpersist()
-    return ConditionModel(out, sil, [list(map(float, c)) for c in model.clusterCenters()], k, spec)
+    return ConditionModel(pred.drop("features"), sil,
+                          [list(map(float, c)) for c in model.clusterCenters()], k, spec, feats)
 
 
 # ---------------------------------------------------------------- Q3
@@ -164,6 +175,8 @@ def run(spark: SparkSession, cfg: RunConfig, pairs: DataFrame) -> DataFrame:
         wide = S.read_monthly(spark, cfg.speed_layouts, SC.SPEED_WIDE, cfg.encoding)
         return prepare_traffic(_rename(wide, SC.SPEED_COLUMNS))
 
+    built = []
+
     def build_conditions():
         obs = S.read_csv(spark, list(cfg.weather_paths), None, cfg.encoding)
         obs = _rename(obs, SC.WEATHER_COLUMNS)
@@ -172,11 +185,14 @@ def run(spark: SparkSession, cfg: RunConfig, pairs: DataFrame) -> DataFrame:
                            for c in obs.columns if "QC" not in c])
         model = prepare_conditions(obs, cfg.spec, cfg.k, cfg.seed)
         S.write_cluster_meta(model.meta(spark), cfg.meta_path)
+        built.append(model)
         return model.predictions
 
     traffic = S.materialize(spark, cfg.traffic_path, build_traffic, cfg.refresh,
                             partition_by=["hour"])
     conditions = S.materialize(spark, cfg.conditions_path, build_conditions, cfg.refresh)
+    for model in built:          # written and re-read: the cached features can go
+        model.release()
     labelled = S.materialize(spark, cfg.labelled_path,
                              lambda: label_traffic(traffic, conditions), cfg.refresh,
                              partition_by=["hour"])
