@@ -22,16 +22,20 @@ Scale notes
   frontier row is replicated once per chunk of its vertex and joined on
   (scenario, src, chunk), so no single task expands a whole hub.
 * Candidates are pre-aggregated map-side (``min`` is partial) before the
-  shuffle on (scenario, source, target).  The merge with the state is a
-  full outer join on the same keys, so the state is shuffled once per round
-  (its size is the number of reached (scenario, source, vertex) rows).
-* Edges are checkpointed once, hash-partitioned on the join keys
-  (scenario, src, chunk), so each round only the frontier is shuffled to
-  them.  Broadcasting them instead (``broadcast_max_edges``, off by
-  default) re-ships every edge every round and only pays off for tiny
-  graphs; the decision is taken on the counted edge number.
-* Lineage is cut with reliable ``checkpoint()`` (``spark.checkpoint.dir``),
-  so a lost executor re-reads the last round instead of replaying the loop.
+  shuffle on (scenario, source, target), then merged into the state with a
+  full outer join on the same keys.  A small state is shuffled for the merge;
+  a state above ``bucket_min_rows`` is stored as a table bucketed on those
+  keys, so the merge reads it in place and only candidates move.
+* Edges are collapsed once (the edge source is read once), then checkpointed
+  hash-partitioned and sorted on the join keys (scenario, src[, chunk]) with
+  adaptive execution paused so the partitioning is recorded: no round
+  re-shuffles or re-sorts them; only the frontier moves.  Broadcasting them
+  instead (``broadcast_max_edges``, off by default) re-ships every edge every
+  round; the decision is taken on the counted edge number.
+* Each round is one job: written once to a folder under
+  ``spark.checkpoint.dir`` (two alternating folders) with an ``Observation``
+  counting rows and changed rows, then read back.  A lost executor never
+  replays earlier rounds; ``localCheckpoint`` is not used.
 
 Ties are broken by the smallest path (lexicographic on the vertex list), which
 gives one well-defined answer; costs must be strictly positive.
