@@ -137,8 +137,8 @@ ROUTE_REQ_SQL = """
   req AS (SELECT DISTINCT condition, hour, 'NATION_0' AS src, to_node AS dst FROM lf)"""
 
 
-@register("pipe_routes", oracle=_route_sql(ROUTE_EDGES_SQL, ROUTE_REQ_SQL, ["condition", "hour"], "both")
-          .replace("CAST(0 AS BIGINT)", "CAST(0 AS DOUBLE)"))
+@register("pipe_routes", oracle=_route_sql(ROUTE_EDGES_SQL, ROUTE_REQ_SQL, ["condition", "hour"],
+                                          "both", dist_type="DOUBLE"))
 def q_pipe_routes(spark, sf_dir):
     facts = labelled_facts(spark, sf_dir)
     pairs = facts.select("condition", "hour", F.lit("NATION_0").alias("src"),
