@@ -318,6 +318,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
                    checkpoint_every: int = 1, steps_per_round: int = 1,
                    edges_collapsed: bool = False, prune_max_targets: int = 1_000,
                    state_store: str = "auto", bucket_min_rows: int = 2_000_000,
+                   edges_per_partition: int = 200_000,
                    stats: dict | None = None) -> DataFrame:
     """Least-cost distance (and path) from every source to every reachable vertex.
 
@@ -346,7 +347,6 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
     scen = _cols(scenario_cols)
     spark = edges.sparkSession
     checkpoint_dir(spark)
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     t_setup = [time.perf_counter()]
 
     # the edge source (possibly an aggregation over a huge fact table) is read once
@@ -357,6 +357,11 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
     if n_edges and min_cost is not None and min_cost <= 0:
         collapsed.unpersist()
         raise ValueError(f"edge costs must be > 0, found {min_cost}")
+    # width of the co-partitioned edges (and of the bucketed state): follows the
+    # counted edges, at least the cluster's parallelism, at most the shuffle width
+    n_parts = partitions or min(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        max(spark.sparkContext.defaultParallelism, -(-n_edges // edges_per_partition)))
     prepared = prepare_edges(collapsed, scen, fanout_chunk, max_out_degree=max_deg, collapsed=True)
     chunked = max_deg > fanout_chunk
     broadcast_edges = n_edges <= broadcast_max_edges
