@@ -134,3 +134,12 @@ def test_state_stores_agree(spark):
     assert results[0] == results[1] == results[2]
     auto = G.shortest_paths(edges, srcs, ["scen"], state_store="auto", bucket_min_rows=1)
     assert sorted((r.scen, r.id, r.dist, tuple(r.path)) for r in auto.collect()) == results[0]
+
+
+def test_empty_graph_and_requests(spark):
+    e = spark.createDataFrame([], "src string, dst string, cost double")
+    p = spark.createDataFrame([("A", "B")], "src string, dst string")
+    out = [(r.status, r.total) for r in G.route(e, p).collect()]
+    assert out == [("dst_missing", None)]
+    none = spark.createDataFrame([], "src string, dst string")
+    assert G.route(edges_df(spark, D4), none).count() == 0

@@ -33,3 +33,15 @@ def test_latest_per_key_and_semi(spark):
     assert first == [("a", "x"), ("b", "z")]
     dim = spark.createDataFrame([("a",)], "k string")
     assert [r.k for r in L.keep_known(df, dim, "k").collect()] == ["a", "a"]
+
+
+def test_conform_with_a_hot_link(spark):
+    # one link holds most rows; the answer must not depend on it
+    rows = [("2021-12", i, "HOT", f"F{i % 7}", f"T{i % 5}") for i in range(3000)]
+    rows += [("2021-11", 5000 + i, f"L{i}", "X", "Y") for i in range(100)]
+    rows += [("2021-12", 9000, "L1", "A", "B")]
+    df = spark.createDataFrame(rows, "period string, n int, link string, f string, t string")
+    out = L.conform_to_latest(df, "link", ["f", "t"], "period", ["n"])
+    got = {(r.link, r.f, r.t) for r in out.collect()}
+    assert got == {("HOT", "F3", "T4"), ("L1", "A", "B")}     # latest HOT row: n=2999 -> F3, T4
+    assert out.count() == 3000 + 2                             # L1 has an old and a new row
