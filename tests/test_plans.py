@@ -1,6 +1,5 @@
 """Registered queries: oracle agreement at sf0.001 and plan properties."""
 
-import math
 import os
 
 import duckdb
