@@ -189,17 +189,33 @@ def _better(d_new: Column, p_new: Column, d_old: Column, p_old: Column) -> Colum
                                                   < F.struct(d_old.alias("d"), p_old.alias("p"))))
 
 
+PATH_MODES = ("array", "parent", "none")
+
+
+def _path_mode(with_path: bool, path_mode: str | None) -> str:
+    mode = path_mode or ("array" if with_path else "none")
+    if mode not in PATH_MODES:
+        raise ValueError(f"path_mode must be one of {PATH_MODES}, got {mode!r}")
+    return mode
+
+
 def seed_state(prepared: DataFrame, sources: DataFrame, scenario_cols: Sequence[str] = (),
-               with_path: bool = True) -> DataFrame:
+               with_path: bool = True, path_mode: str | None = None) -> DataFrame:
     """Initial state: every (scenario, source) at distance 0, marked changed.
 
     ``sources``: <scen>, source.  Sources without out-edges still get a row
-    (they reach only themselves).
+    (they reach only themselves).  The ``path`` column holds the tie-breaker
+    of the chosen ``path_mode``: the vertex list (``array``), the predecessor
+    (``parent``; null at the source) or nothing (``none``).
     """
     scen = _cols(scenario_cols)
+    mode = _path_mode(with_path, path_mode)
     id_type = prepared.schema["src"].dataType
-    path_col = (F.array(F.col("source")) if with_path else F.lit(None))
-    path_col = path_col.cast(T.ArrayType(id_type, containsNull=True)).alias("path")
+    if mode == "parent":
+        path_col = F.lit(None).cast(id_type).alias("path")
+    else:
+        path_col = (F.array(F.col("source")) if mode == "array" else F.lit(None))
+        path_col = path_col.cast(T.ArrayType(id_type, containsNull=True)).alias("path")
     seeds = sources.select(*scen, "source").distinct()
     if "chunk" in prepared.columns:
         # chunk count of each source = max(chunk)+1 over its out-edges
@@ -217,15 +233,18 @@ def seed_state(prepared: DataFrame, sources: DataFrame, scenario_cols: Sequence[
 
 def relax(state: DataFrame, prepared: DataFrame, scenario_cols: Sequence[str] = (),
           with_path: bool = True, broadcast_edges: bool = False,
-          bound: DataFrame | None = None, chunked: bool = True) -> DataFrame:
+          bound: DataFrame | None = None, chunked: bool = True,
+          path_mode: str | None = None) -> DataFrame:
     """One round: changed vertices send dist+cost; accept strictly smaller.
 
     Returns the full new state with ``changed`` marking improved rows.
     ``bound`` (<scen>, source, bound) prunes frontier rows whose distance is
     already >= the bound (exact for positive costs).  ``chunked=False`` (no
-    adjacency list was split) joins on (scenario, src) only.
+    adjacency list was split) joins on (scenario, src) only.  In ``parent``
+    mode ties go to the smallest predecessor instead of the smallest path.
     """
     scen = _cols(scenario_cols)
+    mode = _path_mode(with_path, path_mode)
     keys = [*scen, "source", "id"]
     frontier = state.where(F.col("changed"))
     if bound is not None:
@@ -242,7 +261,9 @@ def relax(state: DataFrame, prepared: DataFrame, scenario_cols: Sequence[str] =
         join_keys = [*scen, "src"]
     e = F.broadcast(prepared) if broadcast_edges else prepared
     cand = frontier.join(e, join_keys)
-    new_path = F.concat(F.col("path"), F.array(F.col("dst"))) if with_path else F.col("path")
+    new_path = {"array": F.concat(F.col("path"), F.array(F.col("dst"))),
+                "parent": F.col("src"),
+                "none": F.col("path")}[mode]
     best = (cand.select(*scen, "source", F.col("dst").alias("id"),
                         F.struct((F.col("dist") + F.col("cost")).alias("d"),
                                  new_path.alias("p"),
@@ -318,7 +339,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
                    checkpoint_every: int = 1, steps_per_round: int = 1,
                    edges_collapsed: bool = False, prune_max_targets: int = 1_000,
                    state_store: str = "auto", bucket_min_rows: int = 2_000_000,
-                   edges_per_partition: int = 200_000,
+                   edges_per_partition: int = 200_000, path_mode: str | None = None,
                    stats: dict | None = None) -> DataFrame:
     """Least-cost distance (and path) from every source to every reachable vertex.
 
@@ -330,6 +351,10 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
               the result still lists every settled vertex, but only the
               targets are guaranteed final.
     Result  : <scen>, source, id, dist, path (array incl. both ends), hops
+              -- or, with ``path_mode="parent"``, <scen>, source, id, dist,
+              parent: only the predecessor is kept (ties -> smallest
+              predecessor), so the state does not grow with route length;
+              ``trace_paths`` rebuilds the paths of the targets asked for.
 
     Every round's state is written once to the shared checkpoint folder and
     read back, so a lost executor never replays earlier rounds:
@@ -387,7 +412,8 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
         if targets.count() > prune_max_targets:   # too many to broadcast: no pruning
             targets.unpersist()
             targets = None
-    state = _write_read(seed_state(prepared, sources, scen, with_path),
+    mode = _path_mode(with_path, path_mode)
+    state = _write_read(seed_state(prepared, sources, scen, path_mode=mode),
                         scratch_path(spark, "route-seed"))
 
     t_setup.append(time.perf_counter())
@@ -408,7 +434,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
         bound = _target_bound(state, targets, scen) if targets is not None else None
         nxt = state
         for _ in range(steps_per_round):
-            nxt = relax(nxt, prepared, scen, with_path, broadcast_edges, bound, chunked)
+            nxt = relax(nxt, prepared, scen, with_path, broadcast_edges, bound, chunked, mode)
         rounds += 1
         store = state_store
         if store == "auto":
@@ -451,23 +477,72 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
                      round_s=[round(b - a, 2) for a, b in zip(t_round, t_round[1:])],
                      setup_s=[round(b - a, 2) for a, b in zip(t_setup, t_setup[1:])])
     out = state.select(*scen, "source", "id", "dist", "path")
-    if with_path:
+    if mode == "array":
         return out.withColumn("hops", F.size("path") - 1)
+    if mode == "parent":
+        return out.withColumnRenamed("path", "parent")
     return out.drop("path")
 
 
+def trace_paths(tree: DataFrame, targets: DataFrame, scenario_cols: Sequence[str] = (),
+                max_hops: int | None = None) -> DataFrame:
+    """Vertex lists of requested targets from a ``parent``-mode result.
+
+    tree    : <scen>, source, id, dist, parent (from ``shortest_paths``)
+    targets : <scen>, source, target
+    Result  : <scen>, source, target, path (source ... target), hops -- only
+              for reached targets.
+
+    One join per hop, all targets at once; every step is written to the
+    shared folder and read back, like the routing rounds.
+    """
+    scen = _cols(scenario_cols)
+    spark = tree.sparkSession
+    base = scratch_path(spark, "route-trace")
+    links = tree.select(*scen, "source", F.col("id").alias("cur"), F.col("parent").alias("up"))
+    t = (targets.select(*scen, "source", "target").distinct()
+         .join(tree.select(*scen, "source", F.col("id").alias("target"), F.col("parent").alias("cur")),
+               [*scen, "source", "target"])
+         .select(*scen, "source", "target", F.array(F.col("target")).alias("path"), "cur"))
+    step = 0
+    while True:
+        obs = Observation(f"trace_{base.rsplit('-', 1)[-1]}_{step}")
+        t.observe(obs, F.count_if(F.col("cur").isNotNull()).alias("open")) \
+            .write.mode("overwrite").parquet(f"{base}/t{step % 2}")
+        t = spark.read.schema(t.schema).parquet(f"{base}/t{step % 2}")
+        if not obs.get["open"]:
+            break
+        step += 1
+        if max_hops is not None and step > max_hops:
+            raise RuntimeError(f"paths longer than {max_hops} hops")
+        t = (t.join(links, [*scen, "source", "cur"], "left")
+             .select(*scen, "source", "target",
+                     F.when(F.col("cur").isNotNull(),
+                            F.concat(F.array(F.col("cur")), F.col("path"))).otherwise(F.col("path"))
+                     .alias("path"),
+                     F.col("up").alias("cur")))
+    return t.select(*scen, "source", "target", "path", (F.size("path") - 1).alias("hops"))
+
+
 # --------------------------------------------------------------------------
 # G6 / G7 / G8: point-to-point answers with status
 # --------------------------------------------------------------------------
 def route(edges: DataFrame, pairs: DataFrame, scenario_cols: Sequence[str] = (),
-          vertices: str = "both", prune: bool = True, **kw) -> DataFrame:
+          vertices: str = "both", prune: bool = True, path_mode: str = "array",
+          **kw) -> DataFrame:
     """Answer (src, dst) requests, optionally per scenario.
 
     pairs  : <scen>, src, dst
     Result : <scen>, src, dst, status, total, path, hops
     status : ok | src_missing | dst_missing | unreachable (dst checked first,
              as the reference does); total/path/hops are null unless ok.
+    path_mode: ``array`` carries every path in the state (ties -> smallest
+             path); ``parent`` keeps only predecessors (ties -> smallest
+             predecessor) and traces the requested paths afterwards -- the
+             state then stays small however long the routes are.
     """
+    if path_mode not in ("array", "parent"):
+        raise ValueError(f"path_mode must be 'array' or 'parent', got {path_mode!r}")
     scen = _cols(scenario_cols)
     id_type = edges.schema["src"].dataType
     pairs = pairs.select(*scen, F.col("src").cast(id_type).alias("src"),
@@ -490,8 +565,12 @@ def route(edges: DataFrame, pairs: DataFrame, scenario_cols: Sequence[str] = (),
         # a sink-only vertex is not a vertex: edges into it are lost
         usable_edges = edges.join(verts.select(*scen, F.col("id").alias("dst")), [*scen, "dst"],
                                   "left_semi")
-    sp = shortest_paths(usable_edges, sources, scen, with_path=True,
+    sp = shortest_paths(usable_edges, sources, scen, path_mode=path_mode,
                         targets=targets if prune else None, edges_collapsed=True, **kw)
+    if path_mode == "parent":
+        traced = trace_paths(sp, targets, scen)
+        sp = (sp.select(*scen, "source", "id", "dist")
+              .join(traced.withColumnRenamed("target", "id"), [*scen, "source", "id"]))
     reached = sp.select(*scen, F.col("source").alias("src"), F.col("id").alias("dst"),
                         F.col("dist").alias("total"), "path", "hops")
     res = checked.join(reached, [*scen, "src", "dst"], "left")

@@ -143,3 +143,38 @@ def test_empty_graph_and_requests(spark):
     assert out == [("dst_missing", None)]
     none = spark.createDataFrame([], "src string, dst string")
     assert G.route(edges_df(spark, D4), none).count() == 0
+
+
+def parent_rule(rows, source):
+    """Least costs, then the smallest predecessor among those achieving them."""
+    best = dijkstra(rows, source)
+    dist = {v: d for v, (d, _) in best.items()}
+    cost = {}
+    for s, d, c in rows:
+        cost[(s, d)] = min(c, cost.get((s, d), c))
+    parent = {}
+    for (u, v), c in cost.items():
+        if u in dist and v in dist and v != source and dist[u] + c == dist[v]:
+            parent[v] = min(u, parent.get(v, u))
+    paths = {}
+    for v in dist:
+        p, cur = [v], v
+        while cur != source:
+            cur = parent[cur]
+            p.insert(0, cur)
+        paths[v] = (dist[v], tuple(p))
+    return paths
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.integers(min_value=0, max_value=10_000))
+def test_parent_mode_matches_rule(spark, seed):
+    rnd = random.Random(seed)
+    n = rnd.randint(2, 10)
+    rows = [(rnd.randrange(n), rnd.randrange(n), rnd.randint(1, 4)) for _ in range(rnd.randint(1, 35))]
+    e = spark.createDataFrame(rows, "src long, dst long, cost long")
+    want = parent_rule(rows, 0)
+    pairs = spark.createDataFrame([(0, v) for v in range(n)], "src long, dst long")
+    got = {r.dst: (r.total, tuple(r.path)) for r in G.route(e, pairs, path_mode="parent").collect()
+           if r.status == "ok"}
+    assert got == {v: want[v] for v in want if v in got} and set(got) == set(want) & set(range(n))
