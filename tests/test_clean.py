@@ -76,3 +76,24 @@ def test_drop_and_slice(spark):
     assert C.project_slice(df, 1, 3).columns == ["b", "c"]
     with pytest.raises(ValueError):
         C.project(df, ["a", "zz"])
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_vals = st.one_of(st.none(), st.floats(min_value=-1e6, max_value=1e6, allow_nan=False))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(_vals, _vals), min_size=0, max_size=12),
+       st.lists(st.tuples(_vals, _vals), min_size=0, max_size=12))
+def test_fill_idempotent_and_union_counts(spark, a_rows, b_rows):
+    a = spark.createDataFrame(a_rows, "x double, y double")
+    b = spark.createDataFrame(b_rows, "y double, x double")
+    once = C.fill_defaults(a, {"x": -1.0})
+    twice = C.fill_defaults(once, {"x": -1.0})
+    assert sorted(map(tuple, once.collect()), key=repr) == sorted(map(tuple, twice.collect()), key=repr)
+    assert once.where("x IS NULL").count() == 0
+    u = C.union_all([a, b])
+    assert u.count() == len(a_rows) + len(b_rows)
+    assert C.null_counts(u).first()["y"] == sum(r[1] is None for r in a_rows) + sum(r[0] is None for r in b_rows)
