@@ -5,7 +5,7 @@ collects data to the driver (only model parameters and one-row summaries)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -169,15 +169,23 @@ def _rename(df: DataFrame, mapping: dict) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
 
 
-def run(spark: SparkSession, cfg: RunConfig, pairs: DataFrame) -> DataFrame:
-    """Full run: reuse prepared datasets when present, else rebuild them, then route."""
+def prepare_datasets(spark: SparkSession, cfg: RunConfig, report: dict | None = None) -> DataFrame:
+    """Reuse the prepared datasets when present, else rebuild and write them.
+
+    Returns the labelled facts (read back from ``cfg.labelled_path``).
+    ``report["built"]`` lists the datasets that had to be (re)built.
+    """
+    rebuilt = report.setdefault("built", []) if report is not None else []
+
     def build_traffic():
+        rebuilt.append("traffic")
         wide = S.read_monthly(spark, cfg.speed_layouts, SC.SPEED_WIDE, cfg.encoding)
         return prepare_traffic(_rename(wide, SC.SPEED_COLUMNS))
 
     built = []
 
     def build_conditions():
+        rebuilt.append("conditions")
         obs = S.read_csv(spark, list(cfg.weather_paths), None, cfg.encoding)
         obs = _rename(obs, SC.WEATHER_COLUMNS)
         obs = obs.select(*[F.col(c).try_cast("double").alias(c) if c != "ts"
@@ -193,10 +201,25 @@ def run(spark: SparkSession, cfg: RunConfig, pairs: DataFrame) -> DataFrame:
     conditions = S.materialize(spark, cfg.conditions_path, build_conditions, cfg.refresh)
     for model in built:          # written and re-read: the cached features can go
         model.release()
-    labelled = S.materialize(spark, cfg.labelled_path,
-                             lambda: label_traffic(traffic, conditions), cfg.refresh,
-                             partition_by=["hour"])
-    return routes_by_scenario(labelled, pairs)
+    def build_labelled():
+        rebuilt.append("labelled")
+        return label_traffic(traffic, conditions)
+
+    return S.materialize(spark, cfg.labelled_path, build_labelled, cfg.refresh,
+                         partition_by=["hour"])
+
+
+def run(spark: SparkSession, cfg: RunConfig,
+        pairs: DataFrame | Callable[[DataFrame], DataFrame],
+        report: dict | None = None) -> DataFrame:
+    """Full run: prepared datasets (reused or rebuilt), then the routes.
+
+    ``pairs`` are the (condition, hour, src, dst) requests, or a function of
+    the labelled facts that derives them.
+    """
+    labelled = prepare_datasets(spark, cfg, report)
+    requests = pairs(labelled) if callable(pairs) else pairs
+    return routes_by_scenario(labelled, requests)
 
 
 # name used in the blueprint (weather observations are the usual conditions)

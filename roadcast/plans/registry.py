@@ -13,7 +13,7 @@ from ..session import apply_conventions
 @functools.cache
 def _load_all() -> None:
     # importing a module registers its queries
-    from . import graph_checks, io_checks, ml_checks, pipe_checks, table_checks  # noqa: F401
+    from . import graph_checks, io_checks, ml_checks, pipe_checks, run_checks, table_checks  # noqa: F401
 
 
 def _wrap(fn):
