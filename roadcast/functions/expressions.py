@@ -48,8 +48,10 @@ def file_period(name: str | Column) -> Column:
     """
     n = _c(name)
     stem = F.split_part(n, F.lit("."), F.lit(1))
-    year = F.regexp_extract(n, r"(\d{4})\D+(\d{1,2})", 1)
-    month = F.regexp_extract(n, r"(\d{4})\D+(\d{1,2})", 2)
+    # year and month must be whole digit runs (not part of a longer number)
+    pattern = r"(?<!\d)(\d{4})\D+(\d{1,2})(?!\d)"
+    year = F.regexp_extract(n, pattern, 1)
+    month = F.regexp_extract(n, pattern, 2)
     period = F.try_to_date(F.concat_ws("-", year, month, F.lit("1")), "yyyy-M-d")
     return F.struct(digits_only(stem).alias("digits"),
                     F.split_part(n, F.lit("."), F.lit(2)).alias("ext"),

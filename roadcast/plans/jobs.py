@@ -157,6 +157,7 @@ class RunConfig:
     labelled_path: str                     # facts + condition
     meta_path: str                         # clustering summary
     speed_layouts: dict = field(default_factory=dict)   # layout -> paths of monthly CSVs
+    speed_name_level: int = 0              # period from the file name (0) or its folder (1)
     weather_paths: Sequence[str] = ()
     encoding: str = "cp949"
     spec: M.PrepSpec = SC.COMPACT_MODE
@@ -179,7 +180,8 @@ def prepare_datasets(spark: SparkSession, cfg: RunConfig, report: dict | None =
 
     def build_traffic():
         rebuilt.append("traffic")
-        wide = S.read_monthly(spark, cfg.speed_layouts, SC.SPEED_WIDE, cfg.encoding)
+        wide = S.read_monthly(spark, cfg.speed_layouts, SC.SPEED_WIDE, cfg.encoding,
+                              name_level=cfg.speed_name_level)
         return prepare_traffic(_rename(wide, SC.SPEED_COLUMNS))
 
     built = []

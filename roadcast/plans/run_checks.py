@@ -55,7 +55,10 @@ def write_inputs(spark, sf_dir, base):
                          F.col("temp_c").alias(KOREAN_WEATHER["temp_c"]),
                          F.col("rain_mm").alias(KOREAN_WEATHER["rain_mm"]),
                          F.lit(None).cast("double").alias(KOREAN_WEATHER["snow_cm"]))
-    _write_csv(weather, f"{base}/weather")
+    # one file (days x stations rows): a fixed row order keeps the seeded
+    # k-means initialisation reproducible
+    _write_csv(weather.orderBy(KOREAN_WEATHER["ts"], KOREAN_WEATHER["station"]).coalesce(1),
+               f"{base}/weather")
     return paths, f"{base}/weather"
 
 
@@ -71,7 +74,8 @@ def q_pipe_full_run(spark, sf_dir):
     speed_paths, weather_path = write_inputs(spark, sf_dir, base)
     cfg = J.RunConfig(traffic_path=f"{base}/out/traffic", conditions_path=f"{base}/out/conditions",
                       labelled_path=f"{base}/out/labelled", meta_path=f"{base}/out/meta",
-                      speed_layouts={"plain": speed_paths}, weather_paths=[weather_path], k=3)
+                      speed_layouts={"plain": speed_paths}, speed_name_level=1,
+                      weather_paths=[weather_path], k=3)
     J.prepare_datasets(spark, cfg)            # first run: builds and writes everything
     second = {}
     out = J.run(spark, cfg, requests, second)  # second run: must reuse all of it

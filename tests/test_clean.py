@@ -97,3 +97,8 @@ def test_fill_idempotent_and_union_counts(spark, a_rows, b_rows):
     u = C.union_all([a, b])
     assert u.count() == len(a_rows) + len(b_rows)
     assert C.null_counts(u).first()["y"] == sum(r[1] is None for r in a_rows) + sum(r[0] is None for r in b_rows)
+
+
+def test_file_period_ignores_longer_digit_runs(spark):
+    df = spark.createDataFrame([("part-00000-0a1b2c3d-c000.csv",), ("20171-3.csv",)], "n string")
+    assert [r.p for r in df.select(X.file_period("n")["period"].alias("p")).collect()] == [None, None]
