@@ -173,8 +173,16 @@ def test_parent_mode_matches_rule(spark, seed):
     n = rnd.randint(2, 10)
     rows = [(rnd.randrange(n), rnd.randrange(n), rnd.randint(1, 4)) for _ in range(rnd.randint(1, 35))]
     e = spark.createDataFrame(rows, "src long, dst long, cost long")
-    want = parent_rule(rows, 0)
+    verts = {s for s, _, _ in rows} | {d for _, d, _ in rows}
+    want = parent_rule(rows, 0) if 0 in verts else {}      # else every request is src_missing
     pairs = spark.createDataFrame([(0, v) for v in range(n)], "src long, dst long")
     got = {r.dst: (r.total, tuple(r.path)) for r in G.route(e, pairs, path_mode="parent").collect()
            if r.status == "ok"}
     assert got == {v: want[v] for v in want if v in got} and set(got) == set(want) & set(range(n))
+
+
+def test_parent_mode_source_without_edges(spark):
+    e = spark.createDataFrame([(1, 2, 3)], "src long, dst long, cost long")
+    pairs = spark.createDataFrame([(0, 2), (1, 2)], "src long, dst long")
+    got = {(r.src, r.dst): (r.status, r.total, r.path) for r in G.route(e, pairs, path_mode="parent").collect()}
+    assert got == {(0, 2): ("src_missing", None, None), (1, 2): ("ok", 3, [1, 2])}
