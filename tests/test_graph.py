@@ -132,8 +132,9 @@ def test_state_stores_agree(spark):
         sp = G.shortest_paths(edges, srcs, ["scen"], state_store=store, bucket_min_rows=0)
         results.append(sorted((r.scen, r.id, r.dist, tuple(r.path)) for r in sp.collect()))
     assert results[0] == results[1] == results[2]
-    auto = G.shortest_paths(edges, srcs, ["scen"], state_store="auto", bucket_min_rows=1)
-    assert sorted((r.scen, r.id, r.dist, tuple(r.path)) for r in auto.collect()) == results[0]
+    for threshold in (1, 50):       # 50: starts as plain Parquet, switches to bucketed mid-loop
+        auto = G.shortest_paths(edges, srcs, ["scen"], state_store="auto", bucket_min_rows=threshold)
+        assert sorted((r.scen, r.id, r.dist, tuple(r.path)) for r in auto.collect()) == results[0]
 
 
 def test_empty_graph_and_requests(spark):
