@@ -80,3 +80,23 @@ def test_audit_encoding_line_endings(spark, tmp_path):
     got = {r.file: r.encoding for r in S.audit_encoding(spark, f"{d}/*.csv").collect()}
     assert got == {"crlf.csv": "utf-8", "crlf_bom.csv": "utf-8-sig", "nofinal.csv": "cp949",
                    "bom_nofinal.csv": "utf-8-sig"}
+
+
+def test_write_prepared_caps_files_and_partitions(spark, tmp_path):
+    import glob
+
+    df = spark.range(1000).selectExpr("id", "id % 3 AS hour")
+    S.write_prepared(df, str(tmp_path / "capped"), "json", max_files=2)
+    assert len(glob.glob(str(tmp_path / "capped" / "part-*"))) <= 2
+    S.write_prepared(df, str(tmp_path / "byhour"), "parquet", partition_by=["hour"])
+    back = spark.read.parquet(str(tmp_path / "byhour"))
+    assert back.count() == 1000 and sorted(r.hour for r in back.select("hour").distinct().collect()) == [0, 1, 2]
+
+
+def test_file_names_lists_periods(spark, tmp_path):
+    d = str(tmp_path)
+    write(f"{d}/2017년 12월 통행속도.csv", "a\n1\n", "cp949")
+    write(f"{d}/2017년 1월 통행속도.csv", "a\n1\n", "cp949")
+    got = sorted((r.file, r.digits, str(r.period)) for r in S.file_names(spark, f"{d}/*.csv").collect())
+    assert got == [("2017년 12월 통행속도.csv", "201712", "2017-12-01"),
+                   ("2017년 1월 통행속도.csv", "20171", "2017-01-01")]
