@@ -62,3 +62,32 @@ def test_forward_fill_windows_are_split_by_day(spark):
     # per-day summary (one row per day) is ordered without a partition key
     specs = re.findall(r"Window \[.*?\], \[(.*?)\], \[", plan)
     assert any("_ff_bucket" in s for s in specs), plan
+
+
+def test_chunked_round_keeps_edges_in_place_and_answers_match(spark, monkeypatch):
+    plans = []
+    orig = G.relax
+
+    def spy(*a, **k):
+        out = orig(*a, **k)
+        if len(plans) < 2:
+            plans.append(plan_of(out))
+        return out
+
+    edges = GC.bipartite_edges(spark, SF)
+    srcs = GC._sources(edges)
+    plain = sorted((r.scen, r.id, r.dist) for r in
+                   G.shortest_paths(edges, srcs, ["scen"], with_path=False).collect())
+    monkeypatch.setattr(G, "relax", spy)
+    st = {}
+    chunked = sorted((r.scen, r.id, r.dist) for r in
+                     G.shortest_paths(edges, srcs, ["scen"], with_path=False, fanout_chunk=3,
+                                      stats=st).collect())
+    assert st["chunked"] and chunked == plain
+    for plan in plans:
+        lines = plan.splitlines()
+        scans = [i for i, l in enumerate(lines) if "Scan ExistingRDD" in l and "dst_chunks" in l]
+        assert scans
+        for i in scans:
+            parent = parent_of(lines, i)
+            assert "Exchange" not in parent and "Sort " not in parent, parent
