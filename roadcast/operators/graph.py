@@ -413,13 +413,14 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
             targets.unpersist()
             targets = None
     mode = _path_mode(with_path, path_mode)
-    state = _write_read(seed_state(prepared, sources, scen, path_mode=mode),
+    seed_obs = Observation(f"route_seed_{scratch_path(spark, 'o').rsplit('-', 1)[-1]}")
+    state = _write_read(_observed(seed_state(prepared, sources, scen, path_mode=mode), seed_obs),
                         scratch_path(spark, "route-seed"))
 
     t_setup.append(time.perf_counter())
     rounds = 0
     t_round = [time.perf_counter()]
-    state_rows, n_changed = _state_counts(state)
+    state_rows, n_changed = seed_obs.get["n"], seed_obs.get["c"]
     frontier_sizes = [n_changed]
     held = None                         # persisted (not checkpointed) state, if any
     if state_store not in ("auto", "bucketed", "table", "checkpoint"):
