@@ -414,8 +414,9 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
             targets = None
     mode = _path_mode(with_path, path_mode)
     seed_obs = Observation(f"route_seed_{scratch_path(spark, 'o').rsplit('-', 1)[-1]}")
+    seed_path = scratch_path(spark, "route-seed")
     state = _write_read(_observed(seed_state(prepared, sources, scen, path_mode=mode), seed_obs),
-                        scratch_path(spark, "route-seed"))
+                        seed_path)
 
     t_setup.append(time.perf_counter())
     rounds = 0
@@ -472,6 +473,14 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
         t_round.append(time.perf_counter())
     if targets is not None:
         targets.unpersist()
+    if table_base is not None and rounds >= 1:
+        # the final state no longer depends on the seed or on the other
+        # alternating folder: empty them (an overwrite with no rows) so one
+        # state's worth of data remains per call
+        empty = spark.createDataFrame([], state.schema)
+        stale = [seed_path] + ([f"{table_base}/s{(rounds + 1) % 2}"] if rounds >= 2 else [])
+        for path in stale:
+            empty.write.mode("overwrite").parquet(path)
     if stats is not None:
         stats.update(rounds=rounds, edges=n_edges, broadcast_edges=broadcast_edges, chunked=chunked,
                      frontier=frontier_sizes,
