@@ -91,3 +91,21 @@ def test_chunked_round_keeps_edges_in_place_and_answers_match(spark, monkeypatch
         for i in scans:
             parent = parent_of(lines, i)
             assert "Exchange" not in parent and "Sort " not in parent, parent
+
+
+def test_library_pulls_only_one_row_summaries():
+    """Operators, sources and jobs never collect data to the driver: the only
+    driver-side reads are one-row aggregates (``.agg(...).first()``)."""
+    import pathlib
+
+    root = pathlib.Path(__file__).resolve().parents[1] / "roadcast"
+    offenders = []
+    for path in root.rglob("*.py"):
+        if path.name.endswith("_checks.py"):      # query fixtures, not library code
+            continue
+        for no, line in enumerate(path.read_text().splitlines(), 1):
+            if any(t in line for t in (".collect()", "toPandas(", ".take(", ".head(", ".toLocalIterator(")):
+                offenders.append(f"{path.name}:{no}: {line.strip()}")
+            if ".first()" in line and ".agg(" not in line:
+                offenders.append(f"{path.name}:{no}: {line.strip()}")
+    assert offenders == []
