@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -70,16 +72,24 @@ def conform_to_latest(df: DataFrame, key: str | Sequence[str], attrs: Sequence[s
 
     The facts are read twice: once for a partial ``max(struct(period, order,
     attrs))`` per key -- the key's newest period comes first in the struct, so
-    the winner is its latest row of its newest period -- and once for the
-    join.  Only keys whose newest period is the overall newest survive.
+    the winner is its latest row of its newest period -- written as a small
+    one-row-per-key table, and once for the join.  Only keys whose newest
+    period is the overall newest survive.  (Runs one job when called.)
     """
     k = _keys(key)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     packed = F.struct(F.col(period).alias("p"), F.struct(*order_cols).alias("o"),
                       F.struct(*[F.col(a) for a in attrs]).alias("a"))
-    per_key = (df.groupBy(*k).agg(F.max(packed).alias("_m"))
-               .select(*k, F.col("_m.p").alias("_p"), "_m.a.*"))
-    dim = newest_rows(per_key, "_p").select(*k, *attrs)
+    per_key = df.groupBy(*k).agg(F.max(packed).alias("_m"))
+    # one row per key: written once to the shared folder, so the facts are not
+    # evaluated a third time for the overall newest period (Spark does not
+    # reuse the aggregate across the two consumers)
+    path = scratch_path(df.sparkSession, "conform-keys")
+    per_key.write.mode("overwrite").parquet(path)
+    per_key = df.sparkSession.read.schema(per_key.schema).parquet(path)
+    newest = per_key.agg(F.max("_m.p").alias("_newest"))
+    dim = (per_key.join(newest, F.col("_m.p") == F.col("_newest"))
+           .select(*k, *[F.col(f"_m.a.{a}").alias(a) for a in attrs]))
     return df.drop(*attrs).join(dim, k)
 
 
