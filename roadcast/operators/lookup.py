@@ -51,14 +51,23 @@ def newest_rows(df: DataFrame, period: str) -> DataFrame:
     return df.join(newest, F.col(period) == F.col("_newest")).drop("_newest")
 
 
+def _one_row_per_key(df: DataFrame, name: str) -> DataFrame:
+    """Write a per-key summary once to the shared folder and read it back, so
+    its two consumers do not each re-evaluate the facts below it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def keys_in_newest(df: DataFrame, key: str | Sequence[str], period: str) -> DataFrame:
     """Keys that occur in the newest ``period`` of ``df``.
 
-    One partial aggregation (newest period per key); the overall newest
-    period is then taken over that per-key table, not over the facts.
+    One partial aggregation (newest period per key, written once as a small
+    table); the overall newest period is then taken over that per-key table,
+    not over the facts.  (Runs one job when called.)
     """
     k = _keys(key)
-    per_key = df.groupBy(*k).agg(F.max(period).alias("_p"))
+    per_key = _one_row_per_key(df.groupBy(*k).agg(F.max(period).alias("_p")), "newest-keys")
     return newest_rows(per_key, "_p").select(*k)
 
 
@@ -80,13 +89,10 @@ def conform_to_latest(df: DataFrame, key: str | Sequence[str], attrs: Sequence[s
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     packed = F.struct(F.col(period).alias("p"), F.struct(*order_cols).alias("o"),
                       F.struct(*[F.col(a) for a in attrs]).alias("a"))
-    per_key = df.groupBy(*k).agg(F.max(packed).alias("_m"))
-    # one row per key: written once to the shared folder, so the facts are not
-    # evaluated a third time for the overall newest period (Spark does not
-    # reuse the aggregate across the two consumers)
-    path = scratch_path(df.sparkSession, "conform-keys")
-    per_key.write.mode("overwrite").parquet(path)
-    per_key = df.sparkSession.read.schema(per_key.schema).parquet(path)
+    # one row per key, written once: the facts are not evaluated a third time
+    # for the overall newest period (Spark does not reuse the aggregate
+    # across the two consumers)
+    per_key = _one_row_per_key(df.groupBy(*k).agg(F.max(packed).alias("_m")), "conform-keys")
     newest = per_key.agg(F.max("_m.p").alias("_newest"))
     dim = (per_key.join(newest, F.col("_m.p") == F.col("_newest"))
            .select(*k, *[F.col(f"_m.a.{a}").alias(a) for a in attrs]))
