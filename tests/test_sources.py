@@ -100,3 +100,14 @@ def test_file_names_lists_periods(spark, tmp_path):
     got = sorted((r.file, r.digits, str(r.period)) for r in S.file_names(spark, f"{d}/*.csv").collect())
     assert got == [("2017년 12월 통행속도.csv", "201712", "2017-12-01"),
                    ("2017년 1월 통행속도.csv", "20171", "2017-01-01")]
+
+
+def test_transcode_to_cp949(spark, tmp_path):
+    d = str(tmp_path)
+    write(f"{d}/src/a.csv", "name,n\n금호사거리,1\n동작역,2\n", "utf-8")
+    S.transcode_csv(spark, f"{d}/src", f"{d}/dst", "utf-8", "cp949")
+    import glob
+    raw = b"".join(open(f, "rb").read() for f in glob.glob(f"{d}/dst/*.csv"))
+    assert "금호사거리".encode("cp949") in raw and "금호사거리".encode("utf-8") not in raw
+    back = S.read_csv(spark, f"{d}/dst", None, "cp949")
+    assert sorted((r.name, r.n) for r in back.collect()) == [("금호사거리", "1"), ("동작역", "2")]
