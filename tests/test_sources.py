@@ -20,17 +20,17 @@ def write(path, text, enc):
 
 def test_read_monthly_layouts(spark, tmp_path):
     d = str(tmp_path)
-    write(f"{d}/2021년 12월 통행속도.csv", ",일자,시점명,10시\n0,20211201,금호사거리,30.5\n", "cp949")
+    write(f"{d}/2021년 12월 통행속도.csv", ",일자,시점명,10시\n0,20211201,시청앞,30.5\n", "cp949")
     # shifted: names one place right of the data, last column empty
-    write(f"{d}/2017년11월 통행속도.csv", "x,일자,시점명,10시\n20171101,동작역,12.0,\n", "cp949")
+    write(f"{d}/2017년11월 통행속도.csv", "x,일자,시점명,10시\n20171101,남산길,12.0,\n", "cp949")
     write(f"{d}/2017년 8월 통행속도.csv", ",일자,시점명,~10시\n0,20170801,서울역,bad\n", "cp949")
     df = S.read_monthly(spark, {"plain": [f"{d}/2021년 12월 통행속도.csv"],
                                 "shifted": [f"{d}/2017년11월 통행속도.csv"],
                                 "tilde": [f"{d}/2017년 8월 통행속도.csv"]}, SCHEMA,
                         repairs={"tilde": lambda x: S.strip_header_chars(x, "~", 3)})
     got = sorted((r["일자"], r["시점명"], r["10시"], str(r.period)) for r in df.collect())
-    assert got == [(20170801, "서울역", None, "2017-08-01"), (20171101, "동작역", 12.0, "2017-11-01"),
-                   (20211201, "금호사거리", 30.5, "2021-12-01")]
+    assert got == [(20170801, "서울역", None, "2017-08-01"), (20171101, "남산길", 12.0, "2017-11-01"),
+                   (20211201, "시청앞", 30.5, "2021-12-01")]
 
 
 def test_audit_encoding(spark, tmp_path):
@@ -104,10 +104,10 @@ def test_file_names_lists_periods(spark, tmp_path):
 
 def test_transcode_to_cp949(spark, tmp_path):
     d = str(tmp_path)
-    write(f"{d}/src/a.csv", "name,n\n금호사거리,1\n동작역,2\n", "utf-8")
+    write(f"{d}/src/a.csv", "name,n\n시청앞,1\n남산길,2\n", "utf-8")
     S.transcode_csv(spark, f"{d}/src", f"{d}/dst", "utf-8", "cp949")
     import glob
     raw = b"".join(open(f, "rb").read() for f in glob.glob(f"{d}/dst/*.csv"))
-    assert "금호사거리".encode("cp949") in raw and "금호사거리".encode("utf-8") not in raw
+    assert "시청앞".encode("cp949") in raw and "시청앞".encode("utf-8") not in raw
     back = S.read_csv(spark, f"{d}/dst", None, "cp949")
-    assert sorted((r.name, r.n) for r in back.collect()) == [("금호사거리", "1"), ("동작역", "2")]
+    assert sorted((r.name, r.n) for r in back.collect()) == [("시청앞", "1"), ("남산길", "2")]
