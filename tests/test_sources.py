@@ -110,4 +110,4 @@ def test_transcode_to_cp949(spark, tmp_path):
     raw = b"".join(open(f, "rb").read() for f in glob.glob(f"{d}/dst/*.csv"))
     assert "시청앞".encode("cp949") in raw and "시청앞".encode("utf-8") not in raw
     back = S.read_csv(spark, f"{d}/dst", None, "cp949")
-    assert sorted((r.name, r.n) for r in back.collect()) == [("시청앞", "1"), ("남산길", "2")]
+    assert sorted((r.name, r.n) for r in back.collect()) == [("남산길", "2"), ("시청앞", "1")]
