@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import tokenize
 from .common import load
 from .grace_dedup import grace_dedup
+from .language import fit, identify
 from .mixing import mix
+from .pii import find_pii
 from .sharding import shard_by_bytes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +28,12 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+@query("op1_language_filters")
+def op1_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return identify(docs, fit(docs))
+
+
 @query("op2_grace_dedup", r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -33,6 +43,16 @@ def op2_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grace_dedup(load(spark, sf_dir, "documents"))
 
 
+@query("op3_bpe_transducer")
+def op3_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenize(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op7_disclosure_pii")
+def op7_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(load(spark, sf_dir, "documents")).drop("found")
+
+
 @query("op8_source_schedule")
 def op8_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(load(spark, sf_dir, "documents")).drop("first", "second")
