@@ -44,7 +44,8 @@ CHUNK = 1 << 16
 _NONE, _SLOTS, _SPREAD = 1 << 30, (1 << 20) - 1, 0x9E3779B97F4A7C15 >> 24
 CACHE_WORDS = 500_000
 WARM_CHARS = 1 << 21
-_SPACE = " \t\n\v\f\r\x85\xa0  -     　"
+#: White space, as the splitter sees it.
+_SPACE = " \t\n\v\f\r\x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -226,7 +227,7 @@ _OTHER_SPACE = re.compile("[\x1c-\x1f]")        # spaces to str.split only
 def normalise(text: str) -> str:
     """NFC, then lower case letter by letter (a final sigma is not special)."""
     if not text.isascii():
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        text = unicodedata.normalize("NFC", text).replace(chr(0x3A3), chr(0x3C3))
     return text.lower()
 
 
@@ -234,8 +235,8 @@ def _safe_cut(text: str, at: int) -> int:
     """Largest place <= ``at`` where normalising both sides apart changes nothing:
     before a character that never joins what stands before it."""
     while at > 0:
-        c = text[at]
-        if c < "̀" or "㐀" <= c <= "鿿" or "가" <= c <= "힣":
+        c = ord(text[at])
+        if c < 0x300 or 0x3400 <= c <= 0x9FFF or 0xAC00 <= c <= 0xD7A3:
             return at
         at -= 1
     return 0

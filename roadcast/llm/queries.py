@@ -11,9 +11,11 @@ from .bpe import tokenize
 from .common import load
 from .grace_dedup import grace_dedup
 from .language import fit, identify
+from .minhash import near_duplicates
 from .mixing import mix
 from .pii import find_pii
 from .sharding import shard_by_bytes
+from .topk import topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +50,24 @@ def op3_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op4_dual_cover_tree", """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, vec_id, score,
+             row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def op4_dual_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk(load(spark, sf_dir, "embeddings"))
+
+
+@query("op5_bayes_minhash")
+def op5_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(load(spark, sf_dir, "documents"), width=4).drop("n_links")
+
+
 @query("op7_disclosure_pii")
 def op7_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(load(spark, sf_dir, "documents")).drop("found")
