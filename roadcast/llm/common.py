@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-MASK64 = (1 << 64) - 1
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,11 +26,19 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def save(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write once into the shared folder and read back (ends the lineage there)."""
-    path = scratch_path(df.sparkSession, name)
-    w = df.write
-    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write once into the shared folder and read back (ends the lineage there).
+
+    The write's shuffle files go as soon as it has ended: nothing reads them again.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    old = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        w = df.write
+        (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if old is None else spark.conf.set(_CLEANUP, old)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def utf8(c: str | Column) -> Column:

@@ -11,9 +11,11 @@ from .bpe import tokenize
 from .common import load
 from .grace_dedup import grace_dedup
 from .language import fit, identify
+from .line_chunks import digests, line_dedup
 from .minhash import near_duplicates
 from .mixing import mix
 from .pii import find_pii
+from .repeats import remove_repeats
 from .sharding import shard_by_bytes
 from .topk import topk
 
@@ -68,6 +70,11 @@ def op5_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"), width=4).drop("n_links")
 
 
+@query("op6_line_chunks")
+def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(line_dedup(load(spark, sf_dir, "documents")))
+
+
 @query("op7_disclosure_pii")
 def op7_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(load(spark, sf_dir, "documents")).drop("found")
@@ -81,3 +88,8 @@ def op8_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_sampled_splitters")
 def op9_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(load(spark, sf_dir, "documents"))
+
+
+@query("op10_run_length_index")
+def op10_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(load(spark, sf_dir, "documents"))
