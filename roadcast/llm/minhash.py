@@ -246,8 +246,10 @@ def _crossing_pairs(members: DataFrame, bands: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                     percent: int = 80) -> DataFrame:
-    """Row per input row: id, n_shingles, component_id, kept (and ``n_links``:
-    verified links of the row's class to other classes).
+    """Row per input row: id, n_shingles, component_id, kept, n_links (verified
+    links of the row's class to other classes), and for joining rows back k1,
+    k2 (``row_key``) and ``stays``: exactly one row key of each component does,
+    and every row without shingles.
 
     component_id is the smallest id reachable over links.  Null and empty texts
     have no shingles, are linked with nothing and keep themselves.  Rows with
@@ -285,14 +287,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comp = components(links).select(F.col("id").alias("class"), "label")
     degree = (links.select(F.col("a").alias("class")).unionByName(links.select(F.col("b").alias("class")))
               .groupBy("class").agg(F.count(F.lit(1)).alias("n_links")))
-    per_class = (features.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("id").alias("low"))
+    lowest = F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")
+    per_class = (features.where(F.col("class").isNotNull()).groupBy("class").agg(F.min(lowest).alias("low"))
                  .join(comp, "class", "left").join(degree, "class", "left")
                  .select("class", "low", F.coalesce("label", "class").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    lowest = per_class.groupBy("label").agg(F.min("low").alias("component_id"))
-    named = per_class.join(lowest, "label").select("class", "component_id", "n_links")
-    # a class may hold a third of all rows: join rows to it through its row keys' spread
-    some = features.where(F.col("class").isNotNull()).select("id", "n_shingles", "class").join(named, "class")
-    none = features.where(F.col("class").isNull()).select("id", "n_shingles", F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
-    return (some.select("id", "n_shingles", "component_id", "n_links").unionByName(none)
-            .select(F.col("id").alias(id_col), "n_shingles", "component_id",
-                    F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "n_links"))
+    named = save(per_class.join(per_class.groupBy("label").agg(F.min("low").alias("stay")), "label")
+                 .select("class", "stay", "n_links"), "near-named")
+    # a class may hold a third of all rows: an inner join, whose large partitions are split
+    some = features.where(F.col("class").isNotNull()).drop("sig").join(named, "class").select(
+        "id", "n_shingles", F.col("stay.id").alias("component_id"), "n_links", "k1", "k2",
+        ((F.col("k1") == F.col("stay.k1")) & (F.col("k2") == F.col("stay.k2"))).alias("stays"))
+    none = features.where(F.col("class").isNull()).select(
+        "id", "n_shingles", F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"), "k1", "k2",
+        F.lit(True).alias("stays"))
+    return some.unionByName(none).select(
+        F.col("id").alias(id_col), "n_shingles", "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "n_links", "k1", "k2", "stays")

@@ -67,7 +67,7 @@ def op4_dual_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_bayes_minhash")
 def op5_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(load(spark, sf_dir, "documents"), width=4).drop("n_links")
+    return near_duplicates(load(spark, sf_dir, "documents"), width=4).drop("n_links", "k1", "k2", "stays")
 
 
 @query("op6_line_chunks")
