@@ -237,7 +237,8 @@ def _crossing_pairs(members: DataFrame, bands: DataFrame) -> DataFrame:
     fper = fine.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     ftop = (fper.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("k"))
             .where("k > 1").select("key", F.col("top.label").alias("top")))
-    every = plain.unionByName(fine.join(ftop, "key").select("key", "class", "label", "top"))
+    # a table: the two parts are partitioned alike but not into as many partitions
+    every = save(plain.unionByName(fine.join(ftop, "key").select("key", "class", "label", "top")), "near-crossing")
     few = every.where(F.col("label") != F.col("top")).select("key", F.col("class").alias("a"), F.col("label").alias("la"))
     return (few.join(every.select("key", F.col("class").alias("b"), F.col("label").alias("lb")), "key")
             .where(F.col("la") != F.col("lb"))
