@@ -41,8 +41,8 @@ from .components import components
 BANDS, ROWS = 30, 5
 BATCH = 30
 MISS = 1e-7
-LEADER_ROUNDS = 2
-CROWDED = 20_000
+LEADER_ROUNDS = 4
+CROWDED = 256
 _XOR, _MUL = seeds(BANDS * ROWS, 7), seeds(BANDS * ROWS, 77) | np.uint64(1)
 _STEP = seeds(64, 5) | np.uint64(1)
 
@@ -90,14 +90,15 @@ def shingle_hashes(text: bytes, width: int) -> tuple[np.ndarray, bytes]:
 
 
 def signature(s: np.ndarray) -> np.ndarray:
-    """Minima of BANDS * ROWS hash functions, 32 bits each."""
+    """Minima of BANDS * ROWS hash functions, 16 bits each (two different minima
+    look equal once in 65,536 times, far below what the posterior resolves)."""
     low = np.full(_MUL.size, np.iinfo(np.uint64).max, dtype=np.uint64)
     with np.errstate(over="ignore"):
         for at in range(0, s.size, 1024):
             part = s[at:at + 1024, None] ^ _XOR
             part *= _MUL
             np.minimum(low, part.min(axis=0), out=low)
-    return (low >> np.uint64(32)).astype(np.uint32)
+    return (low >> np.uint64(48)).astype(np.uint16)
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
@@ -145,7 +146,7 @@ def _likely(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), dtype=np.uint32).reshape(b.num_rows, -1) for k in (2, 3))
+            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), dtype=np.uint16).reshape(b.num_rows, -1) for k in (2, 3))
             at = pa.array(survives(x, y, need))
             yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at)], ["a", "b"])
     return wide.mapInArrow(run, "a binary, b binary")
@@ -195,29 +196,30 @@ def _bands(sigs: DataFrame) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            keys = np.concatenate([band_keys(np.frombuffer(s, dtype=np.uint32)) for s in b.column(1).to_pylist()])
+            keys = np.concatenate([band_keys(np.frombuffer(s, dtype=np.uint16)) for s in b.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), BANDS))),
                                               pa.array(keys)], ["class", "key"])
     return sigs.select("class", "sig").mapInArrow(run, "class binary, key long")
 
 
-def _labelled(members: DataFrame, links: DataFrame | None) -> DataFrame:
-    """Members (key, class) with the component each is in so far."""
-    if links is None:
-        return members.withColumn("label", F.col("class"))
-    comp = components(links).select(F.col("id").alias("class"), "label")
-    return members.join(comp, "class", "left").withColumn("label", F.coalesce("label", "class"))
-
-
-def _open(members: DataFrame) -> DataFrame:
-    """Members of the buckets that still hold several components."""
-    parted = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    return members.join(parted.select("key"), "key")
+def _still_open(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members with the component each is in so far, of buckets with several."""
+    comp = components(links).select(F.col("id").alias("class"), F.col("label").alias("now"))
+    named = (members.join(comp, "class", "left").withColumn("label", F.coalesce("now", "class"))
+             .select("key", "class", "meets", "label"))
+    parted = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    return named.join(parted.select("key"), "key")
 
 
 def _leader_pairs(members: DataFrame, turn: int) -> DataFrame:
-    order = F.struct(F.xxhash64(F.lit(turn), "class").alias("o"), F.col("class").alias("a"), F.col("label").alias("l"))
-    lead = members.groupBy("key").agg(F.min(order).alias("lead"))
+    """One pair per member that is in another component than its bucket's leader.
+
+    Even turns lead by the classes that meet most others (the middle of a group
+    of near copies shares more bands with all of them than they do), odd turns
+    by a hash.
+    """
+    by = -F.col("meets") if turn % 2 == 0 else F.xxhash64(F.lit(turn), "class")
+    lead = members.groupBy("key").agg(F.min(F.struct(by.alias("o"), F.col("class").alias("a"), F.col("label").alias("l"))).alias("lead"))
     return (members.join(lead, "key").where(F.col("label") != F.col("lead.l"))
             .select(F.col("lead.a").alias("a"), F.col("class").alias("b")).distinct())
 
@@ -264,8 +266,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sigs = save(features.join(reps.select("class", "row.k1", "row.k2"), ["class", "k1", "k2"]).groupBy("class")
                 .agg(F.first("sig").alias("sig"), F.first("k1").alias("k1"), F.first("k2").alias("k2")), "near-classes")
     bands = _bands(sigs)
-    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = save(bands.join(shared, "key"), "near-members")
+    # how many others a class meets in its buckets
+    met = members.groupBy("class").agg(F.sum("n").alias("meets"))
+    members = save(members.join(met, "class").select("key", "class", "meets", F.col("class").alias("label")), "near-met")
     # texts of the classes that have a candidate
     asked = save(members.select("class").distinct().join(sigs.select("class", "k1", "k2"), "class"), "near-asked")
     rows = docs.select(*row_key(id_col, text_col), utf8(text_col).alias("text"))
@@ -278,11 +283,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         nonlocal links
         found = save(_verified(save(_likely(pairs, sigs, percent), "near-likely"), texts, percent, width), "near-links")
         links = found if links is None else links.unionByName(found)
-    labelled = members.withColumn("label", F.col("class"))
     for turn in range(LEADER_ROUNDS):
-        verify(_leader_pairs(labelled, turn))
-        labelled = save(_open(_labelled(members, links)), "near-open")
-    verify(_crossing_pairs(labelled, bands))
+        verify(_leader_pairs(members, turn))
+        members = save(_still_open(members, links), "near-open")     # closed buckets have nothing more to offer
+    verify(_crossing_pairs(members, bands))
     links = save(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-all-links")
 
     comp = components(links).select(F.col("id").alias("class"), "label")
