@@ -2,7 +2,7 @@
 
 Subpackages: ``sources`` (files in/out), ``functions`` (column expressions),
 ``operators`` (DataFrame operators), ``plans`` (end-to-end jobs and the
-registered queries), ``streaming`` (none needed).
+registered queries).
 """
 
 from .session import checkpoint_dir, get_spark, scratch_path

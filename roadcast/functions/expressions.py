@@ -44,14 +44,15 @@ def file_period(name: str | Column) -> Column:
     (``2017년 12월 통행속도.csv`` -> ``201712``; ``2017년 1월`` -> ``20171``, which
     does not sort, hence ``period``); ``ext``: the part after the first dot;
     ``period``: first day of the month, from a 4-digit year followed by a
-    1-2 digit month.
+    1-2 digit month, or from a name that is six digits only (``202112.csv``).
     """
     n = _c(name)
     stem = F.split_part(n, F.lit("."), F.lit(1))
     # year and month must be whole digit runs (not part of a longer number)
     pattern = r"(?<!\d)(\d{4})\D+(\d{1,2})(?!\d)"
-    year = F.regexp_extract(n, pattern, 1)
-    month = F.regexp_extract(n, pattern, 2)
+    plain = stem.rlike(r"^\d{6}$")
+    year = F.when(plain, F.substring(stem, 1, 4)).otherwise(F.regexp_extract(n, pattern, 1))
+    month = F.when(plain, F.substring(stem, 5, 2)).otherwise(F.regexp_extract(n, pattern, 2))
     period = F.try_to_date(F.concat_ws("-", year, month, F.lit("1")), "yyyy-M-d")
     return F.struct(digits_only(stem).alias("digits"),
                     F.split_part(n, F.lit("."), F.lit(2)).alias("ext"),

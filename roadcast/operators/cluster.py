@@ -123,7 +123,3 @@ def prep_conditions(df: DataFrame, spec: PrepSpec, bucket: Column | None = None)
 def prep_and_assemble(df: DataFrame, spec: PrepSpec, output: str = "features",
                       bucket: Column | None = None) -> DataFrame:
     return assemble(prep_conditions(df, spec, bucket), spec.features, output)
-
-
-# name used in the blueprint for the two reference modes
-prep_weather = prep_and_assemble

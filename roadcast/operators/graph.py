@@ -138,8 +138,12 @@ def aggregate_messages(vertices: DataFrame, edges: DataFrame, agg=F.min,
 # Routing state
 # --------------------------------------------------------------------------
 def collapse_edges(edges: DataFrame, scenario_cols: Sequence[str] = ()) -> DataFrame:
-    """One edge per (scenario, src, dst) with the minimum cost (same routes)."""
+    """One edge per (scenario, src, dst) with the minimum cost (same routes).
+
+    Edges without a cost or an end are no edges.
+    """
     scen = _cols(scenario_cols)
+    edges = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull() & F.col("cost").isNotNull())
     return edges.groupBy(*scen, "src", "dst").agg(F.min("cost").alias("cost"))
 
 
@@ -282,11 +286,11 @@ def relax(state: DataFrame, prepared: DataFrame, scenario_cols: Sequence[str] =
 def _target_bound(state: DataFrame, targets: DataFrame, scen: list[str]) -> DataFrame:
     """Per (scenario, source): max distance over its targets once all are reached.
 
-    ``targets`` is small (its size was counted) and broadcast, so the state is
-    filtered in place instead of being shuffled to the targets.
+    No size decides anything here: adaptive execution broadcasts the targets
+    when they are small.
     """
     reached = state.select(*scen, "source", "id", "dist").join(
-        F.broadcast(targets.select(*scen, "source", F.col("target").alias("id"))),
+        targets.select(*scen, "source", F.col("target").alias("id")),
         [*scen, "source", "id"], "left_semi")
     per = (targets.select(*scen, "source", F.col("target").alias("id"))
            .join(reached, [*scen, "source", "id"], "left")
@@ -337,7 +341,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
                    targets: DataFrame | None = None, broadcast_max_edges: int = 0,
                    fanout_chunk: int = 50_000, partitions: int | None = None,
                    checkpoint_every: int = 1, steps_per_round: int = 1,
-                   edges_collapsed: bool = False, prune_max_targets: int = 1_000,
+                   edges_collapsed: bool = False,
                    state_store: str = "auto", bucket_min_rows: int = 2_000_000,
                    edges_per_partition: int = 200_000, path_mode: str | None = None,
                    stats: dict | None = None) -> DataFrame:
@@ -345,11 +349,9 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
 
     edges   : <scen>, src, dst, cost (cost > 0; parallel edges allowed)
     sources : <scen>, source
-    targets : optional <scen>, source, target -- only used to prune the
-              frontier once every target of a source is reached (when there
-              are at most ``prune_max_targets`` of them; they are broadcast);
-              the result still lists every settled vertex, but only the
-              targets are guaranteed final.
+    targets : optional <scen>, source, target -- the frontier of a source is
+              pruned once all its targets are reached, and only the targets
+              are returned (a pruned search leaves other vertices unsettled).
     Result  : <scen>, source, id, dist, path (array incl. both ends), hops
               -- or, with ``path_mode="parent"``, <scen>, source, id, dist,
               parent: only the predecessor is kept (ties -> smallest
@@ -409,9 +411,6 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
     if targets is not None:
         targets = targets.select(*scen, F.col("source").cast(id_type).alias("source"),
                                  F.col("target").cast(id_type).alias("target")).distinct().cache()
-        if targets.count() > prune_max_targets:   # too many to broadcast: no pruning
-            targets.unpersist()
-            targets = None
     mode = _path_mode(with_path, path_mode)
     seed_obs = Observation(f"route_seed_{scratch_path(spark, 'o').rsplit('-', 1)[-1]}")
     seed_path = scratch_path(spark, "route-seed")
@@ -471,8 +470,6 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
         frontier_sizes.append(n_changed)
         state = nxt
         t_round.append(time.perf_counter())
-    if targets is not None:
-        targets.unpersist()
     if table_base is not None and rounds >= 1:
         # the final state no longer depends on the seed or on the other
         # alternating folder: empty them (an overwrite with no rows) so one
@@ -487,6 +484,8 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
                      round_s=[round(b - a, 2) for a, b in zip(t_round, t_round[1:])],
                      setup_s=[round(b - a, 2) for a, b in zip(t_setup, t_setup[1:])])
     out = state.select(*scen, "source", "id", "dist", "path")
+    if targets is not None and mode != "parent":     # a tree of parents is traced through other vertices
+        out = out.join(targets.withColumnRenamed("target", "id"), [*scen, "source", "id"], "left_semi")
     if mode == "array":
         return out.withColumn("hops", F.size("path") - 1)
     if mode == "parent":

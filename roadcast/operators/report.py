@@ -49,20 +49,14 @@ def argmin(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
 
 
 def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int = 1,
-                  salt_buckets: int = 16, rank: str = "rank") -> DataFrame:
+                  rank: str = "rank") -> DataFrame:
     """The first ``n`` rows per group under ``order`` (a unique order), ranked.
 
-    Two phases so that a hot group is not one task: top ``n`` inside each
-    (group, salt) piece, then top ``n`` of those ``n * salt_buckets``
-    candidates per group.  Exact, since the overall top ``n`` is within the
-    union of every piece's top ``n``.
+    A plain window: Spark limits every group to ``n`` rows in each map task
+    before the shuffle (``WindowGroupLimit``), so a hot group is not one task.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-    w1 = Window.partitionBy(*by, "_salt").orderBy(*order)
-    pre = (df.withColumn("_salt", salt).withColumn("_r1", F.row_number().over(w1))
-           .where(F.col("_r1") <= n).drop("_r1", "_salt"))
-    w2 = Window.partitionBy(*by).orderBy(*order)
-    return pre.withColumn(rank, F.row_number().over(w2)).where(F.col(rank) <= n)
+    w = Window.partitionBy(*by).orderBy(*order)
+    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
 
 
 def row_counts(frames: Mapping[str, DataFrame], name: str = "table") -> DataFrame:

@@ -116,11 +116,11 @@ def condition_report(conditions: DataFrame, label: str = "condition",
 
 # ---------------------------------------------------------------- Q5
 def scenario_edges(facts: DataFrame, scenario_cols: Sequence[str] = ("condition", "hour"),
-                   cost_decimals: int | None = 3) -> DataFrame:
+                   cost_decimals: int | None = None) -> DataFrame:
     """Mean travel time per (scenario, link, from, to) as directed edges.
 
-    ``cost_decimals`` rounds the mean (milliseconds by default) so that equal
-    routes tie exactly whatever the summation order.
+    ``cost_decimals`` rounds the mean, for callers that need equal routes to
+    tie exactly whatever the summation order; by default it is not rounded.
     """
     by = [*scenario_cols, "link_id", "from_node", "to_node"]
     costs = R.edge_costs(facts, by, "travel_s")
@@ -132,7 +132,7 @@ def scenario_edges(facts: DataFrame, scenario_cols: Sequence[str] = ("condition"
 
 def routes_by_scenario(facts: DataFrame, pairs: DataFrame,
                        scenario_cols: Sequence[str] = ("condition", "hour"),
-                       vertices: str = "both", cost_decimals: int | None = 3, **kw) -> DataFrame:
+                       vertices: str = "both", cost_decimals: int | None = None, **kw) -> DataFrame:
     """Least-time routes for (scenario, src, dst) requests, every scenario at once."""
     edges = scenario_edges(facts, scenario_cols, cost_decimals)
     return G.route(edges, pairs, scenario_cols, vertices=vertices, **kw)
@@ -163,7 +163,7 @@ class RunConfig:
     spec: M.PrepSpec = SC.COMPACT_MODE
     k: int = 4
     seed: int = 42
-    refresh: bool = False
+    refresh: bool | Sequence[str] = False   # all, or names out of traffic, conditions, labelled
 
 
 def _rename(df: DataFrame, mapping: dict) -> DataFrame:
@@ -171,15 +171,25 @@ def _rename(df: DataFrame, mapping: dict) -> DataFrame:
 
 
 def prepare_datasets(spark: SparkSession, cfg: RunConfig, report: dict | None = None) -> DataFrame:
-    """Reuse the prepared datasets when present, else rebuild and write them.
+    """Reuse the prepared datasets when complete, else rebuild and write them.
 
-    Returns the labelled facts (read back from ``cfg.labelled_path``).
-    ``report["built"]`` lists the datasets that had to be (re)built.
+    ``cfg.refresh`` asks for all of them or for some by name.  A complete
+    labelled set is used alone unless it or an input of it is to be rebuilt;
+    rebuilding an input rebuilds the labelled set.  Returns the labelled facts
+    (read back from ``cfg.labelled_path``).  ``report["built"]`` lists the
+    datasets that had to be (re)built.
     """
     rebuilt = report.setdefault("built", []) if report is not None else []
+    names = ("traffic", "conditions", "labelled")
+    ask = set(names if cfg.refresh is True else cfg.refresh or ())
+    if ask - set(names):
+        raise ValueError(f"unknown datasets {sorted(ask - set(names))}")
+    if not ask and S.is_complete(spark, cfg.labelled_path):
+        return S.read_prepared(spark, cfg.labelled_path)
 
     def build_traffic():
         rebuilt.append("traffic")
+        ask.add("labelled")
         wide = S.read_monthly(spark, cfg.speed_layouts, SC.SPEED_WIDE, cfg.encoding,
                               name_level=cfg.speed_name_level)
         return prepare_traffic(_rename(wide, SC.SPEED_COLUMNS))
@@ -188,26 +198,28 @@ def prepare_datasets(spark: SparkSession, cfg: RunConfig, report: dict | None =
 
     def build_conditions():
         rebuilt.append("conditions")
-        obs = S.read_csv(spark, list(cfg.weather_paths), None, cfg.encoding)
-        obs = _rename(obs, SC.WEATHER_COLUMNS)
-        obs = obs.select(*[F.col(c).try_cast("double").alias(c) if c != "ts"
-                           else F.try_to_timestamp(F.col(c)).alias(c)
-                           for c in obs.columns if "QC" not in c])
+        ask.add("labelled")
+        parts = [_rename(part, SC.WEATHER_COLUMNS)
+                 for part in S.read_by_header(spark, list(cfg.weather_paths), cfg.encoding)]
+        obs = C.union_all([part.select(*[F.col(c).try_cast("double").alias(c) if c != "ts"
+                                         else F.try_to_timestamp(F.col(c)).alias(c)
+                                         for c in part.columns if "QC" not in c]) for part in parts])
         model = prepare_conditions(obs, cfg.spec, cfg.k, cfg.seed)
-        S.write_cluster_meta(model.meta(spark), cfg.meta_path)
         built.append(model)
         return model.predictions
 
-    traffic = S.materialize(spark, cfg.traffic_path, build_traffic, cfg.refresh,
+    traffic = S.materialize(spark, cfg.traffic_path, build_traffic, "traffic" in ask,
                             partition_by=["hour"])
-    conditions = S.materialize(spark, cfg.conditions_path, build_conditions, cfg.refresh)
-    for model in built:          # written and re-read: the cached features can go
+    conditions = S.materialize(spark, cfg.conditions_path, build_conditions, "conditions" in ask)
+    for model in built:          # written and re-read: the summary follows, the cached features can go
+        S.write_cluster_meta(model.meta(spark), cfg.meta_path)
         model.release()
+
     def build_labelled():
         rebuilt.append("labelled")
         return label_traffic(traffic, conditions)
 
-    return S.materialize(spark, cfg.labelled_path, build_labelled, cfg.refresh,
+    return S.materialize(spark, cfg.labelled_path, build_labelled, "labelled" in ask,
                          partition_by=["hour"])
 
 
@@ -222,7 +234,3 @@ def run(spark: SparkSession, cfg: RunConfig,
     labelled = prepare_datasets(spark, cfg, report)
     requests = pairs(labelled) if callable(pairs) else pairs
     return routes_by_scenario(labelled, requests)
-
-
-# name used in the blueprint (weather observations are the usual conditions)
-prepare_weather = prepare_conditions

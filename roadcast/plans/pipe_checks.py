@@ -143,6 +143,6 @@ def q_pipe_routes(spark, sf_dir):
     facts = labelled_facts(spark, sf_dir)
     pairs = facts.select("condition", "hour", F.lit("NATION_0").alias("src"),
                          F.col("to_node").alias("dst")).distinct()
-    res = J.routes_by_scenario(facts, pairs, ["condition", "hour"])
+    res = J.routes_by_scenario(facts, pairs, ["condition", "hour"], cost_decimals=3)
     return res.select("condition", "hour", "src", "dst", "status", "total",
                       F.array_join("path", ",").alias("path"), "hops")

@@ -18,6 +18,7 @@ it is only filled in here when the session has none (local runs and tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -32,13 +33,19 @@ SESSION_CONF = {
 }
 
 
-def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "roadcast", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the package conventions applied."""
-    builder = (SparkSession.builder.master(master).appName(app_name)
+    """Build (or reuse) a session with the package conventions applied.
+
+    Master and shuffle width stay as submitted unless they are given.
+    """
+    builder = (SparkSession.builder.appName(app_name)
                .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+               .config("spark.ui.showConsoleProgress", "false"))
+    if master is not None:
+        builder = builder.master(master)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**SESSION_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -56,8 +63,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; one is chosen only when none is set.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``.  When the
-    setting is absent (local runs, tests) a folder under the local temp
-    directory is used, which is only valid for ``local[*]`` masters.
+    setting is absent a folder under the local temp directory is used for
+    local masters (tests); on any other master that is an error, since
+    executors do not share it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -65,6 +73,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.match(r"local(\[[^,\]]*(,[^,\]]*)?\])?$", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = os.path.join(tempfile.gettempdir(), f"roadcast-ckpt-{uuid.uuid4().hex[:12]}")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

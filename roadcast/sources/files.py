@@ -5,14 +5,13 @@ header repairs as projections, the period taken from each file's name via
 ``_metadata.file_path`` (no driver-side listing of data), explicit schemas.
 
 Writing: Parquet (default) or JSON, optionally partitioned; reuse-or-rebuild
-of prepared datasets decided by whether the path can be read.
+of prepared datasets decided by the commit marker of the earlier write.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,18 +93,33 @@ def read_monthly(spark: SparkSession, layouts: Mapping[str, Sequence[str]], sche
     """
     fixes = {**LAYOUT_REPAIRS, **(repairs or {})}
     frames = []
+    src = F.col("_metadata.file_path")
     for layout, paths in layouts.items():
-        if not paths:
-            continue
-        raw = read_csv(spark, list(paths), None, encoding)
-        fixed = drop_index_column(fixes[layout](raw))
-        src = F.col("_metadata.file_path")
-        frames.append(conform_schema(fixed, schema)
-                      .withColumn("source_file", base_name(src, name_level))
-                      .withColumn("period", file_period(base_name(src, name_level))["period"]))
+        for raw in read_by_header(spark, paths, encoding):
+            fixed = drop_index_column(fixes[layout](raw))
+            frames.append(conform_schema(fixed, schema)
+                          .withColumn("source_file", base_name(src, name_level))
+                          .withColumn("period", file_period(base_name(src, name_level))["period"]))
     return union_all(frames)
 
 
+def read_by_header(spark: SparkSession, paths: Sequence[str], encoding: str = "cp949") -> list[DataFrame]:
+    """One all-text scan per distinct header among the files of ``paths``.
+
+    Spark takes the first file's header for all files of a read, which would
+    swap the columns of a file in another order without an error.  Only file
+    names and header lines come to the driver; a header is read per file.
+    """
+    if not paths:
+        return []
+    files = sorted(r["path"] for r in spark.read.format("binaryFile").load(list(paths)).select("path").distinct().collect())
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        by_header.setdefault(tuple(read_csv(spark, f, None, encoding).columns), []).append(f)
+    text = [T.StructType([T.StructField(c, T.StringType()) for c in header]) for header in by_header]
+    return [read_csv(spark, group, schema, encoding) for schema, group in zip(text, by_header.values())]
+
+
 def file_names(spark: SparkSession, path: str, name_level: int = 0) -> DataFrame:
     """(file, digits, ext, period) of every file under ``path`` (metadata only)."""
     files = (spark.read.format("binaryFile").load(path)
@@ -169,29 +183,25 @@ def read_prepared(spark: SparkSession, path: str, schema: T.StructType | None =
     return df.select(*schema.fieldNames()) if schema is not None else df
 
 
-def _missing_path(exc: AnalysisException) -> bool:
-    cond = getattr(exc, "getCondition", None) or getattr(exc, "getErrorClass", None)
-    name = cond() if cond else None
-    return name == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(exc)
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was committed (its ``_SUCCESS`` marker is there);
+    an interrupted write leaves none and is not reused."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
 # ---------------------------------------------------------------- K3
 def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame], refresh: bool = False,
                 schema: T.StructType | None = None, fmt: str = "parquet",
                 partition_by: Sequence[str] = ()) -> DataFrame:
-    """Reuse the dataset at ``path`` or build, write and re-read it.
+    """Reuse the dataset at ``path`` if its write was committed, or build, write
+    and re-read it.
 
     Reading back (instead of returning ``build()``) cuts the lineage: later
     stages read files from the shared folder rather than recomputing.
     """
-    if not refresh:
-        try:
-            df = read_prepared(spark, path, schema, fmt)
-            df.schema  # noqa: B018 -- forces path resolution
-            return df
-        except AnalysisException as exc:
-            if not _missing_path(exc):
-                raise
+    if not refresh and is_complete(spark, path):
+        return read_prepared(spark, path, schema, fmt)
     write_prepared(build(), path, fmt, partition_by)
     return read_prepared(spark, path, schema, fmt)
 

@@ -187,3 +187,19 @@ def test_parent_mode_source_without_edges(spark):
     pairs = spark.createDataFrame([(0, 2), (1, 2)], "src long, dst long")
     got = {(r.src, r.dst): (r.status, r.total, r.path) for r in G.route(e, pairs, path_mode="parent").collect()}
     assert got == {(0, 2): ("src_missing", None, None), (1, 2): ("ok", 3, [1, 2])}
+
+
+def test_null_costs_and_ends_are_no_edges(spark):
+    edges = spark.createDataFrame([("A", "B", 1.0), ("B", "T", None), ("A", "C", 2.0), ("C", "T", 4.0), (None, "T", 1.0)],
+                                  "src string, dst string, cost double")
+    pairs = spark.createDataFrame([("A", "T")], "src string, dst string")
+    assert [(r.status, r.total, r.path) for r in G.route(edges, pairs).collect()] == [("ok", 6.0, ["A", "C", "T"])]
+
+
+def test_result_does_not_depend_on_the_number_of_targets(spark):
+    edges = spark.createDataFrame([(i, i + 1, 1.0) for i in range(8)], "src long, dst long, cost double")
+    src = spark.createDataFrame([(0,)], "source long")
+    for n in (1, 5):
+        targets = spark.createDataFrame([(0, 2 + k) for k in range(n)], "source long, target long")
+        got = G.shortest_paths(edges, src, targets=targets).collect()
+        assert sorted((r["id"], r["dist"]) for r in got) == [(2 + k, 2.0 + k) for k in range(n)]

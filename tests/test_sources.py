@@ -111,3 +111,23 @@ def test_transcode_to_cp949(spark, tmp_path):
     assert "시청앞".encode("cp949") in raw and "시청앞".encode("utf-8") not in raw
     back = S.read_csv(spark, f"{d}/dst", None, "cp949")
     assert sorted((r.name, r.n) for r in back.collect()) == [("남산길", "2"), ("시청앞", "1")]
+
+
+def test_read_monthly_takes_each_files_own_header(spark, tmp_path):
+    d = str(tmp_path)
+    write(f"{d}/202111.csv", ",일자,시점명,10시\n0,20211101,시청앞,30.5\n", "cp949")
+    write(f"{d}/202112.csv", ",10시,일자,시점명\n0,12.0,20211201,남산길\n", "cp949")
+    df = S.read_monthly(spark, {"plain": [f"{d}/*.csv"]}, SCHEMA)
+    got = sorted((r["일자"], r["시점명"], r["10시"], str(r.period)) for r in df.collect())
+    assert got == [(20211101, "시청앞", 30.5, "2021-11-01"), (20211201, "남산길", 12.0, "2021-12-01")]
+    write(f"{d}/202201.csv", ",일자,시점명\n0,20220101,남산길\n", "cp949")
+    with pytest.raises(ValueError, match="missing"):
+        S.read_monthly(spark, {"plain": [f"{d}/*.csv"]}, SCHEMA)
+
+
+def test_interrupted_write_is_not_reused(spark, tmp_path):
+    path = str(tmp_path / "m")
+    spark.range(100).repartition(4).write.parquet(path)
+    os.remove(os.path.join(path, "_SUCCESS"))
+    os.remove(os.path.join(path, next(f for f in os.listdir(path) if f.startswith("part-"))))
+    assert S.materialize(spark, path, lambda: spark.range(7)).count() == 7
