@@ -53,9 +53,9 @@ def op3_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op4_dual_cover_tree", """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
       FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT query_id, vec_id, score,
