@@ -14,10 +14,10 @@ the whole sequence).  Two documents are linked when 100 |A n B| >= percent |A u
    chance that it reaches the threshold is below ``MISS``, the pair is dropped.
    Survivors are verified on the complete shingle sets of both texts.
 4. Links form components.  Buckets whose members are in several components
-   then offer every pair that crosses components (members outside the largest
-   against all): what the leaders did not connect is not lost.  A bucket
-   with many of these is first parted by a second shared band, which two
-   documents at the threshold share but for ``(1 - t^ROWS)^(BANDS - 1)``.
+   then compare every pair that crosses components (members outside the largest
+   against all), once each and block by block: what the leaders did not
+   connect is not lost.  Comparisons, not rows, still grow with the square of
+   a family whose members share bands and stay just below the threshold.
 
 Chance of missing a pair at 0.8 in step 2: (1 - 0.8^5)^30 = 7e-6; in step 3,
 MISS per batch.
@@ -42,7 +42,8 @@ BANDS, ROWS = 30, 5
 BATCH = 30
 MISS = 1e-7
 LEADER_ROUNDS = 4
-CROWDED = 256
+BLOCK = 512
+HELD = 400_000         # shingles a task keeps as sets
 _XOR, _MUL = seeds(BANDS * ROWS, 7), seeds(BANDS * ROWS, 77) | np.uint64(1)
 _STEP = seeds(64, 5) | np.uint64(1)
 
@@ -224,27 +225,103 @@ def _leader_pairs(members: DataFrame, turn: int) -> DataFrame:
             .select(F.col("lead.a").alias("a"), F.col("class").alias("b")).distinct())
 
 
-def _crossing_pairs(members: DataFrame, bands: DataFrame) -> DataFrame:
-    """Every pair of a bucket's members that are in different components."""
-    per = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    big = per.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"))
-    big = big.select("key", F.col("top.label").alias("top"), (F.col("all") * (F.col("all") - F.col("top.n"))).alias("cost"))
-    sized = members.join(big, "key")
-    plain = sized.where(F.col("cost") <= CROWDED).select("key", "class", "label", "top")
-    # crowded: parted by every other band the members have
-    crowd = sized.where(F.col("cost") > CROWDED).select("key", "class", "label")
-    other = bands.withColumnRenamed("key", "second")
-    fine = (crowd.join(other, "class").where(F.col("second") != F.col("key"))
-            .select(F.xxhash64("key", "second").alias("key"), "class", "label"))
-    fper = fine.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    ftop = (fper.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("k"))
-            .where("k > 1").select("key", F.col("top.label").alias("top")))
-    # a table: the two parts are partitioned alike but not into as many partitions
-    every = save(plain.unionByName(fine.join(ftop, "key").select("key", "class", "label", "top")), "near-crossing")
-    few = every.where(F.col("label") != F.col("top")).select("key", F.col("class").alias("a"), F.col("label").alias("la"))
-    return (few.join(every.select("key", F.col("class").alias("b"), F.col("label").alias("lb")), "key")
-            .where(F.col("la") != F.col("lb"))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+def _jobs(batches):
+    """(job, its rows as one table) from batches sorted by their first column."""
+    job, parts = None, []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        ids = b.column(0).to_numpy()
+        cut = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), b.num_rows]
+        for at, end in zip(cut, cut[1:]):
+            if parts and ids[at] != job:
+                yield job, pa.Table.from_batches(parts)
+                parts = []
+            job = ids[at]
+            parts.append(b.slice(at, end - at))
+    if parts:
+        yield job, pa.Table.from_batches(parts)
+
+
+def _crossing_links(members: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links between a bucket's members that are in different components.
+
+    Members outside a bucket's largest component meet all others.  Both sides
+    are cut into blocks of about ``BLOCK``; a job compares two blocks, so no
+    candidate becomes a row.  A pair that shares several bands is compared under
+    the first of them only (that bucket is open as well).  A job's survivors
+    go on as one row per class with its partners, get their texts, and are
+    verified job by job.
+    """
+    need = least_matches(percent)
+    every = save(members.select("key", "class", "label").join(sigs.select("class", "size", "sig"), "class"), "near-crossing")
+    per = every.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    top = (per.groupBy("key").agg(F.max(F.struct("n", "label")).alias("t"), F.sum("n").alias("all"))
+           .select("key", F.col("t.label").alias("top"), F.ceil((F.col("all") - F.col("t.n")) / BLOCK).alias("rows"),
+                   F.ceil(F.col("all") / BLOCK).alias("cols")))
+    sized = every.join(top, "key").withColumn("out", F.col("label") != F.col("top"))
+    row, col = F.pmod(F.xxhash64("class", F.lit(1)), F.col("rows")), F.pmod(F.xxhash64("class", F.lit(2)), F.col("cols"))
+    kept = ("key", "class", "label", "out", "size", "sig")
+    asks = sized.where("out").select(*kept, F.lit(True).alias("asks"), row.alias("i"),
+                                     F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("j"))
+    meets = sized.select(*kept, F.lit(False).alias("asks"), col.alias("j"),
+                         F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"))
+    dealt = asks.unionByName(meets).select(F.xxhash64("key", "i", "j").alias("job"), "asks", *kept)
+
+    def compare(batches):
+        for job, t in _jobs(batches):
+            sig = np.frombuffer(b"".join(t.column(7).to_pylist()), dtype=np.uint16).reshape(t.num_rows, -1)
+            asks, out, size = (t.column(k).to_numpy() for k in (1, 5, 6))
+            left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
+            if not left.size or not right.size:
+                continue
+            band = int(np.flatnonzero(band_keys(sig[0]) == t.column(2)[0].as_py())[0])
+            cls, label = t.column(3).to_pylist(), np.array(t.column(4).to_pylist(), dtype=object)
+            partners: dict[bytes, list[bytes]] = {}
+            for x in left:
+                at = right[(label[right] != label[x]) & (100 * np.minimum(size[right], size[x]) >= percent * np.maximum(size[right], size[x]))]
+                # of two members outside the largest component, one asks
+                at = np.array([y for y in at if not out[y] or cls[x] < cls[y]], dtype=np.int64)
+                if at.size:
+                    shared = (sig[at] == sig[x]).reshape(at.size, BANDS, ROWS).all(axis=2)
+                    at = at[shared.argmax(axis=1) == band]
+                    at = at[survives(np.broadcast_to(sig[x], (at.size, sig.shape[1])), sig[at], need)]
+                if at.size:
+                    partners[cls[x]] = [cls[y] for y in at]
+                    for y in partners[cls[x]]:
+                        partners.setdefault(y, [])
+            if partners:
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(partners), job)), pa.array(partners.keys(), pa.binary()),
+                                                  pa.array(partners.values(), pa.list_(pa.binary()))], ["job", "class", "partners"])
+
+    def confirm(batches):
+        for _, t in _jobs(batches):
+            text, sets, held = dict(zip(t.column(1).to_pylist(), t.column(3).to_pylist())), {}, 0
+
+            def of(c):
+                nonlocal held
+                if c not in sets:
+                    found = shingles(text[c], width)
+                    held += len(found)
+                    if held > HELD:
+                        sets.clear()
+                        held = len(found)
+                    sets[c] = found
+                return sets[c]
+            links = []
+            for a, partners in zip(t.column(1).to_pylist(), t.column(2).to_pylist()):
+                for b in partners:
+                    x, y = of(a), of(b)
+                    both = len(x & y)
+                    if 100 * both >= percent * (len(x) + len(y) - both):
+                        links.append((a, b))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*links)], ["a", "b"])
+
+    likely = save(dealt.repartition("job").sortWithinPartitions("job")
+                  .mapInArrow(compare, "job long, class binary, partners array<binary>"), "near-likely")
+    asked = likely.join(texts, "class").select("job", "class", "partners", "text")
+    return asked.repartition("job").sortWithinPartitions("job").mapInArrow(confirm, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -264,7 +341,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = (features.where(F.col("class").isNotNull()).groupBy("class")
             .agg(F.min(F.struct("k1", "k2")).alias("row")))
     sigs = save(features.join(reps.select("class", "row.k1", "row.k2"), ["class", "k1", "k2"]).groupBy("class")
-                .agg(F.first("sig").alias("sig"), F.first("k1").alias("k1"), F.first("k2").alias("k2")), "near-classes")
+                .agg(F.first("sig").alias("sig"), F.first("n_shingles").alias("size"), F.first("k1").alias("k1"),
+                     F.first("k2").alias("k2")), "near-classes")
     bands = _bands(sigs)
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = save(bands.join(shared, "key"), "near-members")
@@ -279,14 +357,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     links = None
 
-    def verify(pairs):
+    def add(found):
         nonlocal links
-        found = save(_verified(save(_likely(pairs, sigs, percent), "near-likely"), texts, percent, width), "near-links")
+        found = save(found, "near-links")
         links = found if links is None else links.unionByName(found)
     for turn in range(LEADER_ROUNDS):
-        verify(_leader_pairs(members, turn))
+        pairs = save(_likely(_leader_pairs(members, turn), sigs, percent), "near-likely")
+        add(_verified(pairs, texts, percent, width))
         members = save(_still_open(members, links), "near-open")     # closed buckets have nothing more to offer
-    verify(_crossing_pairs(members, bands))
+    add(_crossing_links(members, sigs, texts, percent, width))
     links = save(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-all-links")
 
     comp = components(links).select(F.col("id").alias("class"), "label")

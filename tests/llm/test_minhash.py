@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from roadcast.llm import minhash
 from roadcast.llm.components import components
 from roadcast.llm.minhash import (band_keys, chance_at_least, least_matches, near_duplicates, shingle_hashes, shingles,
                                   signature)
@@ -61,6 +62,21 @@ def test_chains_stars_and_copies(spark):
     assert run(spark, rows, width=4) == brute(rows, 4)
 
 
+def test_blocks_alone_find_all_links(spark, monkeypatch):
+    """Without leaders every link comes from the block-wise comparison, over several blocks a bucket."""
+    monkeypatch.setattr(minhash, "LEADER_ROUNDS", 0)
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(60)]
+    rows = []
+    for i in range(40):
+        w = list(base)
+        for _ in range(i % 4):
+            w[rng.randrange(60)] = f"x{rng.randrange(9)}"
+        rows.append((i, " ".join(w)))
+    assert run(spark, rows, width=4) == brute(rows, 4)
+
+
 def test_odd_rows(spark):
     rows = [(r[0], r[1]) for r in odd_rows()]
     assert run(spark, rows, width=4) == brute(rows, 4)
