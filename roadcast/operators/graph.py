@@ -38,7 +38,9 @@ Scale notes
   replays earlier rounds; ``localCheckpoint`` is not used.
 
 Ties are broken by the smallest path (lexicographic on the vertex list), which
-gives one well-defined answer; costs must be strictly positive.
+gives one well-defined answer.  Costs must not be negative; a cycle of zero cost
+never improves a path, since a path sorts before its own extensions.  Parent
+pointers could form such a cycle, so that mode asks for costs above zero.
 """
 
 from __future__ import annotations
@@ -243,7 +245,8 @@ def relax(state: DataFrame, prepared: DataFrame, scenario_cols: Sequence[str] =
 
     Returns the full new state with ``changed`` marking improved rows.
     ``bound`` (<scen>, source, bound) prunes frontier rows whose distance is
-    already >= the bound (exact for positive costs).  ``chunked=False`` (no
+    already > the bound (a zero-cost edge may still lead to a smaller path of
+    equal distance at the bound itself).  ``chunked=False`` (no
     adjacency list was split) joins on (scenario, src) only.  In ``parent``
     mode ties go to the smallest predecessor instead of the smallest path.
     """
@@ -253,7 +256,7 @@ def relax(state: DataFrame, prepared: DataFrame, scenario_cols: Sequence[str] =
     frontier = state.where(F.col("changed"))
     if bound is not None:
         frontier = (frontier.join(bound, [*scen, "source"], "left")
-                    .where(F.col("bound").isNull() | (F.col("dist") < F.col("bound")))
+                    .where(F.col("bound").isNull() | (F.col("dist") <= F.col("bound")))
                     .drop("bound"))
     if chunked:
         frontier = frontier.select(
@@ -347,7 +350,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
                    stats: dict | None = None) -> DataFrame:
     """Least-cost distance (and path) from every source to every reachable vertex.
 
-    edges   : <scen>, src, dst, cost (cost > 0; parallel edges allowed)
+    edges   : <scen>, src, dst, cost (cost >= 0, parent mode > 0; parallel edges allowed)
     sources : <scen>, source
     targets : optional <scen>, source, target -- the frontier of a source is
               pruned once all its targets are reached, and only the targets
@@ -381,9 +384,10 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
     collapsed = collapsed.persist(StorageLevel.MEMORY_AND_DISK)
     n_edges, max_deg, min_cost = out_degree_stats(collapsed, scen, collapsed=True)
     t_setup.append(time.perf_counter())
-    if n_edges and min_cost is not None and min_cost <= 0:
+    mode = _path_mode(with_path, path_mode)
+    if n_edges and min_cost is not None and (min_cost < 0 or min_cost == 0 and mode == "parent"):
         collapsed.unpersist()
-        raise ValueError(f"edge costs must be > 0, found {min_cost}")
+        raise ValueError(f"edge costs must be {'> 0 in parent mode' if mode == 'parent' else '>= 0'}, found {min_cost}")
     # width of the co-partitioned edges (and of the bucketed state): follows the
     # counted edges, at least the cluster's parallelism, at most the shuffle width
     n_parts = partitions or min(
@@ -411,7 +415,6 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
     if targets is not None:
         targets = targets.select(*scen, F.col("source").cast(id_type).alias("source"),
                                  F.col("target").cast(id_type).alias("target")).distinct().cache()
-    mode = _path_mode(with_path, path_mode)
     seed_obs = Observation(f"route_seed_{scratch_path(spark, 'o').rsplit('-', 1)[-1]}")
     seed_path = scratch_path(spark, "route-seed")
     state = _write_read(_observed(seed_state(prepared, sources, scen, path_mode=mode), seed_obs),

@@ -49,9 +49,20 @@ def test_d4_ties_take_smaller_path_and_parallel_edges(spark):
     assert res[("A", "D")] == ("ok", 51.0, ["A", "B", "C", "D"])
 
 
-def test_nonpositive_cost_rejected(spark):
+def test_negative_cost_rejected(spark):
     with pytest.raises(ValueError):
-        routes(spark, D4 + [("B", "A", 0.0)], [("A", "C")])
+        routes(spark, D4 + [("B", "A", -1.0)], [("A", "C")])
+    with pytest.raises(ValueError):      # pointers could form a cycle
+        routes(spark, D4 + [("B", "A", 0.0)], [("A", "C")], path_mode="parent")
+
+
+def test_zero_and_null_costs(spark):
+    # zero-cost cycle A <-> B, zero-cost last step M -> T with the smaller path, null edge N -> T
+    rows = [("A", "B", 0.0), ("B", "A", 0.0), ("A", "T", 6.0), ("A", "M", 6.0), ("M", "T", 0.0), ("A", "N", 1.0), ("N", "T", None)]
+    res = routes(spark, rows, [("A", "T"), ("B", "T"), ("A", "B"), ("A", "N")])
+    assert res == {("A", "T"): ("ok", 6.0, ["A", "M", "T"]),
+                   ("B", "T"): ("ok", 6.0, ["B", "A", "M", "T"]),
+                   ("A", "B"): ("ok", 0.0, ["A", "B"]), ("A", "N"): ("ok", 1.0, ["A", "N"])}
 
 
 def test_hub_chunking_gives_same_answer(spark):
