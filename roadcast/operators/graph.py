@@ -23,18 +23,15 @@ Scale notes
   (scenario, src, chunk), so no single task expands a whole hub.
 * Candidates are pre-aggregated map-side (``min`` is partial) before the
   shuffle on (scenario, source, target), then merged into the state with a
-  full outer join on the same keys.  A small state is shuffled for the merge;
-  a state above ``bucket_min_rows`` is stored as a table bucketed on those
-  keys, so the merge reads it in place and only candidates move.
+  full outer join on the same keys.
 * Edges are collapsed once (the edge source is read once), then checkpointed
   hash-partitioned and sorted on the join keys (scenario, src[, chunk]) with
   adaptive execution paused so the partitioning is recorded: no round
-  re-shuffles or re-sorts them; only the frontier moves.  Broadcasting them
-  instead (``broadcast_max_edges``, off by default) re-ships every edge every
-  round; the decision is taken on the counted edge number.
+  re-shuffles or re-sorts them; only the frontier moves.
+* No size switches anything: every graph takes the same joins and the same store.
 * Each round is one job: written once to a folder under
   ``spark.checkpoint.dir`` (two alternating folders) with an ``Observation``
-  counting rows and changed rows, then read back.  A lost executor never
+  counting changed rows, then read back.  A lost executor never
   replays earlier rounds; ``localCheckpoint`` is not used.
 
 Ties are broken by the smallest path (lexicographic on the vertex list), which
@@ -150,22 +147,16 @@ def collapse_edges(edges: DataFrame, scenario_cols: Sequence[str] = ()) -> DataF
 
 
 def prepare_edges(edges: DataFrame, scenario_cols: Sequence[str] = (),
-                  fanout_chunk: int = 50_000, max_out_degree: int | None = None,
-                  collapsed: bool = False) -> DataFrame:
+                  fanout_chunk: int = 50_000, collapsed: bool = False) -> DataFrame:
     """Collapse parallel edges to their minimum and split hot adjacency lists.
 
     Output: <scen>, src, chunk, dst, cost, dst_chunks.  ``chunk`` is a hash
     bucket of the edge inside the adjacency list of ``src`` (one bucket unless
     the out-degree exceeds ``fanout_chunk``); ``dst_chunks`` is the number of
-    buckets of the target (1 for vertices without out-edges).  When the
-    largest out-degree is known to be within one chunk (``max_out_degree``),
-    the degree joins are skipped.
+    buckets of the target (1 for vertices without out-edges).
     """
     scen = _cols(scenario_cols)
     e = edges if collapsed else collapse_edges(edges, scen)
-    if max_out_degree is not None and max_out_degree <= fanout_chunk:
-        return e.select(*scen, "src", F.lit(0).alias("chunk"), "dst", "cost",
-                        F.lit(1).alias("dst_chunks"))
     deg = (e.groupBy(*scen, "src").agg(F.count(F.lit(1)).alias("deg"))
            .select(*scen, "src",
                    ((F.col("deg") + (fanout_chunk - 1)) / F.lit(fanout_chunk))
@@ -223,13 +214,10 @@ def seed_state(prepared: DataFrame, sources: DataFrame, scenario_cols: Sequence[
         path_col = (F.array(F.col("source")) if mode == "array" else F.lit(None))
         path_col = path_col.cast(T.ArrayType(id_type, containsNull=True)).alias("path")
     seeds = sources.select(*scen, "source").distinct()
-    if "chunk" in prepared.columns:
-        # chunk count of each source = max(chunk)+1 over its out-edges
-        src_chunks = (prepared.groupBy(*scen, F.col("src").alias("source"))
-                      .agg((F.max("chunk") + 1).alias("chunks")))
-        seeds = seeds.join(src_chunks, [*scen, "source"], "left")
-    else:
-        seeds = seeds.withColumn("chunks", F.lit(1))
+    # chunk count of each source = max(chunk)+1 over its out-edges
+    src_chunks = (prepared.groupBy(*scen, F.col("src").alias("source"))
+                  .agg((F.max("chunk") + 1).alias("chunks")))
+    seeds = seeds.join(src_chunks, [*scen, "source"], "left")
     return seeds.select(*scen, "source", F.col("source").alias("id"),
                         F.lit(0).cast(prepared.schema["cost"].dataType).alias("dist"),
                         path_col,
@@ -238,16 +226,14 @@ def seed_state(prepared: DataFrame, sources: DataFrame, scenario_cols: Sequence[
 
 
 def relax(state: DataFrame, prepared: DataFrame, scenario_cols: Sequence[str] = (),
-          with_path: bool = True, broadcast_edges: bool = False,
-          bound: DataFrame | None = None, chunked: bool = True,
+          with_path: bool = True, bound: DataFrame | None = None,
           path_mode: str | None = None) -> DataFrame:
     """One round: changed vertices send dist+cost; accept strictly smaller.
 
     Returns the full new state with ``changed`` marking improved rows.
     ``bound`` (<scen>, source, bound) prunes frontier rows whose distance is
     already > the bound (a zero-cost edge may still lead to a smaller path of
-    equal distance at the bound itself).  ``chunked=False`` (no
-    adjacency list was split) joins on (scenario, src) only.  In ``parent``
+    equal distance at the bound itself).  In ``parent``
     mode ties go to the smallest predecessor instead of the smallest path.
     """
     scen = _cols(scenario_cols)
@@ -258,31 +244,30 @@ def relax(state: DataFrame, prepared: DataFrame, scenario_cols: Sequence[str] =
         frontier = (frontier.join(bound, [*scen, "source"], "left")
                     .where(F.col("bound").isNull() | (F.col("dist") <= F.col("bound")))
                     .drop("bound"))
-    if chunked:
-        frontier = frontier.select(
-            *scen, "source", F.col("id").alias("src"), "dist", "path",
-            F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-        join_keys = [*scen, "src", "chunk"]
+    frontier = frontier.select(
+        *scen, "source", F.col("id").alias("src"), "dist", "path",
+        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    cand = frontier.join(prepared, [*scen, "src", "chunk"])
+    if mode == "none":       # numbers only: a hash aggregate, no sort
+        best = (cand.select(*scen, "source", F.col("dst").alias("id"), (F.col("dist") + F.col("cost")).alias("d"),
+                            F.col("dst_chunks").alias("c"))
+                .groupBy(*keys).agg(F.min("d").alias("new_d"), F.min("c").alias("new_c")))
+        best = best.withColumn("new_p", F.lit(None).cast(state.schema["path"].dataType))
     else:
-        frontier = frontier.select(*scen, "source", F.col("id").alias("src"), "dist", "path")
-        join_keys = [*scen, "src"]
-    e = F.broadcast(prepared) if broadcast_edges else prepared
-    cand = frontier.join(e, join_keys)
-    new_path = {"array": F.concat(F.col("path"), F.array(F.col("dst"))),
-                "parent": F.col("src"),
-                "none": F.col("path")}[mode]
-    best = (cand.select(*scen, "source", F.col("dst").alias("id"),
-                        F.struct((F.col("dist") + F.col("cost")).alias("d"),
-                                 new_path.alias("p"),
-                                 F.col("dst_chunks").alias("c")).alias("m"))
-            .groupBy(*keys).agg(F.min("m").alias("m")))
+        new_path = F.concat(F.col("path"), F.array(F.col("dst"))) if mode == "array" else F.col("src")
+        best = (cand.select(*scen, "source", F.col("dst").alias("id"),
+                            F.struct((F.col("dist") + F.col("cost")).alias("d"),
+                                     new_path.alias("p"),
+                                     F.col("dst_chunks").alias("c")).alias("m"))
+                .groupBy(*keys).agg(F.min("m").alias("m"))
+                .select(*keys, F.col("m.d").alias("new_d"), F.col("m.p").alias("new_p"), F.col("m.c").alias("new_c")))
     merged = state.drop("changed").join(best, keys, "full_outer")
-    improved = _better(F.col("m.d"), F.col("m.p"), F.col("dist"), F.col("path"))
+    improved = _better(F.col("new_d"), F.col("new_p"), F.col("dist"), F.col("path"))
     return merged.select(
         *keys,
-        F.when(improved, F.col("m.d")).otherwise(F.col("dist")).alias("dist"),
-        F.when(improved, F.col("m.p")).otherwise(F.col("path")).alias("path"),
-        F.coalesce(F.col("chunks"), F.col("m.c")).alias("chunks"),
+        F.when(improved, F.col("new_d")).otherwise(F.col("dist")).alias("dist"),
+        F.when(improved, F.col("new_p")).otherwise(F.col("path")).alias("path"),
+        F.coalesce(F.col("chunks"), F.col("new_c")).alias("chunks"),
         F.coalesce(improved, F.lit(False)).alias("changed"))
 
 
@@ -328,24 +313,14 @@ def _write_read(df: DataFrame, path: str) -> DataFrame:
 
 
 def _observed(state: DataFrame, obs: Observation) -> DataFrame:
-    """Count rows and changed rows while the round is written (no extra job)."""
-    return state.observe(obs, F.count(F.lit(1)).alias("n"),
-                         F.count_if(F.col("changed")).alias("c"))
-
-
-def _state_counts(state: DataFrame) -> tuple[int, int]:
-    """(rows, changed rows) of a state, one aggregation job."""
-    row = state.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("changed")).alias("c")).first()
-    return int(row["n"]), int(row["c"])
+    """Count changed rows while the round is written (no extra job)."""
+    return state.observe(obs, F.count_if(F.col("changed")).alias("c"))
 
 
 def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence[str] = (),
                    with_path: bool = True, max_rounds: int | None = None,
-                   targets: DataFrame | None = None, broadcast_max_edges: int = 0,
-                   fanout_chunk: int = 50_000, partitions: int | None = None,
-                   checkpoint_every: int = 1, steps_per_round: int = 1,
-                   edges_collapsed: bool = False,
-                   state_store: str = "auto", bucket_min_rows: int = 2_000_000,
+                   targets: DataFrame | None = None, fanout_chunk: int = 50_000,
+                   partitions: int | None = None, edges_collapsed: bool = False,
                    edges_per_partition: int = 200_000, path_mode: str | None = None,
                    stats: dict | None = None) -> DataFrame:
     """Least-cost distance (and path) from every source to every reachable vertex.
@@ -361,18 +336,9 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
               predecessor), so the state does not grow with route length;
               ``trace_paths`` rebuilds the paths of the targets asked for.
 
-    Every round's state is written once to the shared checkpoint folder and
-    read back, so a lost executor never replays earlier rounds:
-
-    * ``state_store="table"``: Parquet, two alternating folders (bounded disk);
-    * ``"bucketed"``: a table bucketed on (scenario, source, vertex) with the
-      shuffle width, so the next merge reads the state already partitioned
-      and only the candidates are shuffled;
-    * ``"auto"`` (default): ``table`` while the counted state is at most
-      ``bucket_min_rows`` rows, ``bucketed`` beyond (the catalog and bucket
-      writing overhead only pays off for a large state);
-    * ``"checkpoint"``: persist, count, then reliable ``checkpoint()`` every
-      ``checkpoint_every`` rounds.
+    Every round's state is written once to the shared checkpoint folder (two
+    alternating Parquet folders: bounded disk) and read back, so a lost
+    executor never replays earlier rounds.
     """
     scen = _cols(scenario_cols)
     spark = edges.sparkSession
@@ -388,25 +354,16 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
     if n_edges and min_cost is not None and (min_cost < 0 or min_cost == 0 and mode == "parent"):
         collapsed.unpersist()
         raise ValueError(f"edge costs must be {'> 0 in parent mode' if mode == 'parent' else '>= 0'}, found {min_cost}")
-    # width of the co-partitioned edges (and of the bucketed state): follows the
-    # counted edges, at least the cluster's parallelism, at most the shuffle width
-    n_parts = partitions or min(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        max(spark.sparkContext.defaultParallelism, -(-n_edges // edges_per_partition)))
-    prepared = prepare_edges(collapsed, scen, fanout_chunk, max_out_degree=max_deg, collapsed=True)
-    chunked = max_deg > fanout_chunk
-    broadcast_edges = n_edges <= broadcast_max_edges
-    keys = [*scen, "src", "chunk"] if chunked else [*scen, "src"]
-    if not chunked:
-        prepared = prepared.drop("chunk")
+    # width of the co-partitioned edges: follows the counted edges, at least the
+    # cluster's parallelism, so a partition never outgrows edges_per_partition by size alone
+    n_parts = partitions or max(spark.sparkContext.defaultParallelism, -(-n_edges // edges_per_partition))
+    prepared = prepare_edges(collapsed, scen, fanout_chunk, collapsed=True)
+    keys = [*scen, "src", "chunk"]
     with _static_plan(spark):
-        if broadcast_edges:
-            prepared = prepared.checkpoint(eager=True)
-        else:
-            # partitioned and sorted on the join keys: the frontier join neither
-            # shuffles nor re-sorts the edges in any round
-            prepared = (prepared.repartition(n_parts, *keys).sortWithinPartitions(*keys)
-                        .checkpoint(eager=True))
+        # partitioned and sorted on the join keys: the frontier join neither
+        # shuffles nor re-sorts the edges in any round
+        prepared = (prepared.repartition(n_parts, *keys).sortWithinPartitions(*keys)
+                    .checkpoint(eager=True))
     collapsed.unpersist()
 
     t_setup.append(time.perf_counter())
@@ -423,57 +380,28 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
     t_setup.append(time.perf_counter())
     rounds = 0
     t_round = [time.perf_counter()]
-    state_rows, n_changed = seed_obs.get["n"], seed_obs.get["c"]
+    n_changed = seed_obs.get["c"]
     frontier_sizes = [n_changed]
-    held = None                         # persisted (not checkpointed) state, if any
-    if state_store not in ("auto", "bucketed", "table", "checkpoint"):
-        raise ValueError(f"unknown state_store {state_store!r}")
-    table_base = scratch_path(spark, "route-state") if state_store != "checkpoint" else None
-    table_tag = table_base.rsplit("-", 1)[-1] if table_base else ""
-    state_keys = [*scen, "source", "id"]
+    table_base = scratch_path(spark, "route-state")
+    table_tag = table_base.rsplit("-", 1)[-1]
     while n_changed:
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"no fixpoint after {max_rounds} rounds "
                                f"({n_changed} vertices still improving)")
         bound = _target_bound(state, targets, scen) if targets is not None else None
-        nxt = state
-        for _ in range(steps_per_round):
-            nxt = relax(nxt, prepared, scen, with_path, broadcast_edges, bound, chunked, mode)
+        nxt = relax(state, prepared, scen, with_path, bound, mode)
         rounds += 1
-        store = state_store
-        if store == "auto":
-            store = "bucketed" if state_rows > bucket_min_rows else "table"
-        if store == "bucketed":
-            # bucketed on the state keys with the shuffle width: the next merge
-            # reads the state already hash-partitioned, only candidates move
-            name = f"roadcast_route_state_{table_tag}_{rounds % 2}"
-            obs = Observation(f"{name}_{rounds}")
-            (_observed(nxt, obs).write.mode("overwrite").bucketBy(n_parts, *state_keys)
-             .option("path", f"{table_base}/s{rounds % 2}").saveAsTable(name))
-            nxt = spark.table(name)
-            state_rows, n_changed = obs.get["n"], obs.get["c"]
-        elif store == "table":
-            # one job writes the round; two alternating folders bound the disk
-            # use, and the next round reads only files (no lineage)
-            path = f"{table_base}/s{rounds % 2}"
-            obs = Observation(f"route_state_{table_tag}_{rounds}")
-            _observed(nxt, obs).write.mode("overwrite").parquet(path)
-            nxt = spark.read.schema(nxt.schema).parquet(path)
-            state_rows, n_changed = obs.get["n"], obs.get["c"]
-        else:
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            state_rows, n_changed = _state_counts(nxt)         # materialises the round once
-            if held is not None:
-                held.unpersist()
-            held = nxt
-            if rounds % checkpoint_every == 0 or not n_changed:
-                nxt = nxt.checkpoint(eager=True)                # written from the cache
-                held.unpersist()
-                held = None
+        # one job writes the round; two alternating folders bound the disk
+        # use, and the next round reads only files (no lineage)
+        path = f"{table_base}/s{rounds % 2}"
+        obs = Observation(f"route_state_{table_tag}_{rounds}")
+        _observed(nxt, obs).write.mode("overwrite").parquet(path)
+        nxt = spark.read.schema(nxt.schema).parquet(path)
+        n_changed = obs.get["c"]
         frontier_sizes.append(n_changed)
         state = nxt
         t_round.append(time.perf_counter())
-    if table_base is not None and rounds >= 1:
+    if rounds >= 1:
         # the final state no longer depends on the seed or on the other
         # alternating folder: empty them (an overwrite with no rows) so one
         # state's worth of data remains per call
@@ -482,7 +410,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
         for path in stale:
             empty.write.mode("overwrite").parquet(path)
     if stats is not None:
-        stats.update(rounds=rounds, edges=n_edges, broadcast_edges=broadcast_edges, chunked=chunked,
+        stats.update(rounds=rounds, edges=n_edges, chunked=max_deg > fanout_chunk,
                      frontier=frontier_sizes,
                      round_s=[round(b - a, 2) for a, b in zip(t_round, t_round[1:])],
                      setup_s=[round(b - a, 2) for a, b in zip(t_setup, t_setup[1:])])

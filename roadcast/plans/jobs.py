@@ -115,26 +115,19 @@ def condition_report(conditions: DataFrame, label: str = "condition",
 
 
 # ---------------------------------------------------------------- Q5
-def scenario_edges(facts: DataFrame, scenario_cols: Sequence[str] = ("condition", "hour"),
-                   cost_decimals: int | None = None) -> DataFrame:
-    """Mean travel time per (scenario, link, from, to) as directed edges.
-
-    ``cost_decimals`` rounds the mean, for callers that need equal routes to
-    tie exactly whatever the summation order; by default it is not rounded.
-    """
+def scenario_edges(facts: DataFrame, scenario_cols: Sequence[str] = ("condition", "hour")) -> DataFrame:
+    """Mean travel time per (scenario, link, from, to) as directed edges."""
     by = [*scenario_cols, "link_id", "from_node", "to_node"]
     costs = R.edge_costs(facts, by, "travel_s")
-    if cost_decimals is not None:
-        costs = costs.withColumn("travel_s", F.round("travel_s", cost_decimals))
     edges, _ = G.build_graph(costs, scenario_cols)
     return edges
 
 
 def routes_by_scenario(facts: DataFrame, pairs: DataFrame,
                        scenario_cols: Sequence[str] = ("condition", "hour"),
-                       vertices: str = "both", cost_decimals: int | None = None, **kw) -> DataFrame:
+                       vertices: str = "both", **kw) -> DataFrame:
     """Least-time routes for (scenario, src, dst) requests, every scenario at once."""
-    edges = scenario_edges(facts, scenario_cols, cost_decimals)
+    edges = scenario_edges(facts, scenario_cols)
     return G.route(edges, pairs, scenario_cols, vertices=vertices, **kw)
 
 

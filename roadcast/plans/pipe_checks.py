@@ -131,18 +131,21 @@ def q_pipe_condition_report(spark, sf_dir):
 
 ROUTE_EDGES_SQL = f"""{WIDE_SQL}, {COND_SQL},
   e AS (SELECT condition, hour, from_node AS src, to_node AS dst,
-               round(avg(travel_s), 3) AS cost
+               avg(floor(travel_s * 1024) / 1024) AS cost
         FROM lf GROUP BY condition, hour, link_id, from_node, to_node)"""
 ROUTE_REQ_SQL = """
-  req AS (SELECT DISTINCT condition, hour, 'NATION_0' AS src, to_node AS dst FROM lf)"""
+  req AS (SELECT condition, hour, 'NATION_0' AS src, to_node AS dst FROM lf
+          UNION SELECT condition, hour, from_node, to_node FROM lf)"""
 
 
 @register("pipe_routes", oracle=_route_sql(ROUTE_EDGES_SQL, ROUTE_REQ_SQL, ["condition", "hour"],
                                           "both", dist_type="DOUBLE"))
 def q_pipe_routes(spark, sf_dir):
-    facts = labelled_facts(spark, sf_dir)
-    pairs = facts.select("condition", "hour", F.lit("NATION_0").alias("src"),
-                         F.col("to_node").alias("dst")).distinct()
-    res = J.routes_by_scenario(facts, pairs, ["condition", "hour"], cost_decimals=3)
+    # travel times in whole 1/1024 s: their sums are exact, so both engines get
+    # the same means whatever the order of summation
+    facts = labelled_facts(spark, sf_dir).withColumn("travel_s", F.floor(F.col("travel_s") * 1024) / 1024)
+    pairs = facts.select("condition", "hour", F.lit("NATION_0").alias("src"), F.col("to_node").alias("dst")).unionByName(
+        facts.select("condition", "hour", F.col("from_node").alias("src"), F.col("to_node").alias("dst"))).distinct()
+    res = J.routes_by_scenario(facts, pairs, ["condition", "hour"])
     return res.select("condition", "hour", "src", "dst", "status", "total",
                       F.array_join("path", ",").alias("path"), "hops")

@@ -4,8 +4,8 @@ Input files are written from the driver tables in the layout the reference
 reads: cp949 CSV with Korean headers and a leading index column.
 
 * speed files: every line of ``lineitem`` joined to its order (see
-  ``pipe_checks.speed_wide``), one file per order year, named after the last
-  month of that year (``1995년 12월 통행속도.csv`` ...), so conforming to the
+  ``pipe_checks.speed_wide``), one folder per order year, named after the last
+  month of that year (``month=1995년 12월 통행속도`` ...), so conforming to the
   newest file keeps the links of the newest year;
 * weather file: per ship day and line status the number of lines (as
   temperature) and the quantity shipped (as rain) at 10:00, with no snow.
@@ -29,23 +29,20 @@ KOREAN = {v: k for k, v in SPEED_COLUMNS.items()}
 KOREAN_WEATHER = {v: k for k, v in WEATHER_COLUMNS.items()}
 
 
-def _write_csv(df, path):
-    df.write.mode("overwrite").option("header", True).option("encoding", "cp949").csv(path)
+def _csv(df):
+    return df.write.mode("overwrite").option("header", True).option("encoding", "cp949")
 
 
 def write_inputs(spark, sf_dir, base):
-    wide = speed_wide(spark, sf_dir).withColumn("year", F.substring(F.col("date").cast("string"), 1, 4))
+    wide = speed_wide(spark, sf_dir).withColumn(
+        "month", F.concat(F.substring(F.col("date").cast("string"), 1, 4), F.lit("년 12월 통행속도")))
     speed = wide.select(F.col("l_orderkey").alias(""), F.col("date").alias(KOREAN["date"]),
                         F.col("link_id").alias(KOREAN["link_id"]),
                         F.col("from_node").alias(KOREAN["from_node"]),
                         F.col("to_node").alias(KOREAN["to_node"]),
-                        F.col("distance_m").alias(KOREAN["distance_m"]), "10시", "15시", "year")
-    years = sorted(r[0] for r in speed.select("year").distinct().collect())   # a handful of values
-    paths = []
-    for y in years:
-        path = f"{base}/speed/{y}년 12월 통행속도.csv"
-        _write_csv(speed.where(F.col("year") == y).drop("year"), path)
-        paths.append(path)
+                        F.col("distance_m").alias(KOREAN["distance_m"]), "10시", "15시", "month")
+    # one write for all months; rebalance splits a month that is too large for a task
+    _csv(speed.hint("rebalance", "month")).partitionBy("month").csv(f"{base}/speed")
     li = load(spark, sf_dir, "lineitem")
     obs = li.groupBy(F.timestamp_add("HOUR", F.lit(10), F.col("l_shipdate")).alias("ts"),
                      F.col("l_linestatus").alias("station")).agg(
@@ -55,11 +52,8 @@ def write_inputs(spark, sf_dir, base):
                          F.col("temp_c").alias(KOREAN_WEATHER["temp_c"]),
                          F.col("rain_mm").alias(KOREAN_WEATHER["rain_mm"]),
                          F.lit(None).cast("double").alias(KOREAN_WEATHER["snow_cm"]))
-    # one file (days x stations rows): a fixed row order keeps the seeded
-    # k-means initialisation reproducible
-    _write_csv(weather.orderBy(KOREAN_WEATHER["ts"], KOREAN_WEATHER["station"]).coalesce(1),
-               f"{base}/weather")
-    return paths, f"{base}/weather"
+    _csv(weather).csv(f"{base}/weather")
+    return [f"{base}/speed/*"], f"{base}/weather"
 
 
 def requests(labelled):

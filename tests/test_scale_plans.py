@@ -95,15 +95,18 @@ def test_chunked_round_keeps_edges_in_place_and_answers_match(spark, monkeypatch
 
 def test_library_pulls_only_one_row_summaries():
     """Operators, sources and jobs never collect data to the driver: the only
-    driver-side reads are one-row aggregates (``.agg(...).first()``)."""
+    driver-side reads are one-row aggregates (``.agg(...).first()``) and the
+    names of input files.  Query fixtures are held to the same rule."""
     import pathlib
 
     root = pathlib.Path(__file__).resolve().parents[1] / "roadcast"
     offenders = []
     for path in root.rglob("*.py"):
-        if path.name.endswith("_checks.py"):      # query fixtures, not library code
+        if path.parent.name == "llm":             # separate subpackage with documented bounds of its own
             continue
         for no, line in enumerate(path.read_text().splitlines(), 1):
+            if 'format("binaryFile")' in line and 'select("path")' in line:
+                continue                          # names of input files: their headers are read one by one
             if any(t in line for t in (".collect()", "toPandas(", ".take(", ".head(", ".toLocalIterator(")):
                 offenders.append(f"{path.name}:{no}: {line.strip()}")
             if ".first()" in line and ".agg(" not in line:
