@@ -5,7 +5,7 @@ the next one's documents.  All but the last return the columns of ``documents``.
 
 1. language ID: documents without a letter, or of which less than
    ``LEAST_SCORE`` of the n-grams belong to any learned language, go.
-2. line dedup: repeated chunks of lines are removed from the texts; a document
+2. line dedup: repeated runs of two lines or more are removed from the texts; a document
    of which nothing but white space is left goes.
 3. MinHash near-dedup (five-word shingles, similarity 0.8): one document of
    each group stays.
@@ -56,7 +56,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_stage
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    cleaned = line_dedup(docs, keep=others)
+    cleaned = line_dedup(docs, keep=others, runs=True)
     return (cleaned.where((F.col("n_chunks") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
             .withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns))
 

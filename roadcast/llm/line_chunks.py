@@ -7,6 +7,14 @@ earlier in the corpus (smaller id, or same document and earlier) is removed
 after its bytes compared equal to the first occurrence; chunks of one line and
 chunks shorter than ``least`` bytes stay.
 
+That rule alone sees a repeat only where whole chunks lie inside the shared
+passage.  With ``runs`` (what the query and the pipeline use) every place of
+the rolling hash counts: a *window* is the fewest lines, at least ``WINDOW``
+and ``least`` bytes, that start or that end at a line.  Any run of lines that
+occurs earlier is covered by windows inside it, so the removed bytes, joined
+where windows overlap, are exactly the maximal repeated runs of two lines and
+``least`` bytes or more.
+
 Hashes meet first (a row per chunk, no text); only chunks whose hash repeats
 are cut out of the texts again for the comparison, found by a filter of fixed
 size in a scan that shuffles no whole text.
@@ -57,26 +65,67 @@ def _hashed(text: bytes, least: int):
             yield s, e, n, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), body
 
 
+def windows(text: bytes, least: int = LEAST_BYTES) -> list[tuple[int, int, int, int]]:
+    """(start, end, lines, end without the last newline) of the shortest runs of
+    at least ``WINDOW`` lines and ``least`` bytes, from each line and up to each
+    line.  The nothing after a text's last newline is no line."""
+    start, stop, at = [], [], 0
+    for line in text.split(b"\n"):
+        start.append(at)
+        stop.append(at + len(line))
+        at += len(line) + 1
+    if len(start) > 1 and start[-1] == stop[-1]:
+        del start[-1], stop[-1]
+    n, found, j = len(start), set(), 0
+    for i in range(n):
+        j = max(j, i + WINDOW - 1)
+        while j < n and stop[j] - start[i] < least:
+            j += 1
+        if j >= n:
+            break
+        found.add((i, j))
+    i = n - 1
+    for j in range(n - 1, -1, -1):
+        i = min(i, j - WINDOW + 1)
+        while i >= 0 and stop[j] - start[i] < least:
+            i -= 1
+        if i < 0:
+            break
+        found.add((i, j))
+    return [(start[i], start[j + 1] if j + 1 < n else len(text), j - i + 1, stop[j]) for i, j in sorted(found)]
+
+
+def _hashed_windows(text: bytes, least: int):
+    """As ``_hashed``, for all windows."""
+    for s, e, n, stop in windows(text, least):
+        body = text[s:stop]
+        d = xxhash.xxh3_128_digest(body)
+        yield s, e, n, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), body
+
+
 _CHUNK = "array<struct<s:int,e:int,n:int,c1:long,c2:long>>"
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_BYTES,
-               keep: tuple[str, ...] = ()) -> DataFrame:
+               keep: tuple[str, ...] = (), runs: bool = False) -> DataFrame:
     """Row per input row: id, text without repeated chunks, n_lines, n_removed
     (lines), n_chunks (removed) and the ``keep`` columns.
 
+    With ``runs``, all repeated runs of lines go and n_chunks counts them.
+
     A null text stays null (no lines, nothing removed); an empty text has one
     empty line.  Rows order by id, rows without one last; rows equal in id and
     text are one document and keep the same chunks.  An empty table gives an
     empty result.
     """
+    hashed = _hashed_windows if runs else _hashed
     rows = docs.select(F.col(id_col).alias("id"), *row_key(id_col, text_col), utf8(text_col).alias("text"))
     chunk = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("n", pa.int32()), ("c1", pa.int64()), ("c2", pa.int64())]))
     id_sql = rows.schema["id"].dataType.simpleString()
 
     def scan(batches):
         for b in batches:
-            found = [[dict(zip(("s", "e", "n", "c1", "c2"), c)) for c in _hashed(t.as_py(), least)] for t in b.column(3)]
+            found = [[dict(zip(("s", "e", "n", "c1", "c2"), c)) for c in hashed(t.as_py(), least)] for t in b.column(3)]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(found, chunk)], ["id", "k1", "k2", "chunks"])
 
     scanned = save(rows.mapInArrow(scan, f"id {id_sql}, k1 long, k2 long, chunks {_CHUNK}").where(F.size("chunks") > 0), "lines-scan")
@@ -92,7 +141,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for b in batches:
             cols: list[list] = [[] for _ in range(7)]
             for k1, k2, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                got = list(_hashed(t.as_py(), least))
+                got = list(hashed(t.as_py(), least))
                 if got:
                     may = in_filter(bitmap.value, np.array([g[3] for g in got], dtype=np.int64).view(np.uint64))
                     for (s, e, n, c1, c2, body), ok in zip(got, may.tolist()):
@@ -120,16 +169,21 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             text, lines, less, chunks = [], [], [], []
             for t, g in zip(b.column("text"), b.column("gone")):
                 t, g = t.as_py(), g.as_py() or []
-                out, at, n = [], 0, 0
-                for r in g:
-                    out.append(t[at:r["s"]])
-                    part = t[r["s"]:r["e"]]
+                out, at, n, spans = [], 0, 0, []
+                for r in g:                    # windows of one run overlap
+                    if spans and r["s"] < spans[-1][1]:
+                        spans[-1][1] = max(spans[-1][1], r["e"])
+                    else:
+                        spans.append([r["s"], r["e"]])
+                for s, e in spans:
+                    out.append(t[at:s])
+                    part = t[s:e]
                     n += part.count(b"\n") + (not part.endswith(b"\n"))
-                    at = r["e"]
+                    at = e
                 text.append(None if t is None else (b"".join(out) + t[at:]).decode("utf-8", "replace"))
                 lines.append(0 if t is None else t.count(b"\n") + 1)
                 less.append(n)
-                chunks.append(len(g))
+                chunks.append(len(spans))
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(text, pa.string()), pa.array(lines, pa.int64()), pa.array(less, pa.int64()),
                  pa.array(chunks, pa.int64()), *[b.column(f"keep_{c}") for c in keep]],

@@ -72,7 +72,7 @@ def op5_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_line_chunks")
 def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(line_dedup(load(spark, sf_dir, "documents")))
+    return digests(line_dedup(load(spark, sf_dir, "documents"), runs=True))
 
 
 @query("op7_disclosure_pii")
