@@ -10,7 +10,8 @@ the next one's documents.  All but the last return the columns of ``documents``.
 3. MinHash near-dedup (five-word shingles, similarity 0.8): one document of
    each group stays.
 4. mixing: sources are taken to their target weights; a document appears once
-   for each pass that takes words of it, cut where the pass ends.
+   for each pass that takes words of it, cut where the pass ends.  Rows are
+   written in the order of the mix: by the first slot of their pass.
 5. BPE: token ids, and digests of the ids and of the decoded text.
 """
 
@@ -85,10 +86,15 @@ def _first_words(text: str, n: int) -> str:
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # near-dedup left one row per key, so the mix's rows join back one to one
     keyed = docs.select("*", *row_key("doc_id", "text"))
-    taken = save(mix(keyed, keep=("k1", "k2")).where("taken > 0").select("k1", "k2", "size", "first", "second"), "mix-taken")
-    passes = F.filter(F.array("first", "second"), lambda w: w > 0)
-    rows = keyed.join(taken, ["k1", "k2"]).withColumn("words", F.explode(passes))
-    rows = rows.select(*docs.columns, F.when(F.col("words") < F.col("size"), F.col("words")).alias("mix_words"))
+    taken = save(mix(keyed, keep=("k1", "k2")).where("taken > 0").select("k1", "k2", "size", "first", "second", "places"), "mix-taken")
+    early, late = (F.get(F.filter("places", lambda p: (p["turn"] == 0) == F.lit(x)), F.lit(0)) for x in (True, False))
+    passes = F.filter(F.array(*[F.struct(F.col(w).alias("words"), p["at"].alias("at"), p["from"].alias("from"))
+                                for w, p in (("first", early), ("second", late))]), lambda p: p["words"] > 0)
+    taken = taken.select("k1", "k2", "size", passes.alias("passes"))
+    rows = keyed.join(taken, ["k1", "k2"]).withColumn("mix", F.explode("passes"))
+    rows = rows.select(*docs.columns, F.when(F.col("mix.words") < F.col("size"), F.col("mix.words")).alias("mix_words"), "mix")
+    order = ("mix.at", "mix.from", "source")       # late slots of several sources share a place
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("mix")
     at = docs.columns.index("text")
 
     def cut(batches):

@@ -5,7 +5,9 @@ count.  Slot i of the mix belongs to the source under frac(i * golden ratio)
 on the line of cumulative target weights; the slots of a source are ranked and
 its r-th slot takes its r-th block (starting over at the end of the stream).
 The golden ratio's points are spread so evenly that any stretch of the
-schedule holds each source near its weight.
+schedule holds each source near its weight.  Every row carries its places:
+the slots that take words of it and where in the slot they stand, so ordering
+by (at, from) gives the mix.
 
 The last block of a source is cut to what its target still needs, so the words
 taken equal the rounded target; a source whose points have not come up often
@@ -119,8 +121,12 @@ def _slots(size: int, target: int, block: int) -> int:
 def mix(docs: DataFrame, weights: Sequence[float] = (3.0, 1.0, 2.0), share: float = 1.5, ceiling: float = 2.0,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         block_tokens: int = BLOCK_TOKENS, keep: Sequence[str] = ()) -> DataFrame:
-    """Row per input row: id, size, source_size, target, taken (and, for the
-    pipeline, ``first`` / ``second``: words taken in the first and later passes).
+    """Row per input row: id, size, source_size, target, taken, places (and, for
+    the pipeline, ``first`` / ``second``: words taken in the first and later passes).
+
+    ``places``: for each slot with words of the row, in the order of the mix, the
+    slot's place ``at`` in the schedule, the words of the slot before the row's
+    (``from``), the pass (``turn``) and the ``words`` taken; empty when none are.
 
     Sources order by code point, null last, and take ``weights`` in turn.  The
     list of sources and their sizes comes to the driver: it is the mix's own
@@ -158,12 +164,12 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3.0, 1.0, 2.0), share: floa
     taken = (slots.join(F.broadcast(sized), "src_no")
              .withColumn("turn", F.floor(F.col("nth") / F.col("blocks")))
              .withColumn("block", F.col("nth") % F.col("blocks"))
-             .select("src_no", "block", "turn", F.least(
+             .select("src_no", "block", "turn", "at", F.least(
                  F.least((F.col("block") + 1) * block, F.col("words")),
                  F.col("want") - F.col("turn") * F.col("words")).alias("to")))
     # per block: how far the first pass goes, and the later ones together
     blocks = taken.groupBy("src_no", "block").agg(
-        F.collect_list(F.struct("turn", "to")).alias("passes"))      # one entry per pass: at most ceil(ceiling)
+        F.collect_list(F.struct("turn", "at", "to")).alias("passes"))      # one entry per pass: at most ceil(ceiling)
     streams = save(streams.withColumn("row", F.xxhash64("shuffle", "off")), "mix-streams")
     pieces = streams.where("size > 0").select(
         "src_no", "off", "size",
@@ -173,16 +179,22 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3.0, 1.0, 2.0), share: floa
         start = F.greatest(F.col("off"), F.col("block") * block)
         end = F.least(F.col("off") + F.col("size"), (F.col("block") + 1) * block, p["to"])
         return F.greatest(F.lit(0), end - start)
+    place = F.struct("at", F.col("from").cast("long").alias("from"), F.col("turn").cast("int").alias("turn"),
+                     F.col("w").cast("long").alias("words"))
+    none = F.array().cast("array<struct<at:long,from:long,turn:int,words:long>>")
     got = (pieces.join(blocks, ["src_no", "block"])
            .select("src_no", "off", F.explode("passes").alias("p"), "size", "block")
-           .select("src_no", "off", F.col("p.turn").alias("turn"), overlap(F.col("p")).alias("w"))
+           .select("src_no", "off", F.col("p.turn").alias("turn"), F.col("p.at").alias("at"), overlap(F.col("p")).alias("w"),
+                   (F.greatest(F.col("off"), F.col("block") * block) - F.col("block") * block).alias("from"))
            .groupBy("src_no", "off").agg(F.sum(F.when(F.col("turn") == 0, F.col("w")).otherwise(0)).alias("first"),
-                                         F.sum(F.when(F.col("turn") > 0, F.col("w")).otherwise(0)).alias("second")))
+                                         F.sum(F.when(F.col("turn") > 0, F.col("w")).otherwise(0)).alias("second"),
+                                         F.array_sort(F.collect_list(F.when(F.col("w") > 0, place))).alias("places")))
     # rows without words share an offset with the next row: they take nothing
     zero = F.col("size") == 0
     return (streams.join(got, ["src_no", "off"], "left")
             .select(F.col("id").alias(id_col), "size", "source_size", "target",
                     F.when(zero, 0).otherwise(F.coalesce(F.col("first") + F.col("second"), F.lit(0))).cast("long").alias("taken"),
+                    F.when(zero, none).otherwise(F.coalesce("places", none)).alias("places"),
                     F.when(zero, 0).otherwise(F.coalesce("first", F.lit(0))).cast("long").alias("first"),
                     F.when(zero, 0).otherwise(F.coalesce("second", F.lit(0))).cast("long").alias("second"),
                     *[F.col(f"keep_{c}").alias(c) for c in keep]))
