@@ -83,12 +83,12 @@ def anchors(data: np.ndarray, length: int = LENGTH, size: int = ANCHOR):
     return pos, val.view(np.int64), ctx.view(np.int64), left, right
 
 
-def _pack(pos, left, right, key, mark):
-    return pos << 31 | left << 24 | right << 17 | mark << 16 | key
+def _pack(pos, left, right, mark):
+    return pos << 15 | left << 8 | right << 1 | mark
 
 
 def _unpack(x):
-    return x >> 31, x >> 24 & 127, x >> 17 & 127, x >> 16 & 1, x & 0xFFFF
+    return x >> 15, x >> 8 & 127, x >> 1 & 127, x & 1
 
 
 def _groups(*cols) -> np.ndarray:
@@ -116,29 +116,29 @@ def merged(s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s[new], e[np.concatenate([np.flatnonzero(new)[1:] - 1, [s.size - 1]])]
 
 
-def _settle(anchor, ctx, ids, packed):
+def _settle(anchor, ctx, ids, key, packed):
     """Sort; equal contexts of an anchor: which rows are strictly later than the first."""
-    pos, left, _, _, key = _unpack(packed)
+    pos = packed >> 15
     o = np.lexsort((key, pos, ids, ctx, anchor))
-    anchor, ctx, ids, packed = anchor[o], ctx[o], ids[o], packed[o]
+    anchor, ctx, ids, key, packed = anchor[o], ctx[o], ids[o], key[o], packed[o]
     same = _groups(anchor, ctx)
     first = _first_of(same)
-    later = (ids != ids[first]) | (packed >> 31 != packed[first] >> 31)
-    again = ~_groups(anchor, ctx, ids, packed)             # the same place once more
-    return anchor, ctx, ids, packed, later, again
+    later = (ids != ids[first]) | (packed >> 15 != packed[first] >> 15)
+    again = ~_groups(anchor, ctx, ids, key, packed)             # the same place once more
+    return anchor, ctx, ids, key, packed, later, again
 
 
 def _map_side(batches):
-    held: list[list] = [[], [], [], []]
+    held: list[list] = [[], [], [], [], []]
     size = 0
 
     def flush():
-        anchor, ctx, ids, packed, later, again = _settle(*(np.concatenate(c) for c in held))
+        anchor, ctx, ids, keys, packed, later, again = _settle(*(np.concatenate(c) for c in held))
         keep = ~later & ~again
-        out = [anchor[keep], ctx[keep], ids[keep], packed[keep]]
+        out = [anchor[keep], ctx[keep], ids[keep], keys[keep], packed[keep]]
         # repeats inside this task: byte ranges, joined up per document
-        pos, left, right, _, key = _unpack(packed[later & ~again])
-        own = ids[later & ~again]
+        pos, left, right, _ = _unpack(packed[later & ~again])
+        own, key = ids[later & ~again], keys[later & ~again]
         s, e = pos - left, pos + right
         o = np.lexsort((s, key, own))
         own, key, s, e = own[o], key[o], s[o], e[o]
@@ -152,8 +152,8 @@ def _map_side(batches):
             i, k, ms, me = (np.concatenate(c) for c in ranges)
             out = [np.concatenate([out[0], mix64(i.astype(np.uint64) + ms.astype(np.uint64)).view(np.int64)]),
                    np.concatenate([out[1], me]), np.concatenate([out[2], i]),
-                   np.concatenate([out[3], _pack(ms, 0, 0, k, 1)])]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in out], ["anchor", "ctx", "id", "packed"])
+                   np.concatenate([out[3], k]), np.concatenate([out[4], _pack(ms, 0, 0, 1)])]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in out], ["anchor", "ctx", "id", "key", "packed"])
 
     for b in batches:
         for i, key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
@@ -161,34 +161,34 @@ def _map_side(batches):
             if got is None:
                 continue
             pos, val, ctx, left, right = got
-            for col, v in zip(held, (val, ctx, np.full(pos.size, i, dtype=np.int64), _pack(pos, left, right, key, 0))):
+            for col, v in zip(held, (val, ctx, np.full(pos.size, i, dtype=np.int64), np.full(pos.size, key, dtype=np.int64),
+                                    _pack(pos, left, right, 0))):
                 col.append(v)
             size += pos.size
             if size >= FLUSH:
                 yield flush()
-                held, size = [[], [], [], []], 0
+                held, size = [[], [], [], [], []], 0
     if size:
         yield flush()
 
 
-_RANGES = "id long, key int, s int, e int, anchor long, n int, pos int"
+_RANGES = "id long, key long, s int, e int, anchor long, n int, pos int"
 
 
 def _by_anchor(batches):
     """All rows of some anchors: ranges of whole repeats, and the contexts to be indexed (pos >= 0)."""
-    cols: list[list] = [[], [], [], []]
+    cols: list[list] = [[], [], [], [], []]
     for b in batches:
         for col, c in zip(cols, b.columns):
             col.append(c.to_numpy(zero_copy_only=False))
     if not cols[0]:
         return
-    anchor, ctx, ids, packed = (np.concatenate(c) for c in cols)
+    anchor, ctx, ids, key, packed = (np.concatenate(c) for c in cols)
     del cols
-    mark = (packed >> 16 & 1).astype(bool)
-    pos, _, _, _, key = _unpack(packed[mark])
-    yield _ranges(ids[mark], key, pos, ctx[mark])
-    anchor, ctx, ids, packed, later, again = _settle(anchor[~mark], ctx[~mark], ids[~mark], packed[~mark])
-    pos, left, right, _, key = _unpack(packed)
+    mark = (packed & 1).astype(bool)
+    yield _ranges(ids[mark], key[mark], packed[mark] >> 15, ctx[mark])
+    anchor, ctx, ids, key, packed, later, again = _settle(*(c[~mark] for c in (anchor, ctx, ids, key, packed)))
+    pos, left, right, _ = _unpack(packed)
     hit = later & ~again
     yield _ranges(ids[hit], key[hit], (pos - left)[hit], (pos + right)[hit])
     rep = ~later & ~again
@@ -205,7 +205,7 @@ def _by_anchor(batches):
 def _ranges(ids, key, s, e, anchor=None, n=None, pos=None):
     none = np.full(ids.size, -1)
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids.astype(np.int64)), pa.array(key.astype(np.int32)), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32)),
+        [pa.array(ids.astype(np.int64)), pa.array(key.astype(np.int64)), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32)),
          pa.array((none if anchor is None else anchor).astype(np.int64)), pa.array((none if n is None else n).astype(np.int32)),
          pa.array((none if pos is None else pos).astype(np.int32))], ["id", "key", "s", "e", "anchor", "n", "pos"])
 
@@ -343,7 +343,7 @@ def _index_block(rows: list[tuple]):
     return marks, open_
 
 
-_WINDOWS = "id long, key int, s int, e int, digest binary"
+_WINDOWS = "id long, key long, s int, e int, digest binary"
 
 
 def _index_contexts(block: int):
@@ -355,7 +355,7 @@ def _index_contexts(block: int):
             if open_:
                 i, k, s, d = zip(*open_)
                 s = np.array(s, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(k, pa.int32()), pa.array(s),
+                yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(k, pa.int64()), pa.array(s),
                                                   pa.array(s + LENGTH), pa.array(d, pa.binary())], ["id", "key", "s", "e", "digest"])
         rows, last = [], None
         for b in batches:
@@ -378,21 +378,21 @@ def _contexts(batches):
             for a in asks:
                 for col, v in zip(cols, (a["anchor"], a["part"], a["cut"], i, key, a["s"], text[a["s"]:a["e"]])):
                     col.append(v)
-        kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                          ["anchor", "part", "cut", "id", "key", "s", "text"])
 
 
 def repeated_ranges(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     """(id, key, s, e): byte ranges of ``rows`` (id, key, text) covered by repeats."""
-    first = save(rows.mapInArrow(_map_side, "anchor long, ctx long, id long, packed long")
+    first = save(rows.mapInArrow(_map_side, "anchor long, ctx long, id long, key long, packed long")
                  .repartition("anchor").mapInArrow(_by_anchor, _RANGES), "repeat-ranges")
     parts = F.ceil(F.col("n") / block).cast("int")
     asks = (first.where("pos >= 0")
             .withColumn("part", F.pmod(F.xxhash64("id", "key", "pos"), parts).cast("int"))
             .groupBy("id", "key").agg(F.collect_list(F.struct("anchor", "part", (parts > 1).alias("cut"), "s", "e")).alias("asks")))
     texts = (rows.join(asks, ["id", "key"]).select("id", "key", "text", "asks")
-             .mapInArrow(_contexts, "anchor long, part int, cut boolean, id long, key int, s int, text binary"))
+             .mapInArrow(_contexts, "anchor long, part int, cut boolean, id long, key long, s int, text binary"))
     found = save(texts.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
                  .mapInArrow(_index_contexts(block), _WINDOWS), "repeat-index")
     # windows of anchors that were cut into parts: the earliest of each stays
@@ -412,11 +412,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Texts are UTF-8 bytes, null counts as empty; matches never cross rows.
     Rows order by id, rows without one last.  Rows that repeat an id start at
     the same places: a string at the same offset of two such rows is in neither
-    case earlier.  An empty table gives an empty result.
+    case earlier.  A row is told by its id and 64 bits of its text's hash.  An empty table gives an empty result.
     """
     order = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id")
     text = utf8(text_col)
-    rows = docs.select(F.col(id_col).alias("own"), order, F.xxhash64(text).bitwiseAND(0xFFFF).cast("int").alias("key"),
+    rows = docs.select(F.col(id_col).alias("own"), order, F.xxhash64(text).alias("key"),
                        text.alias("text"))
     ranges = (repeated_ranges(rows.select("id", "key", "text"), block).groupBy("id", "key")
               .agg(F.collect_list(F.struct("s", "e")).alias("ranges")))
