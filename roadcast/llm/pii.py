@@ -9,9 +9,14 @@ them holding value e, c(t) holding term t and c(t, e) holding t near e,
 
 is the share of the value's information that the term carries (1: the term
 occurs only with it).  Terms above ``remove`` are removed, above
-``generalise`` replaced by their kind, in the documents where they stand near
-that value; the support ``min_contexts`` counts different contexts, so copies
-of one document do not make its words revealing.
+``generalise`` replaced by their kind, wherever they occur in the documents
+that hold that value.
+
+A pair must also be unlikely to be chance.  Of the m different contexts of a
+value, k hold the term (copies of one document are one context); a term that
+stands anywhere with the rate p = c(t) / N does so with at most
+exp(-m KL(k/m || p)), which is p for one context of one.  Times the number of
+terms tried for the value, this must not exceed ``chance``.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_filter, in_filter, row_key, save
+from .common import bounded_filter, in_filter, keep_probable, row_key, save
 
 KINDS = ("email", "ip", "card", "phone")
 #: The patterns asked for.
@@ -88,11 +93,16 @@ def term_hash(term: str) -> int:
     return xxhash.xxh3_64_intdigest(term.lower().encode()) - (1 << 63)
 
 
+def value_hash(text: str, span: tuple[int, int, int]) -> int:
+    start, kind, end = span
+    return xxhash.xxh3_64_intdigest(f"{KINDS[kind]}:{text[start:end].lower()}".encode()) - (1 << 63)
+
+
 def mentions(text: str, spans: list[tuple[int, int, int]], window: int = WINDOW):
     """(value, context, term, start, end) for the terms near each base span."""
     out = []
     for start, kind, end in spans:
-        value = xxhash.xxh3_64_intdigest(f"{KINDS[kind]}:{text[start:end].lower()}".encode()) - (1 << 63)
+        value = value_hash(text, (start, kind, end))
         near, reach = [], 40 * window
         left = [m for m in _TERM.finditer(text, max(0, start - reach), start)][-window:]
         right = []
@@ -121,7 +131,7 @@ def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            counts, sha, base, terms = [[] for _ in KINDS], [], [], []
+            counts, sha, base, held, terms = [[] for _ in KINDS], [], [], [], []
             for t in b.column(3):
                 text = t.as_py()
                 found = base_spans(text)
@@ -129,15 +139,16 @@ def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     counts[k].append(sum(f[1] == k for f in found))
                 sha.append(hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in found).encode()).hexdigest())
                 base.append([{"start": s, "kind": KINDS[k], "end": e} for s, k, e in found])
+                held.append(list({value_hash(text, f) for f in found}))
                 terms.append([{"value": v, "context": c, "term": term_hash(w), "start": s, "end": e}
                               for v, c, w, s, e in mentions(text, found)] if found else [])
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:3], *[pa.array(c, pa.int64()) for c in counts], pa.array(sha, pa.string()),
-                 pa.array(base, span), pa.array(terms, near)],
-                ["id", "k1", "k2", *[f"n_{k}" for k in KINDS], "base_sha256", "base", "near"])
+                 pa.array(base, span), pa.array(held, pa.list_(pa.int64())), pa.array(terms, near)],
+                ["id", "k1", "k2", *[f"n_{k}" for k in KINDS], "base_sha256", "base", "held", "near"])
 
     return rows.mapInArrow(run, f"id {id_sql}, k1 long, k2 long, " + "".join(f"n_{k} long, " for k in KINDS)
-                           + f"base_sha256 string, base {_SPAN}, near {_NEAR}")
+                           + f"base_sha256 string, base {_SPAN}, held array<long>, near {_NEAR}")
 
 
 def _term_counts(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
@@ -167,30 +178,57 @@ def _term_counts(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
             .groupBy("term").agg(F.sum("docs").alias("docs")))
 
 
-def disclosures(docs: DataFrame, near: DataFrame, text_col: str = "text", min_contexts: int = 3,
+def disclosures(docs: DataFrame, near: DataFrame, holds: DataFrame, text_col: str = "text", chance: float = 0.05,
                 generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
     """(value, term, share, action) of the terms above the disclosure thresholds.
 
     ``near``: k1, k2, value, context, term -- one row per term standing near a
-    protected value.  Counts are over all documents.
+    protected value; ``holds``: k1, k2, value of each document.  Counts are over
+    all documents.
     """
-    in_doc = near.select("k1", "k2", "value", "term").distinct()
-    both = in_doc.groupBy("value", "term").agg(F.count(F.lit(1)).alias("both"))
+    both = (near.select("k1", "k2", "value", "term").distinct()
+            .groupBy("value", "term").agg(F.count(F.lit(1)).alias("both")))
     contexts = (near.select("value", "term", "context").distinct()
                 .groupBy("value", "term").agg(F.count(F.lit(1)).alias("contexts")))
-    held = near.select("k1", "k2", "value").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("held"))
-    pairs = save(contexts.where(F.col("contexts") >= min_contexts).join(both, ["value", "term"]).join(held, "value"),
-                 "pii-pairs")
+    tried = (near.select("value", "context").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("of"))
+             .join(contexts.groupBy("value").agg(F.count(F.lit(1)).alias("terms")), "value"))
+    held = holds.groupBy("value").agg(F.count(F.lit(1)).alias("held"))
+    pairs = save(contexts.join(both, ["value", "term"]).join(tried, "value").join(held, "value"), "pii-pairs")
     total = float(docs.count())
     counts = _term_counts(docs, text_col, pairs.select("term").distinct())
     share = 1 - F.log(F.greatest(F.col("docs") / F.col("both"), F.lit(1.0))) / F.log(F.lit(total) / F.col("held"))
+    q, p = F.col("contexts") / F.col("of"), F.col("docs") / F.lit(total)
+    rest = F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - p))).otherwise(0.0)
+    by_chance = F.when(q <= p, 1.0).otherwise(F.exp(-F.col("of") * (q * F.log(q / p) + rest)))
     return (pairs.join(counts, "term").where(F.col("held") < total)
-            .withColumn("share", share).where(F.col("share") >= generalise)
+            .withColumn("share", share).where((F.col("share") >= generalise) & (by_chance * F.col("terms") <= chance))
             .select("value", "term", "share",
                     F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action")))
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_contexts: int = 3,
+def _occurrences(docs: DataFrame, id_col: str, text_col: str, holds: DataFrame, told: DataFrame) -> DataFrame:
+    """(k1, k2, more): all places of told terms in the documents that hold their value."""
+    asked = save(holds.join(told, "value").groupBy("k1", "k2", "term").agg(F.max(F.col("action") == "remove").alias("remove"))
+                 .groupBy("k1", "k2").agg(F.collect_list(F.struct("term", "remove")).alias("terms")), "pii-asked")
+    rows = docs.select(*row_key(id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    some = keep_probable(rows, "k1", bounded_filter(asked, "k1")).join(asked, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32())]))
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for text, terms in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                kind = {t["term"]: "term" if t["remove"] else "hint" for t in terms}
+                spans = base_spans(text)
+                found = ((m, kind.get(term_hash(m.group()))) for m in _TERM.finditer(text))
+                out.append([{"start": m.start(), "kind": k, "end": m.end()} for m, k in found
+                            if k and not any(s < m.end() and m.start() < e for s, _, e in spans)])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, span)], ["k1", "k2", "more"])
+
+    return some.select("k1", "k2", "text", "terms").mapInArrow(run, f"k1 long, k2 long, more {_SPAN}")
+
+
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chance: float = 0.05,
              generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
     """Row per input row: id, n_email, n_ip, n_card, n_phone, base_sha256, spans
     (``kind:start:end`` joined by commas) and ``found`` (the same as an array).
@@ -201,18 +239,14 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     """
     scanned = save(_scan(docs, id_col, text_col), "pii-scan")
     near = scanned.where(F.size("near") > 0).select("k1", "k2", F.explode("near").alias("m")).select("k1", "k2", "m.*")
-    told = save(disclosures(docs, near, text_col, min_contexts, generalise, remove), "pii-told")
-    added = (near.join(told, ["value", "term"])
-             .select("k1", "k2", F.struct("start", F.when(F.col("action") == "remove", "term").otherwise("hint").alias("kind"),
-                                          "end").alias("s"))
-             .groupBy("k1", "k2").agg(F.array_sort(F.collect_set("s")).alias("more")))
-    # a term near two values may get both actions: the stronger stays
-    stronger = F.filter("more", lambda s: (s["kind"] == "term") | ~F.exists("more", lambda o: (o["start"] == s["start"]) & (o["kind"] == "term")))
+    holds = scanned.select("k1", "k2", F.explode("held").alias("value")).distinct()
+    told = save(disclosures(docs, near, holds, text_col, chance, generalise, remove), "pii-told")
+    added = _occurrences(docs, id_col, text_col, holds, told)
     order = F.create_map(*[x for i, k in enumerate((*KINDS, "term", "hint")) for x in (F.lit(k), F.lit(i))])
     every = F.array_sort(F.transform(F.concat("base", F.coalesce(F.col("more"), F.array().cast(_SPAN))),
                                      lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("no"),
                                                         s["kind"].alias("kind"), s["end"].alias("end"))))
-    joined = scanned.join(added.select("k1", "k2", stronger.alias("more")), ["k1", "k2"], "left")
+    joined = scanned.join(added, ["k1", "k2"], "left")
     return (joined.withColumn("found", every)
             .select(F.col("id").alias(id_col), *[f"n_{k}" for k in KINDS], "base_sha256",
                     F.array_join(F.transform("found", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"),
