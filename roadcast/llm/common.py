@@ -41,6 +41,13 @@ def save(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
+def pick(df: DataFrame, **columns: str) -> DataFrame:
+    """The named columns under new names (``new="old"``), found by exact spelling:
+    other columns, also such as differ in case only, cannot clash with them."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.select(*[F.col(f"c{df.columns.index(old)}").alias(new) for new, old in columns.items()])
+
+
 def utf8(c: str | Column) -> Column:
     """Text as UTF-8 bytes, null as empty."""
     col = F.col(c) if isinstance(c, str) else c

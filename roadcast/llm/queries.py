@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import tokenize
 from .common import load
+from .filter_audit import audit
 from .grace_dedup import grace_dedup
 from .language import fit, identify
 from .line_chunks import digests, line_dedup
@@ -93,3 +94,35 @@ def op9_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_run_length_index")
 def op10_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(load(spark, sf_dir, "documents"))
+
+
+@query("op12_filter_audit", r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+f AS (SELECT doc_id, part, CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails FROM w),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY 1),
+c AS (SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+      FROM f LEFT JOIN l USING (doc_id) GROUP BY 1, 2),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS letter, substr(filter_order, 1, step - 1) AS before
+      FROM o, (SELECT unnest(range(1, 6))::INT AS step)),
+r AS (SELECT part, filter_order, step, letter, fails, n, good, toxic, contains(fails, letter) AS bad,
+             before <> '' AND regexp_matches(fails, '[' || before || 'x]') AS gone FROM c, s),
+g AS (SELECT part, filter_order, step, letter,
+             coalesce(sum(n) FILTER (NOT bad AND NOT gone), 0)::BIGINT AS kept,
+             coalesce(sum(n) FILTER (bad AND NOT gone), 0)::BIGINT AS removed,
+             coalesce(sum(n) FILTER (bad AND gone), 0)::BIGINT AS redundant,
+             coalesce(sum(n) FILTER (fails = letter), 0)::BIGINT AS unique_fails,
+             coalesce(sum(good) FILTER (bad AND NOT gone), 0)::BIGINT AS good_lost,
+             coalesce(sum(toxic) FILTER (bad AND NOT gone), 0)::BIGINT AS toxic_lost
+      FROM r GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM g""")
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
