@@ -19,6 +19,7 @@ from .pii import find_pii
 from .repeats import remove_repeats
 from .sharding import shard_by_bytes
 from .topk import topk
+from .warc import page_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -126,3 +127,19 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
        (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM g""")
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query("op13_warc_records", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+h AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS x FROM p),
+f AS (SELECT page_id, n, x, min(page_id) OVER (PARTITION BY x) AS first FROM h),
+-- ten hex digits are 40 bits, eight letters of base32
+d AS (SELECT x, list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+          1 + ((('0x' || substr(x, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INT, 1)),
+          'string_agg', '') AS digest FROM (SELECT DISTINCT x FROM h))
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f JOIN d USING (x)""")
+def op13_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_records(load(spark, sf_dir, "pages"))
