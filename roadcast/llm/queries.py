@@ -16,6 +16,7 @@ from .line_chunks import digests, line_dedup
 from .minhash import near_duplicates
 from .mixing import mix
 from .pii import find_pii
+from .prefix_trie import trie
 from .repeats import remove_repeats
 from .sharding import shard_by_bytes
 from .topk import topk
@@ -97,6 +98,35 @@ def op10_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(load(spark, sf_dir, "documents"))
 
 
+@query("op11_prefix_trie", """
+WITH k AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(list_prepend(4294967295,
+        list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+        lambda a, b: xor(a >> 8, tab[1 + (xor(a, b) & 255)]))) % 6 AS h
+      FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL), k),
+o AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS p FROM conversations),
+r AS (SELECT c.conv_id, 0 AS own, p, r, t FROM c JOIN o ON o.conv_id = c.base AND p < h
+      UNION ALL SELECT c.conv_id, 1, p, r, t FROM c JOIN o ON o.conv_id = c.conv_id AND p >= h),
+s AS (SELECT conv_id, list(md5(length(r) || ':' || r || t) ORDER BY own, p) AS e, list(length(t) ORDER BY own, p) AS l
+      FROM r GROUP BY 1),
+w AS (SELECT c.conv_id, coalesce(e, []) AS e, coalesce(l, []) AS l FROM c LEFT JOIN s USING (conv_id)),
+x AS (SELECT conv_id, e, l, len(e) AS n, unnest(range(len(e) + 1)) AS depth FROM w),
+g AS (SELECT array_to_string(e[1:depth], '') AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+             coalesce(any_value(l[depth]), 0) AS chars,
+             coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '') AS ends FROM x GROUP BY 1, 2),
+y AS (SELECT substr(path, 1, 32 * (depth - 1)::INT) AS path, count(*) AS n_children FROM g WHERE depth > 0 GROUP BY 1),
+z AS (SELECT g.*, coalesce(n_children, 0) AS n_children FROM g LEFT JOIN y USING (path)),
+a AS (SELECT substr(path, 1, 32 * k) AS path, sum((n_convs - 1) * chars) AS saved, count(*) FILTER (n_children = 0) AS leaves
+      FROM (SELECT *, unnest(range(depth + 1))::INT AS k FROM z) GROUP BY 1)
+SELECT z.conv_id, z.depth, u.conv_id AS parent_conv_id, z.n_convs, z.n_children, leaves AS n_leaves,
+       saved::BIGINT AS saved_tokens, sha256(z.ends) AS ends_sha256
+FROM z JOIN a USING (path) LEFT JOIN z u ON z.depth > 0 AND u.path = substr(z.path, 1, 32 * (z.depth - 1)::INT)""")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie(load(spark, sf_dir, "conversations"))
+
+
 @query("op12_filter_audit", r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
