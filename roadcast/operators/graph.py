@@ -10,9 +10,9 @@ Least-cost routing is a set-based frontier relaxation (Bellman-Ford with a
 frontier, the Pregel model): every round, all vertices whose (dist, path)
 improved in the previous round -- of all scenarios and all sources at once --
 send ``dist + cost`` along their out-edges, the candidates are reduced with a
-partial+final ``min`` per target, and merged into the state.  The number of
-rounds is the hop count of the longest least-cost path plus one, instead of
-one round per settled vertex.
+partial+final ``min`` per target, and those that beat all that is known are
+appended to a log.  The number of rounds is the hop count of the longest
+least-cost path plus one, instead of one round per settled vertex.
 
 Scale notes
 -----------
@@ -20,34 +20,51 @@ Scale notes
 * Hot vertices: a vertex may own a large share of all edges.  Its adjacency
   list is split into ``ceil(out_degree / fanout_chunk)`` hash chunks; a
   frontier row is replicated once per chunk of its vertex and joined on
-  (scenario, src, chunk), so no single task expands a whole hub.
+  (scenario, src, chunk), so no single task expands a whole hub.  Only vertices
+  with more than one chunk are looked up, by a join of their own short table.
 * Candidates are pre-aggregated map-side (``min`` is partial) before the
-  shuffle on (scenario, source, target), then merged into the state with a
-  full outer join on the same keys.
+  shuffle on (scenario, source, target); one anti-join against the log on the
+  same keys drops those that are no improvement.
+* A round writes the improved rows and nothing else: they are the next frontier
+  and the newest part of the log (Parquet under ``spark.checkpoint.dir``, counted
+  by an ``Observation`` on that write, so a round is one job).  The log holds at
+  least as good a row for every earlier one of a key, so it needs no update; once
+  ``LOG_PARTS`` newest parts are of like size they are merged to one row per key,
+  so a row is rewritten a logarithmic number of times.
 * Edges are collapsed once (the edge source is read once), then checkpointed
-  hash-partitioned and sorted on the join keys (scenario, src[, chunk]) with
-  adaptive execution paused so the partitioning is recorded: no round
-  re-shuffles or re-sorts them; only the frontier moves.
+  hash-partitioned and sorted on the join keys (scenario, src, chunk) by a
+  session without adaptive execution, so the partitioning is recorded: no round
+  re-shuffles or re-sorts them, only the frontier moves.  They are also
+  persisted in columnar form; lost blocks come back from the checkpoint.
 * No size switches anything: every graph takes the same joins and the same store.
-* Each round is one job: written once to a folder under
-  ``spark.checkpoint.dir`` (two alternating folders) with an ``Observation``
-  counting changed rows, then read back.  A lost executor never
-  replays earlier rounds; ``localCheckpoint`` is not used.
+* A lost executor never replays earlier rounds; ``localCheckpoint`` is not used.
+
+Goal direction
+--------------
+With targets, the search of a source is cut as soon as it has reached all of
+them: with u(t) the best distance known to a target and i(t) the cheapest edge
+into it, vertices beyond ``max(u(t) - i(t))`` are not expanded -- no path over
+them ends at a target in time -- and candidates beyond ``max(u(t))`` are dropped
+before the shuffle.  Both bounds shrink as targets improve.  ``landmarks`` adds
+lower bounds from distances to and from a few fixed vertices
+(``landmark_table``), which cut vertices that lie the wrong way, and upper bounds
+that hold from the first round on.
 
 Ties are broken by the smallest path (lexicographic on the vertex list), which
 gives one well-defined answer.  Costs must not be negative; a cycle of zero cost
 never improves a path, since a path sorts before its own extensions.  Parent
-pointers could form such a cycle, so that mode asks for costs above zero.
+pointers take the smallest predecessor among those that achieve the least
+distance with the fewest edges since the distance last grew; along edges of no
+cost that count falls from child to parent, so pointers never form a cycle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 import time
-from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -146,44 +163,44 @@ def collapse_edges(edges: DataFrame, scenario_cols: Sequence[str] = ()) -> DataF
     return edges.groupBy(*scen, "src", "dst").agg(F.min("cost").alias("cost"))
 
 
+def _chunks(degrees: DataFrame, fanout_chunk: int) -> DataFrame:
+    """<scen>, src, chunks of the vertices whose adjacency list is split."""
+    return (degrees.where(F.col("deg") > fanout_chunk)
+            .withColumn("chunks", F.ceil(F.col("deg") / F.lit(fanout_chunk)).cast("int")).drop("deg"))
+
+
+def out_degrees(edges: DataFrame, scenario_cols: Sequence[str] = ()) -> DataFrame:
+    """<scen>, src, deg of collapsed edges."""
+    return edges.groupBy(*_cols(scenario_cols), "src").agg(F.count(F.lit(1)).alias("deg"))
+
+
 def prepare_edges(edges: DataFrame, scenario_cols: Sequence[str] = (),
-                  fanout_chunk: int = 50_000, collapsed: bool = False) -> DataFrame:
+                  fanout_chunk: int = 50_000, collapsed: bool = False,
+                  hubs: DataFrame | None = None) -> DataFrame:
     """Collapse parallel edges to their minimum and split hot adjacency lists.
 
-    Output: <scen>, src, chunk, dst, cost, dst_chunks.  ``chunk`` is a hash
-    bucket of the edge inside the adjacency list of ``src`` (one bucket unless
-    the out-degree exceeds ``fanout_chunk``); ``dst_chunks`` is the number of
-    buckets of the target (1 for vertices without out-edges).
+    Output: <scen>, src, chunk, dst, cost, dst_chunks and, if the edges have
+    them, the landmark columns.  ``chunk`` is a hash bucket of the edge inside
+    the adjacency list of ``src`` (one bucket unless the out-degree exceeds
+    ``fanout_chunk``); ``dst_chunks`` is the number of buckets of the target.
+    ``hubs`` (<scen>, src, chunks): the split vertices, if known already.
     """
     scen = _cols(scenario_cols)
     e = edges if collapsed else collapse_edges(edges, scen)
-    deg = (e.groupBy(*scen, "src").agg(F.count(F.lit(1)).alias("deg"))
-           .select(*scen, "src",
-                   ((F.col("deg") + (fanout_chunk - 1)) / F.lit(fanout_chunk))
-                   .cast("int").alias("chunks")))
-    dst_deg = deg.select(*scen, F.col("src").alias("dst"), F.col("chunks").alias("dst_chunks"))
-    return (e.join(deg, [*scen, "src"])
-            .join(dst_deg, [*scen, "dst"], "left")
+    hubs = _chunks(out_degrees(e, scen), fanout_chunk) if hubs is None else hubs
+    dst_hubs = hubs.select(*scen, F.col("src").alias("dst"), F.col("chunks").alias("dst_chunks"))
+    more = [c for c in e.columns if c in _LANDMARK]
+    return (e.join(hubs, [*scen, "src"], "left")
+            .join(dst_hubs, [*scen, "dst"], "left")
             .select(*scen, "src",
-                    F.pmod(F.xxhash64("dst"), F.col("chunks")).cast("int").alias("chunk"),
+                    F.coalesce(F.pmod(F.xxhash64("dst"), F.col("chunks")), F.lit(0)).cast("int").alias("chunk"),
                     "dst", "cost",
-                    F.coalesce(F.col("dst_chunks"), F.lit(1)).alias("dst_chunks")))
+                    F.coalesce(F.col("dst_chunks"), F.lit(1)).alias("dst_chunks"), *more))
 
 
-def out_degree_stats(edges: DataFrame, scenario_cols: Sequence[str] = (),
-                     collapsed: bool = False) -> tuple[int, int, object]:
-    """(distinct edges, largest out-degree, smallest cost) in one aggregation job."""
-    scen = _cols(scenario_cols)
-    e = edges if collapsed else collapse_edges(edges, scen)
-    deg = e.groupBy(*scen, "src").agg(F.count(F.lit(1)).alias("deg"), F.min("cost").alias("mc"))
-    row = deg.agg(F.sum("deg").alias("n"), F.max("deg").alias("d"), F.min("mc").alias("c")).first()
-    return int(row["n"] or 0), int(row["d"] or 0), row["c"]
-
-
-def _better(d_new: Column, p_new: Column, d_old: Column, p_old: Column) -> Column:
-    """Strictly smaller (dist, path) -- path breaks ties lexicographically."""
-    return d_new.isNotNull() & (d_old.isNull() | (F.struct(d_new.alias("d"), p_new.alias("p"))
-                                                  < F.struct(d_old.alias("d"), p_old.alias("p"))))
+def _rank(d: Column, p: Column) -> Column:
+    """(dist, path): the path breaks ties."""
+    return F.struct(d.alias("d"), p.alias("p"))
 
 
 PATH_MODES = ("array", "parent", "none")
@@ -196,8 +213,17 @@ def _path_mode(with_path: bool, path_mode: str | None) -> str:
     return mode
 
 
+_LANDMARK = ("to_mark", "from_mark")
+
+
+def _path_type(mode: str, id_type: T.DataType) -> T.DataType:
+    if mode == "parent":        # flat: edges since the distance last grew
+        return T.StructType([T.StructField("flat", T.IntegerType()), T.StructField("parent", id_type)])
+    return T.ArrayType(id_type, containsNull=True)
+
+
 def seed_state(prepared: DataFrame, sources: DataFrame, scenario_cols: Sequence[str] = (),
-               with_path: bool = True, path_mode: str | None = None) -> DataFrame:
+               with_path: bool = True, path_mode: str | None = None, hubs: DataFrame | None = None) -> DataFrame:
     """Initial state: every (scenario, source) at distance 0, marked changed.
 
     ``sources``: <scen>, source.  Sources without out-edges still get a row
@@ -209,60 +235,86 @@ def seed_state(prepared: DataFrame, sources: DataFrame, scenario_cols: Sequence[
     mode = _path_mode(with_path, path_mode)
     id_type = prepared.schema["src"].dataType
     if mode == "parent":
-        path_col = F.lit(None).cast(id_type).alias("path")
+        path_col = F.struct(F.lit(0).alias("flat"), F.lit(None).alias("parent"))
     else:
-        path_col = (F.array(F.col("source")) if mode == "array" else F.lit(None))
-        path_col = path_col.cast(T.ArrayType(id_type, containsNull=True)).alias("path")
+        path_col = F.array(F.col("source")) if mode == "array" else F.lit(None)
     seeds = sources.select(*scen, "source").distinct()
-    # chunk count of each source = max(chunk)+1 over its out-edges
-    src_chunks = (prepared.groupBy(*scen, F.col("src").alias("source"))
-                  .agg((F.max("chunk") + 1).alias("chunks")))
-    seeds = seeds.join(src_chunks, [*scen, "source"], "left")
+    if hubs is None:        # chunk count of a source = max(chunk)+1 over its out-edges
+        hubs = prepared.groupBy(*scen, "src").agg((F.max("chunk") + 1).alias("chunks"))
+    seeds = seeds.join(hubs.withColumnRenamed("src", "source"), [*scen, "source"], "left")
     return seeds.select(*scen, "source", F.col("source").alias("id"),
                         F.lit(0).cast(prepared.schema["cost"].dataType).alias("dist"),
-                        path_col,
+                        path_col.cast(_path_type(mode, id_type)).alias("path"),
                         F.coalesce(F.col("chunks"), F.lit(1)).alias("chunks"),
                         F.lit(True).alias("changed"))
 
 
+def _on(left: str, right: str, cols: Iterable[str]) -> str:
+    return " AND ".join(f"{left}.`{c}` = {right}.`{c}`" for c in cols)
+
+
+def _list(table: str, cols: Iterable[str]) -> str:
+    return ", ".join(f"{table}.`{c}`" for c in cols)
+
+
+def _candidates(frontier: DataFrame, prepared: DataFrame, scen: list[str], mode: str,
+                bound: DataFrame | None, known: DataFrame | None = None) -> DataFrame:
+    """Best candidate (new_d, new_p, new_c) per (scenario, source, id) one edge on;
+    given ``known`` rows, only those that beat every known row of their key.
+
+    ``bound``: <scen>, source, expand, stop[, over_to, over_from]; a source
+    without a row is not bounded.  One SQL text: a round is planned in one pass.
+    """
+    more = [c for c in frontier.columns if c in _LANDMARK]
+    d = f"CAST(x.dist + e.cost AS {prepared.schema['cost'].dataType.simpleString()})"
+    p = {"array": "concat(x.path, array(e.dst))", "none": "NULL",
+         "parent": f"struct(CASE WHEN {d} = x.dist THEN x.path.flat + 1 ELSE 0 END AS flat, x.id AS parent)"}[mode]
+    rank, old = ((d, "k.dist") if mode == "none" else           # numbers only: a hash aggregate, no sort
+                 (f"struct({d} AS d, {p} AS p)", "struct(k.dist AS d, k.path AS p)"))
+    where = "b.stop IS NULL OR (f.dist <= b.expand" + (f" AND {_on_the_way('f.dist', 'f', 'b')})" if more else ")")
+    stop = f"x.stop IS NULL OR ({d} <= x.stop" + (f" AND {_on_the_way(d, 'e', 'x')})" if more else ")")
+    limits = "NULL AS stop" if bound is None else _list("b", ["stop", *(["over_to", "over_from"] if more else [])])
+    path = frontier.schema["path"].dataType.simpleString()
+    best = f"""
+        SELECT {_list('x', [*scen, 'source'])}, e.dst AS id, min({rank}) AS m, min(e.dst_chunks) AS new_c
+               {''.join(f', first(e.{c}, true) AS {c}' for c in more)}
+        FROM (SELECT {_list('f', [*scen, 'source', 'id', 'dist', 'path'])}, {limits},
+                     explode(sequence(0, f.chunks - 1)) AS chunk
+              FROM {{frontier}} f
+              {f"LEFT JOIN {{bound}} b ON {_on('b', 'f', [*scen, 'source'])} WHERE {where}" if bound is not None else ''}) x
+        JOIN {{prepared}} e ON {_on('e', 'x', [*scen, 'chunk'])} AND e.src = x.id
+        {f'WHERE {stop}' if bound is not None else ''}
+        GROUP BY {_list('x', [*scen, 'source'])}, e.dst"""
+    new = f"m AS new_d, CAST(NULL AS {path}) AS new_p" if mode == "none" else "m.d AS new_d, m.p AS new_p"
+    keys = [*scen, "source", "id"]
+    sql = (f"SELECT {_list('n', keys)}, {new}, new_c{''.join(f', {c}' for c in more)} FROM ({best}) n"
+           + (f" LEFT ANTI JOIN {{known}} k ON {_on('k', 'n', keys)} AND {old} <= n.m" if known is not None else ""))
+    tables = {"frontier": frontier, "prepared": prepared, "bound": bound, "known": known}
+    return frontier.sparkSession.sql(sql, **{k: v for k, v in tables.items() if v is not None})
+
+
 def relax(state: DataFrame, prepared: DataFrame, scenario_cols: Sequence[str] = (),
           with_path: bool = True, bound: DataFrame | None = None,
-          path_mode: str | None = None) -> DataFrame:
+          path_mode: str | None = None, frontier: DataFrame | None = None) -> DataFrame:
     """One round: changed vertices send dist+cost; accept strictly smaller.
 
-    Returns the full new state with ``changed`` marking improved rows.
-    ``bound`` (<scen>, source, bound) prunes frontier rows whose distance is
-    already > the bound (a zero-cost edge may still lead to a smaller path of
-    equal distance at the bound itself).  In ``parent``
-    mode ties go to the smallest predecessor instead of the smallest path.
+    Returns the full new state with ``changed`` marking improved rows -- or,
+    when the ``frontier`` is given, the improved rows only, compared with a
+    ``state`` that may hold several rows of a key.
+    ``bound`` (<scen>, source, expand, stop) prunes frontier rows beyond ``expand``
+    and candidates beyond ``stop``.  In ``parent`` mode ties go to the
+    smallest predecessor instead of the smallest path.
     """
     scen = _cols(scenario_cols)
     mode = _path_mode(with_path, path_mode)
     keys = [*scen, "source", "id"]
-    frontier = state.where(F.col("changed"))
-    if bound is not None:
-        frontier = (frontier.join(bound, [*scen, "source"], "left")
-                    .where(F.col("bound").isNull() | (F.col("dist") <= F.col("bound")))
-                    .drop("bound"))
-    frontier = frontier.select(
-        *scen, "source", F.col("id").alias("src"), "dist", "path",
-        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    cand = frontier.join(prepared, [*scen, "src", "chunk"])
-    if mode == "none":       # numbers only: a hash aggregate, no sort
-        best = (cand.select(*scen, "source", F.col("dst").alias("id"), (F.col("dist") + F.col("cost")).alias("d"),
-                            F.col("dst_chunks").alias("c"))
-                .groupBy(*keys).agg(F.min("d").alias("new_d"), F.min("c").alias("new_c")))
-        best = best.withColumn("new_p", F.lit(None).cast(state.schema["path"].dataType))
-    else:
-        new_path = F.concat(F.col("path"), F.array(F.col("dst"))) if mode == "array" else F.col("src")
-        best = (cand.select(*scen, "source", F.col("dst").alias("id"),
-                            F.struct((F.col("dist") + F.col("cost")).alias("d"),
-                                     new_path.alias("p"),
-                                     F.col("dst_chunks").alias("c")).alias("m"))
-                .groupBy(*keys).agg(F.min("m").alias("m"))
-                .select(*keys, F.col("m.d").alias("new_d"), F.col("m.p").alias("new_p"), F.col("m.c").alias("new_c")))
+    if frontier is not None:
+        return _candidates(frontier, prepared, scen, mode, bound, state).withColumnsRenamed(
+            {"new_d": "dist", "new_p": "path", "new_c": "chunks"})
+    best = _candidates(state.where(F.col("changed")).drop("changed"), prepared, scen, mode, bound)
     merged = state.drop("changed").join(best, keys, "full_outer")
-    improved = _better(F.col("new_d"), F.col("new_p"), F.col("dist"), F.col("path"))
+    improved = (F.col("new_d").isNotNull() & (F.col("dist").isNull() | (
+        _rank(F.col("new_d"), F.col("new_p")) < _rank(F.col("dist"), F.col("path")))))
     return merged.select(
         *keys,
         F.when(improved, F.col("new_d")).otherwise(F.col("dist")).alias("dist"),
@@ -271,35 +323,86 @@ def relax(state: DataFrame, prepared: DataFrame, scenario_cols: Sequence[str] =
         F.coalesce(improved, F.lit(False)).alias("changed"))
 
 
-def _target_bound(state: DataFrame, targets: DataFrame, scen: list[str]) -> DataFrame:
-    """Per (scenario, source): max distance over its targets once all are reached.
-
-    No size decides anything here: adaptive execution broadcasts the targets
-    when they are small.
+# --------------------------------------------------------------------------
+# Goal direction
+# --------------------------------------------------------------------------
+def _goals(edges: DataFrame, targets: DataFrame, scen: list[str], marks: DataFrame | None) -> DataFrame:
+    """<scen>, source, id, least_in (cheapest edge into the target), n_targets of the
+    source[, goal_to, goal_from, reach (shortest way known over a landmark)]."""
+    kind = edges.schema["cost"].dataType
+    asked = targets.select(*scen, F.col("target").alias("dst")).distinct()
+    least = edges.join(asked, [*scen, "dst"]).groupBy(*scen, F.col("dst").alias("id")).agg(F.min("cost").alias("least_in"))
+    each = targets.groupBy(*scen, "source").agg(F.count(F.lit(1)).alias("n_targets"))
+    goals = (targets.withColumnRenamed("target", "id").join(least, [*scen, "id"], "left").join(each, [*scen, "source"])
+             .select(*scen, "source", "id", F.coalesce("least_in", F.lit(0).cast(kind)).alias("least_in"), "n_targets"))
+    if marks is None:
+        return goals
+    at_goal = marks.select(*scen, "id", F.col("to_mark").alias("goal_to"), F.col("from_mark").alias("goal_from"))
+    at_source = marks.select(*scen, F.col("id").alias("source"), F.col("to_mark").alias("source_to"))
+    over = F.array_min(F.zip_with("source_to", "goal_from", lambda a, b: a + b))     # null where no landmark joins them
+    return (goals.join(at_goal, [*scen, "id"], "left").join(at_source, [*scen, "source"], "left")
+            .withColumn("reach", F.when(F.col("id") == F.col("source"), F.lit(0)).otherwise(over).cast(kind)).drop("source_to"))
+
+
+def _bound(log: DataFrame, scen: list[str], goals: DataFrame | None = None, n_marks: int = 0) -> DataFrame:
+    """Per source that has an upper bound u(t) for all its targets: ``stop`` =
+    max(u(t)), ``expand`` = max(u(t) - i(t)) and, per landmark L, ``over_to`` =
+    max(u(t) + d(t, L)) and ``over_from`` = max(u(t) - d(L, t)), null where a
+    target has no such distance.  Of the log only rows of targets are read.
+
+    Sums of fractional costs get what rounding may have taken from them.
+    """
+    share = {"double": 1e-9, "float": 1e-4}.get(log.schema["dist"].dataType.simpleString())
+    near = lambda x, *terms: f"max({x}" + (f" + {share}D * ({' + '.join(f'abs({t})' for t in terms)}))" if share else ")")
+    by = [*scen, "source"]
+    hits = (f"SELECT {_list('l', [*by, 'id', 'least_in', 'n_targets'])}, min(l.dist) AS u FROM {{log}} l "
+            f"WHERE l.n_targets IS NOT NULL GROUP BY {_list('l', [*by, 'id', 'least_in', 'n_targets'])}")
+    over, tables = "", {"log": log}
+    if n_marks:
+        hits = (f"SELECT * FROM (SELECT g.* EXCEPT (reach), least(h.u, g.reach) AS u FROM {{goals}} g "
+                f"LEFT JOIN ({hits}) h ON {_on('g', 'h', [*by, 'id'])}) WHERE u IS NOT NULL")
+        tables["goals"] = goals
+        for name, goal, sign in (("over_to", "goal_to", "+"), ("over_from", "goal_from", "-")):
+            cells = [f"CASE WHEN count_if(get({goal}, {k}) IS NULL) = 0 THEN {near(f'u {sign} get({goal}, {k})', 'u', f'get({goal}, {k})')} END"
+                     for k in range(n_marks)]
+            over += f", array({', '.join(cells)}) AS {name}"
+    return log.sparkSession.sql(
+        f"SELECT {_list('t', by)}, {near('u', 'u')} AS stop, {near('u - least_in', 'u', 'least_in')} AS expand{over} "
+        f"FROM ({hits}) t GROUP BY {_list('t', by)} HAVING count(1) = first(n_targets)", **tables)
+
+
+def _on_the_way(dist: str, mark: str, bound: str) -> str:
+    """No landmark L shows that a vertex v lies too far from all targets t of its source:
+    d(v, t) >= d(v, L) - d(t, L) and d(v, t) >= d(L, t) - d(L, v).  A vertex that cannot
+    reach a landmark which all targets reach cannot reach them either."""
+    return f"""(({mark}.to_mark IS NULL OR forall(zip_with({mark}.to_mark, {bound}.over_to,
+                     (m, o) -> o IS NULL OR (m IS NOT NULL AND {dist} + m <= o)), x -> x))
+                AND ({mark}.from_mark IS NULL OR forall(zip_with({mark}.from_mark, {bound}.over_from,
+                     (m, o) -> o IS NULL OR m IS NULL OR {dist} - m <= o), x -> x)))"""
+
+
+def landmark_table(edges: DataFrame, scenario_cols: Sequence[str] = (), n: int = 4, **kw) -> DataFrame:
+    """<scen>, id, to_mark, from_mark: least costs to and from ``n`` landmarks.
+
+    The landmarks of a scenario are spread by hash over its vertices with three
+    out-edges or more (with fewer where there are none).  Both directions are routed together; a distance is null where
+    there is no way.  Build it once per graph and hand it to ``route`` or
+    ``shortest_paths`` with every set of requests on that graph.
     """
-    reached = state.select(*scen, "source", "id", "dist").join(
-        targets.select(*scen, "source", F.col("target").alias("id")),
-        [*scen, "source", "id"], "left_semi")
-    per = (targets.select(*scen, "source", F.col("target").alias("id"))
-           .join(reached, [*scen, "source", "id"], "left")
-           .groupBy(*scen, "source")
-           .agg(F.max("dist").alias("bound"),
-                F.count_if(F.col("dist").isNull()).alias("missing")))
-    return per.where(F.col("missing") == 0).select(*scen, "source", "bound")
-
-
-@contextmanager
-def _static_plan(spark: SparkSession):
-    """Plan without adaptive execution, so a checkpoint records the hash
-    partitioning it was written with (and later joins on the same keys reuse
-    it instead of shuffling the checkpointed side again)."""
-    key = "spark.sql.adaptive.enabled"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
+    scen = _cols(scenario_cols)
+    spark = edges.sparkSession
+    e = _write_read(collapse_edges(edges, scen), scratch_path(spark, "route-edges"))
+    order = [F.least("deg", F.lit(3)).desc(), F.xxhash64("src"), F.col("src")]
+    most = out_degrees(e, scen) if scen else out_degrees(e, scen).orderBy(*order).limit(n)
+    marks = (most.withColumn("mark", F.row_number().over(Window.partitionBy(*scen).orderBy(*order)) - 1)
+             .where(F.col("mark") < n).select(*scen, F.col("src").alias("source"), "mark"))
+    marks = _write_read(marks, scratch_path(spark, "route-marks"))
+    way = lambda df, x: df.withColumn("_way", F.lit(x))                                             # noqa: E731
+    both = way(e, "from").unionByName(way(e.select(*scen, F.col("dst").alias("src"), F.col("src").alias("dst"), "cost"), "to"))
+    starts = way(marks, "from").unionByName(way(marks, "to")).drop("mark")
+    far = shortest_paths(both, starts, [*scen, "_way"], with_path=False, **kw).join(marks, [*scen, "source"])
+    row = lambda w: F.array(*[F.min(F.when((F.col("_way") == w) & (F.col("mark") == k), F.col("dist"))) for k in range(n)])
+    return far.groupBy(*scen, "id").agg(row("to").alias("to_mark"), row("from").alias("from_mark"))
 
 
 def _write_read(df: DataFrame, path: str) -> DataFrame:
@@ -312,9 +415,73 @@ def _write_read(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _observed(state: DataFrame, obs: Observation) -> DataFrame:
-    """Count changed rows while the round is written (no extra job)."""
-    return state.observe(obs, F.count_if(F.col("changed")).alias("c"))
+def _store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    path = scratch_path(df.sparkSession, name)
+    return _write_read(df, path), path
+
+
+def _quiet(spark: SparkSession) -> SparkSession:
+    """A session like this one without adaptive execution: what it checkpoints
+    keeps the hash partitioning it was written with, and later joins on the
+    same keys do not shuffle it again."""
+    quiet = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        quiet.conf.set(key, spark.conf.get(key))
+    quiet.conf.set("spark.sql.adaptive.enabled", "false")
+    return quiet
+
+
+LOG_PARTS = 8       # parts of the log after which some are merged
+
+
+class _Log:
+    """Append-only log of improved rows: parts r=0, r=1, ... of one folder.
+
+    It may hold several rows of a key; the best is the answer.
+    """
+
+    def __init__(self, spark: SparkSession, keys: list[str], mode: str):
+        self.spark, self.keys, self.mode = spark, keys, mode
+        self.base, self.next, self.schema = scratch_path(spark, "route-log"), 0, None
+        self.parts: list[tuple[str, int]] = []
+        self.written = self.compactions = 0
+
+    def _write(self, rows: DataFrame) -> tuple[str, int]:
+        path, obs = f"{self.base}/r={self.next}", Observation(f"{self.base.rsplit('/', 1)[-1]}-{self.next}")
+        rows.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        self.schema, self.next = self.schema or rows.schema, self.next + 1
+        self.written += obs.get["n"]
+        return path, obs.get["n"]
+
+    def append(self, rows: DataFrame) -> int:
+        self.parts.append(self._write(rows))
+        return self.parts[-1][1]
+
+    def read(self, parts: list[tuple[str, int]] | None = None) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*[p for p, _ in parts or self.parts])
+
+    def newest(self) -> DataFrame:
+        return self.read(self.parts[-1:])
+
+    def best(self, rows: DataFrame | None = None) -> DataFrame:
+        """One row per key."""
+        rest = [c for c in self.schema.names if c not in (*self.keys, "dist", "path")]
+        rank = F.struct("dist", *([] if self.mode == "none" else ["path"]))
+        out = (self.read() if rows is None else rows).groupBy(*self.keys).agg(F.min(rank).alias("m"), *[F.first(c, ignorenulls=True).alias(c) for c in rest])
+        path = F.lit(None).cast(self.schema["path"].dataType) if self.mode == "none" else F.col("m.path")
+        return out.select(*self.keys, F.col("m.dist").alias("dist"), path.alias("path"), *rest)
+
+    def compact(self) -> None:
+        """Merge the newest parts, back to one of more than twice their size, once
+        they are ``LOG_PARTS``.  The newest of all, the frontier, stays as it is."""
+        *old, frontier = self.parts
+        rows, at = 0, len(old)
+        while at and (at == len(old) or old[at - 1][1] <= 2 * rows):
+            at -= 1
+            rows += old[at][1]
+        if len(old) - at >= LOG_PARTS:
+            self.parts = [*old[:at], self._write(self.best(self.read(old[at:]))), frontier]
+            self.compactions += 1
 
 
 def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence[str] = (),
@@ -322,105 +489,117 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, scenario_cols: Sequence
                    targets: DataFrame | None = None, fanout_chunk: int = 50_000,
                    partitions: int | None = None, edges_collapsed: bool = False,
                    edges_per_partition: int = 200_000, path_mode: str | None = None,
-                   stats: dict | None = None) -> DataFrame:
+                   stats: dict | None = None, landmarks: DataFrame | None = None,
+                   stored: tuple[DataFrame, str] | None = None) -> DataFrame:
     """Least-cost distance (and path) from every source to every reachable vertex.
 
-    edges   : <scen>, src, dst, cost (cost >= 0, parent mode > 0; parallel edges allowed)
+    edges   : <scen>, src, dst, cost (cost >= 0; parallel edges allowed)
     sources : <scen>, source
-    targets : optional <scen>, source, target -- the frontier of a source is
-              pruned once all its targets are reached, and only the targets
+    targets : optional <scen>, source, target -- the search of a source is cut
+              by what its targets are known to need, and only the targets
               are returned (a pruned search leaves other vertices unsettled).
+    landmarks: optional ``landmark_table`` of these edges; used with targets only
+    stored  : collapsed edges that are already a Parquet table, and its path
     Result  : <scen>, source, id, dist, path (array incl. both ends), hops
               -- or, with ``path_mode="parent"``, <scen>, source, id, dist,
               parent: only the predecessor is kept (ties -> smallest
-              predecessor), so the state does not grow with route length;
-              ``trace_paths`` rebuilds the paths of the targets asked for.
+              predecessor, see the module), so the state does not grow with
+              route length; ``trace_paths`` rebuilds the paths of the targets
+              asked for.  With targets, the rows are those of the tree that
+              are final: all within the bound, the targets and the ways to them.
 
-    Every round's state is written once to the shared checkpoint folder (two
-    alternating Parquet folders: bounded disk) and read back, so a lost
-    executor never replays earlier rounds.
+    Every round's improvements are written once to the shared checkpoint folder
+    and read back, so a lost executor never replays earlier rounds.
     """
     scen = _cols(scenario_cols)
     spark = edges.sparkSession
     checkpoint_dir(spark)
     t_setup = [time.perf_counter()]
+    mode = _path_mode(with_path, path_mode)
 
     # the edge source (possibly an aggregation over a huge fact table) is read once
-    collapsed = edges if edges_collapsed else collapse_edges(edges, scen)
-    collapsed = collapsed.persist(StorageLevel.MEMORY_AND_DISK)
-    n_edges, max_deg, min_cost = out_degree_stats(collapsed, scen, collapsed=True)
+    stored = stored or _store(edges if edges_collapsed else collapse_edges(edges, scen), "route-edges")
+    edges = stored[0]
+    id_type = edges.schema["src"].dataType
+    sizes = Observation(f"route-degrees-{scratch_path(spark, 'o').rsplit('-', 1)[-1]}")
+    degrees = edges.groupBy(*scen, "src").agg(F.count(F.lit(1)).alias("deg"), F.min("cost").alias("least"))
+    degrees = degrees.observe(sizes, F.sum("deg").alias("n"), F.max("deg").alias("d"), F.min("least").alias("c"))
+    hubs = _store(_chunks(degrees.drop("least"), fanout_chunk), "route-hubs")
+    n_edges, max_deg, min_cost = int(sizes.get["n"] or 0), int(sizes.get["d"] or 0), sizes.get["c"]
     t_setup.append(time.perf_counter())
-    mode = _path_mode(with_path, path_mode)
-    if n_edges and min_cost is not None and (min_cost < 0 or min_cost == 0 and mode == "parent"):
-        collapsed.unpersist()
-        raise ValueError(f"edge costs must be {'> 0 in parent mode' if mode == 'parent' else '>= 0'}, found {min_cost}")
+    if n_edges and min_cost is not None and min_cost < 0:
+        raise ValueError(f"edge costs must be >= 0, found {min_cost}")
+    n_marks, goals = 0, None
+    if targets is not None:
+        targets = targets.select(*scen, F.col("source").cast(id_type).alias("source"),
+                                 F.col("target").cast(id_type).alias("target")).distinct()
+        goals = _write_read(_goals(edges, targets, scen, landmarks), scratch_path(spark, "route-goals"))
+        if landmarks is not None:
+            n_marks = landmarks.agg(F.max(F.size("to_mark"))).first()[0] or 0
+            marked = edges.join(landmarks.withColumnRenamed("id", "dst"), [*scen, "dst"], "left")
+            stored = _store(marked, "route-edges")
     # width of the co-partitioned edges: follows the counted edges, at least the
     # cluster's parallelism, so a partition never outgrows edges_per_partition by size alone
     n_parts = partitions or max(spark.sparkContext.defaultParallelism, -(-n_edges // edges_per_partition))
-    prepared = prepare_edges(collapsed, scen, fanout_chunk, collapsed=True)
     keys = [*scen, "src", "chunk"]
-    with _static_plan(spark):
-        # partitioned and sorted on the join keys: the frontier join neither
-        # shuffles nor re-sorts the edges in any round
-        prepared = (prepared.repartition(n_parts, *keys).sortWithinPartitions(*keys)
-                    .checkpoint(eager=True))
-    collapsed.unpersist()
+    # partitioned and sorted on the join keys: the frontier join neither
+    # shuffles nor re-sorts the edges in any round
+    quiet = _quiet(spark)
+    lists = [quiet.read.schema(df.schema).parquet(path) for df, path in (stored, hubs)]
+    prepared = (prepare_edges(lists[0], scen, fanout_chunk, collapsed=True, hubs=lists[1])
+                .repartition(n_parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True))
+    prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    name = f"roadcast_edges_{scratch_path(spark, 'e').rsplit('-', 1)[-1]}"       # only to pass the plan on
+    prepared.createGlobalTempView(name)
+    prepared = spark.table(f"global_temp.{name}")
+    spark.catalog.dropGlobalTempView(name)
 
     t_setup.append(time.perf_counter())
-    id_type = prepared.schema["src"].dataType
     sources = sources.select(*scen, F.col("source").cast(id_type).alias("source"))
-    if targets is not None:
-        targets = targets.select(*scen, F.col("source").cast(id_type).alias("source"),
-                                 F.col("target").cast(id_type).alias("target")).distinct().cache()
-    seed_obs = Observation(f"route_seed_{scratch_path(spark, 'o').rsplit('-', 1)[-1]}")
-    seed_path = scratch_path(spark, "route-seed")
-    state = _write_read(_observed(seed_state(prepared, sources, scen, path_mode=mode), seed_obs),
-                        seed_path)
+    seeds = seed_state(prepared, sources, scen, path_mode=mode, hubs=hubs[0]).drop("changed")
+    if n_marks:
+        seeds = seeds.join(landmarks, [*scen, "id"], "left").select(*seeds.columns, *_LANDMARK)
+    log = _Log(spark, [*scen, "source", "id"], mode)
 
+    def with_goals(rows: DataFrame) -> DataFrame:
+        if goals is None:
+            return rows
+        return rows.join(goals.select(*scen, "source", "id", "least_in", "n_targets"), [*scen, "source", "id"], "left")
+
+    n_changed = log.append(with_goals(seeds))
     t_setup.append(time.perf_counter())
     rounds = 0
     t_round = [time.perf_counter()]
-    n_changed = seed_obs.get["c"]
     frontier_sizes = [n_changed]
-    table_base = scratch_path(spark, "route-state")
-    table_tag = table_base.rsplit("-", 1)[-1]
     while n_changed:
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"no fixpoint after {max_rounds} rounds "
                                f"({n_changed} vertices still improving)")
-        bound = _target_bound(state, targets, scen) if targets is not None else None
-        nxt = relax(state, prepared, scen, with_path, bound, mode)
+        bound = _bound(log.read(), scen, goals, n_marks) if goals is not None else None
+        frontier = log.newest().drop("least_in", "n_targets")
+        n_changed = log.append(with_goals(relax(log.read(), prepared, scen, with_path, bound, mode, frontier)))
+        log.compact()
         rounds += 1
-        # one job writes the round; two alternating folders bound the disk
-        # use, and the next round reads only files (no lineage)
-        path = f"{table_base}/s{rounds % 2}"
-        obs = Observation(f"route_state_{table_tag}_{rounds}")
-        _observed(nxt, obs).write.mode("overwrite").parquet(path)
-        nxt = spark.read.schema(nxt.schema).parquet(path)
-        n_changed = obs.get["c"]
         frontier_sizes.append(n_changed)
-        state = nxt
         t_round.append(time.perf_counter())
-    if rounds >= 1:
-        # the final state no longer depends on the seed or on the other
-        # alternating folder: empty them (an overwrite with no rows) so one
-        # state's worth of data remains per call
-        empty = spark.createDataFrame([], state.schema)
-        stale = [seed_path] + ([f"{table_base}/s{(rounds + 1) % 2}"] if rounds >= 2 else [])
-        for path in stale:
-            empty.write.mode("overwrite").parquet(path)
+    prepared.unpersist()
     if stats is not None:
         stats.update(rounds=rounds, edges=n_edges, chunked=max_deg > fanout_chunk,
-                     frontier=frontier_sizes,
+                     frontier=frontier_sizes, written=log.written, compactions=log.compactions,
                      round_s=[round(b - a, 2) for a, b in zip(t_round, t_round[1:])],
                      setup_s=[round(b - a, 2) for a, b in zip(t_setup, t_setup[1:])])
-    out = state.select(*scen, "source", "id", "dist", "path")
-    if targets is not None and mode != "parent":     # a tree of parents is traced through other vertices
-        out = out.join(targets.withColumnRenamed("target", "id"), [*scen, "source", "id"], "left_semi")
+    out = log.best(None if goals is None or mode == "parent" else log.read().where(F.col("n_targets").isNotNull()))
+    if goals is not None and mode == "parent":
+        # rows within the bounds are final, and so is every way to a target
+        inside = "f.dist <= b.expand" + (f" AND {_on_the_way('f.dist', 'f', 'b')}" if n_marks else "")
+        out = spark.sql(f"SELECT f.* FROM {{f}} f LEFT JOIN {{b}} b ON {_on('f', 'b', [*scen, 'source'])} "
+                        f"WHERE f.n_targets IS NOT NULL OR b.stop IS NULL OR ({inside})",
+                        f=out, b=_bound(log.read(), scen, goals, n_marks))
+    out = out.select(*scen, "source", "id", "dist", "path")
     if mode == "array":
         return out.withColumn("hops", F.size("path") - 1)
     if mode == "parent":
-        return out.withColumnRenamed("path", "parent")
+        return out.withColumn("parent", F.col("path.parent")).drop("path")
     return out.drop("path")
 
 
@@ -433,35 +612,39 @@ def trace_paths(tree: DataFrame, targets: DataFrame, scenario_cols: Sequence[str
     Result  : <scen>, source, target, path (source ... target), hops -- only
               for reached targets.
 
-    One join per hop, all targets at once; every step is written to the
-    shared folder and read back, like the routing rounds.
+    Pointer doubling: with the vertex 2^k steps up known for every row of the
+    tree, the known ends of all paths double in one join, so paths of n hops
+    take log2(n) steps.  Steps are written to the shared folder and read back.
     """
     scen = _cols(scenario_cols)
     spark = tree.sparkSession
     base = scratch_path(spark, "route-trace")
-    links = tree.select(*scen, "source", F.col("id").alias("cur"), F.col("parent").alias("up"))
-    t = (targets.select(*scen, "source", "target").distinct()
-         .join(tree.select(*scen, "source", F.col("id").alias("target"), F.col("parent").alias("cur")),
-               [*scen, "source", "target"])
-         .select(*scen, "source", "target", F.array(F.col("target")).alias("path"), "cur"))
-    step = 0
+    tree = _write_read(tree.select(*scen, "source", "id", "parent"), f"{base}/tree")
+    jump = tree.where(F.col("parent").isNotNull()).select(*scen, "source", F.col("id").alias("at"), F.col("parent").alias("up"))
+    ends = targets.select(*scen, "source", "target").distinct()
+    known = (ends.join(tree.select(*scen, "source", F.col("id").alias("target")), [*scen, "source", "target"])
+             .select(*scen, "source", "target", F.lit(0).alias("place"), F.col("target").alias("at")))
+    parts, step = [f"{base}/p=0"], 0
+    known = _write_read(known, parts[0])
+    schema = known.schema
     while True:
-        obs = Observation(f"trace_{base.rsplit('-', 1)[-1]}_{step}")
-        t.observe(obs, F.count_if(F.col("cur").isNotNull()).alias("open")) \
-            .write.mode("overwrite").parquet(f"{base}/t{step % 2}")
-        t = spark.read.schema(t.schema).parquet(f"{base}/t{step % 2}")
-        if not obs.get["open"]:
+        obs = Observation(f"trace-{base.rsplit('-', 1)[-1]}-{step}")
+        more = (known.join(jump, [*scen, "source", "at"])
+                .select(*scen, "source", "target", (F.col("place") + (1 << step)).alias("place"), F.col("up").alias("at")))
+        parts.append(f"{base}/p={step + 1}")
+        more.observe(obs, F.count(F.lit(1)).alias("n"), F.max("place").alias("far")).write.parquet(parts[-1])
+        if max_hops is not None and (obs.get["far"] or 0) > max_hops:
+            raise RuntimeError(f"paths longer than {max_hops} hops")
+        known = spark.read.schema(schema).parquet(*parts)
+        if not obs.get["n"]:
             break
+        over = jump.select(*scen, "source", F.col("at").alias("up"), F.col("up").alias("higher"))
+        jump = _write_read(jump.join(over, [*scen, "source", "up"]).select(*scen, "source", "at", F.col("higher").alias("up")),
+                           f"{base}/jump={step + 1}")
         step += 1
-        if max_hops is not None and step > max_hops:
-            raise RuntimeError(f"paths longer than {max_hops} hops")
-        t = (t.join(links, [*scen, "source", "cur"], "left")
-             .select(*scen, "source", "target",
-                     F.when(F.col("cur").isNotNull(),
-                            F.concat(F.array(F.col("cur")), F.col("path"))).otherwise(F.col("path"))
-                     .alias("path"),
-                     F.col("up").alias("cur")))
-    return t.select(*scen, "source", "target", "path", (F.size("path") - 1).alias("hops"))
+    ways = known.groupBy(*scen, "source", "target").agg(
+        F.transform(F.reverse(F.array_sort(F.collect_list(F.struct("place", "at")))), lambda x: x["at"]).alias("path"))
+    return ways.select(*scen, "source", "target", "path", (F.size("path") - 1).alias("hops"))
 
 
 # --------------------------------------------------------------------------
@@ -480,6 +663,7 @@ def route(edges: DataFrame, pairs: DataFrame, scenario_cols: Sequence[str] = (),
              path); ``parent`` keeps only predecessors (ties -> smallest
              predecessor) and traces the requested paths afterwards -- the
              state then stays small however long the routes are.
+    landmarks (in ``kw``): a ``landmark_table`` of the edges, for goal-directed search.
     """
     if path_mode not in ("array", "parent"):
         raise ValueError(f"path_mode must be 'array' or 'parent', got {path_mode!r}")
@@ -488,8 +672,15 @@ def route(edges: DataFrame, pairs: DataFrame, scenario_cols: Sequence[str] = (),
     pairs = pairs.select(*scen, F.col("src").cast(id_type).alias("src"),
                          F.col("dst").cast(id_type).alias("dst")).distinct()
     # read the edge source once: vertex set, routing and status all use this copy
-    edges = _write_read(collapse_edges(edges, scen), scratch_path(edges.sparkSession, "route-edges"))
-    verts = graph_vertices(edges, scen, vertices)
+    edges, _ = stored = _store(collapse_edges(edges, scen), "route-edges")
+    # only vertices that a request names are looked for
+    named = (pairs.select(*scen, F.col("src").alias("id")).unionByName(pairs.select(*scen, F.col("dst").alias("id"))).distinct())
+    ends = edges.select(*scen, F.col("src").alias("id"))
+    if vertices == "both":
+        ends = ends.unionByName(edges.select(*scen, F.col("dst").alias("id")))
+    elif vertices != "src":
+        raise ValueError(f"vertices must be 'both' or 'src', got {vertices!r}")
+    verts = ends.join(named, [*scen, "id"]).distinct()
     known_src = verts.select(*scen, F.col("id").alias("src"), F.lit(True).alias("src_known"))
     known_dst = verts.select(*scen, F.col("id").alias("dst"), F.lit(True).alias("dst_known"))
     # requests with their vertex checks, materialised once: used for the seeds
@@ -500,13 +691,11 @@ def route(edges: DataFrame, pairs: DataFrame, scenario_cols: Sequence[str] = (),
     runnable = checked.where(F.col("src_known") & F.col("dst_known"))
     sources = runnable.select(*scen, F.col("src").alias("source"))
     targets = runnable.select(*scen, F.col("src").alias("source"), F.col("dst").alias("target"))
-    usable_edges = edges
     if vertices == "src":
         # a sink-only vertex is not a vertex: edges into it are lost
-        usable_edges = edges.join(verts.select(*scen, F.col("id").alias("dst")), [*scen, "dst"],
-                                  "left_semi")
-    sp = shortest_paths(usable_edges, sources, scen, path_mode=path_mode,
-                        targets=targets if prune else None, edges_collapsed=True, **kw)
+        starts = graph_vertices(edges, scen, "src").withColumnRenamed("id", "dst")
+        stored = _store(edges.join(starts, [*scen, "dst"], "left_semi").select(*edges.columns), "route-edges")
+    sp = shortest_paths(edges, sources, scen, path_mode=path_mode, targets=targets if prune else None, stored=stored, **kw)
     if path_mode == "parent":
         traced = trace_paths(sp, targets, scen)
         sp = (sp.select(*scen, "source", "id", "dist")

@@ -52,8 +52,6 @@ def test_d4_ties_take_smaller_path_and_parallel_edges(spark):
 def test_negative_cost_rejected(spark):
     with pytest.raises(ValueError):
         routes(spark, D4 + [("B", "A", -1.0)], [("A", "C")])
-    with pytest.raises(ValueError):      # pointers could form a cycle
-        routes(spark, D4 + [("B", "A", 0.0)], [("A", "C")], path_mode="parent")
 
 
 def test_zero_and_null_costs(spark):
@@ -211,3 +209,90 @@ def test_result_does_not_depend_on_the_number_of_targets(spark):
         targets = spark.createDataFrame([(0, 2 + k) for k in range(n)], "source long, target long")
         got = G.shortest_paths(edges, src, targets=targets).collect()
         assert sorted((r["id"], r["dist"]) for r in got) == [(2 + k, 2.0 + k) for k in range(n)]
+
+
+def flat_rule(rows, source):
+    """Least cost, then fewest edges since it last grew, then the smallest predecessor."""
+    best = {source: (0, 0)}
+    for _ in range(len(rows) + 1):
+        for u, v, c in rows:
+            if u in best:
+                d, flat = best[u]
+                best[v] = min(best.get(v, (1 << 60, 0)), (d + c, flat + 1 if c == 0 else 0))
+    parent = {}
+    for u, v, c in rows:
+        if u in best and v != source and (best[u][0] + c, best[u][1] + 1 if c == 0 else 0) == best[v]:
+            parent[v] = min(u, parent.get(v, u))
+    return best, parent
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.integers(min_value=0, max_value=10_000))
+def test_parent_mode_with_zero_costs(spark, seed):
+    rnd = random.Random(seed)
+    n = rnd.randint(3, 9)
+    rows = [(rnd.randrange(n), rnd.randrange(n), rnd.choice([0, 0, 1, 2])) for _ in range(rnd.randint(4, 35))] + [(0, 1, 0), (1, 0, 0)]
+    best, parent = flat_rule(rows, 0)
+    e = spark.createDataFrame(rows, "src long, dst long, cost long")
+    tree = G.shortest_paths(e, spark.createDataFrame([(0,)], "source long"), path_mode="parent")
+    assert {r.id: (r.dist, r.parent) for r in tree.collect()} == {v: (best[v][0], parent.get(v)) for v in best}
+    asked = spark.createDataFrame([(0, v) for v in range(n)], "source long, target long")
+    for r in G.trace_paths(tree, asked).collect():
+        want, cur = [r.target], r.target
+        while cur in parent:
+            cur = parent[cur]
+            want.insert(0, cur)
+        assert r.path == want and r.hops == len(want) - 1
+
+
+def test_parent_mode_returns_final_rows_only(spark):
+    rows = [("A", "T", 1.0), ("A", "B", 10.0), ("A", "D", 1.0), ("D", "E", 1.0), ("E", "F", 1.0), ("F", "B", 1.0)]
+    src, targets = spark.createDataFrame([("A",)], "source string"), spark.createDataFrame([("A", "T")], "source string, target string")
+    got = {r.id: (r.dist, r.parent) for r in G.shortest_paths(edges_df(spark, rows), src, targets=targets, path_mode="parent").collect()}
+    assert got["T"] == (1.0, "A") and "B" not in got
+    assert all(got[v][0] == d for v, (d, _) in dijkstra(rows, "A").items() if v in got)
+
+
+def test_trace_of_long_paths(spark):
+    e = spark.createDataFrame([(i, i + 1, 1) for i in range(21)], "src long, dst long, cost long")
+    tree = G.shortest_paths(e, spark.createDataFrame([(0,)], "source long"), path_mode="parent")
+    asked = spark.createDataFrame([(0, 0), (0, 1), (0, 13), (0, 21), (0, 99)], "source long, target long")
+    assert {r.target: r.path for r in G.trace_paths(tree, asked).collect()} == {t: list(range(t + 1)) for t in (0, 1, 13, 21)}
+    with pytest.raises(RuntimeError):
+        G.trace_paths(tree, asked, max_hops=20)
+
+
+def test_log_is_merged_and_holds_improvements_only(spark):
+    e = spark.createDataFrame([(i, i + 1, 1) for i in range(24)] + [(0, i, 3 * i) for i in range(2, 25)], "src long, dst long, cost long")
+    stats = {}
+    sp = G.shortest_paths(e, spark.createDataFrame([(0,)], "source long"), stats=stats)
+    assert {r.id: (r.dist, r.hops) for r in sp.collect()} == {i: (i, i) for i in range(25)}
+    assert stats["compactions"] >= 1 and stats["written"] <= 2 * sum(stats["frontier"])
+    few = {}
+    G.shortest_paths(e, spark.createDataFrame([(20,)], "source long"), stats=few)
+    assert few["compactions"] == 0 and few["written"] == sum(few["frontier"])
+
+
+def grid(n, rnd):
+    """n x n streets in both directions, costs between 1 and 2."""
+    rows = []
+    for x in range(n):
+        for y in range(n):
+            for a, b in ((x + 1, y), (x, y + 1)):
+                if a < n and b < n:
+                    rows += [(x * n + y, a * n + b, 1 + rnd.random()), (a * n + b, x * n + y, 1 + rnd.random())]
+    return rows
+
+
+@pytest.mark.parametrize("mode", ["array", "parent"])
+def test_landmarks_cut_the_search_and_change_nothing(spark, mode):
+    rows = grid(9, random.Random(3)) + [(200, 201, 1.0), (201, 0, 1.0)]
+    e = spark.createDataFrame(rows, "src long, dst long, cost double")
+    pairs = spark.createDataFrame([(0, 12), (0, 3), (40, 44), (80, 79), (200, 5), (7, 7)], "src long, dst long")
+    marks = G.landmark_table(e, n=3)
+    plain, led = {}, {}
+    want = sorted((r.src, r.dst, r.status, r.total, r.path) for r in G.route(e, pairs, stats=plain, path_mode=mode).collect())
+    got = sorted((r.src, r.dst, r.status, r.total, r.path) for r in G.route(e, pairs, stats=led, path_mode=mode, landmarks=marks).collect())
+    assert got == want
+    assert {(s, d): p for s, d, _, _, p in got}[0, 12] == list(dijkstra(rows, 0)[12][1])
+    assert sum(led["frontier"]) < 0.8 * sum(plain["frontier"])
