@@ -6,9 +6,10 @@ collects data to the driver (only model parameters and one-row summaries)."""
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,6 +115,24 @@ def condition_report(conditions: DataFrame, label: str = "condition",
     return R.cluster_summary(conditions, label), R.cluster_profile(conditions, label, cols)
 
 
+def stored_report(spark: SparkSession, conditions_path: str, meta_path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(meta, summary, profile) of a stored clustering, as its sidecar says.
+
+    The sidecar's column list is taken from the observations; its mode decides
+    the profile: the compact mode gives the means of its three features with
+    the count of every condition, in the order of the conditions, the full
+    mode the means of all listed columns.
+    """
+    meta = S.read_cluster_meta(spark, meta_path)
+    mode, columns = meta.agg(F.max("mode"), F.max("columns")).first()
+    stored = S.read_prepared(spark, conditions_path).select(*columns, "condition")
+    summary, profile = condition_report(stored, cols=columns)
+    means = [c for c in profile.columns if c not in ("condition", "n", "count")]
+    if mode == SC.FULL_MODE.name:
+        profile = profile.select("condition", *means)
+    return meta, summary, profile
+
+
 # ---------------------------------------------------------------- Q5
 def scenario_edges(facts: DataFrame, scenario_cols: Sequence[str] = ("condition", "hour")) -> DataFrame:
     """Mean travel time per (scenario, link, from, to) as directed edges."""
@@ -157,27 +176,53 @@ class RunConfig:
     k: int = 4
     seed: int = 42
     refresh: bool | Sequence[str] = False   # all, or names out of traffic, conditions, labelled
+    station_order: Sequence[str] = ("station",)   # of several observations of an hour the last by these columns counts
 
 
 def _rename(df: DataFrame, mapping: dict) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
 
 
+def input_marks(spark: SparkSession, cfg: RunConfig) -> dict[str, str | None]:
+    """Fingerprints of what each prepared dataset is built from; None where inputs are missing."""
+    def mark(paths, *parameters):
+        try:
+            return S.fingerprint(spark, paths, *parameters) if paths else None
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    speed = [p for paths in cfg.speed_layouts.values() for p in paths]
+    marks = {"traffic": mark(speed, {k: sorted(v) for k, v in cfg.speed_layouts.items()}, cfg.speed_name_level, cfg.encoding,
+                             SC.SPEED_WIDE.simpleString()),
+             "conditions": mark(list(cfg.weather_paths), cfg.encoding, cfg.spec, cfg.k, cfg.seed, tuple(cfg.station_order))}
+    both = [marks["traffic"], marks["conditions"]]
+    marks["labelled"] = None if None in both else S.fingerprint(spark, [], *both)
+    return marks
+
+
 def prepare_datasets(spark: SparkSession, cfg: RunConfig, report: dict | None = None) -> DataFrame:
     """Reuse the prepared datasets when complete, else rebuild and write them.
 
-    ``cfg.refresh`` asks for all of them or for some by name.  A complete
-    labelled set is used alone unless it or an input of it is to be rebuilt;
-    rebuilding an input rebuilds the labelled set.  Returns the labelled facts
-    (read back from ``cfg.labelled_path``).  ``report["built"]`` lists the
-    datasets that had to be (re)built.
+    ``cfg.refresh`` asks for all of them or for some by name.  Each dataset is
+    published with a fingerprint of what it was built from -- the input files
+    and parameters of traffic and conditions, both of these for the labelled
+    set -- and is built anew when that has changed: another monthly file rebuilds
+    the traffic, another ``k`` the conditions, either of them the labelled set.
+    Input files that are gone, or not named, cannot have changed.  A current
+    labelled set is used alone.  Returns the labelled facts (read back from
+    ``cfg.labelled_path``).  ``report["built"]`` lists the datasets that had to be
+    (re)built.
     """
     rebuilt = report.setdefault("built", []) if report is not None else []
     names = ("traffic", "conditions", "labelled")
     ask = set(names if cfg.refresh is True else cfg.refresh or ())
     if ask - set(names):
         raise ValueError(f"unknown datasets {sorted(ask - set(names))}")
-    if not ask and S.is_complete(spark, cfg.labelled_path):
+    marks = input_marks(spark, cfg)
+    if not ask and all(S.is_current(spark, p, m) for p, m in (
+            (cfg.labelled_path, marks["labelled"]), (cfg.meta_path, None))):
         return S.read_prepared(spark, cfg.labelled_path)
 
     def build_traffic():
@@ -197,23 +242,28 @@ def prepare_datasets(spark: SparkSession, cfg: RunConfig, report: dict | None =
         obs = C.union_all([part.select(*[F.col(c).try_cast("double").alias(c) if c != "ts"
                                          else F.try_to_timestamp(F.col(c)).alias(c)
                                          for c in part.columns if "QC" not in c]) for part in parts])
-        model = prepare_conditions(obs, cfg.spec, cfg.k, cfg.seed)
+        kept = tuple(c for c in cfg.station_order if c in obs.columns)     # not features, but they order the stations
+        spec = replace(cfg.spec, drop=tuple(c for c in cfg.spec.drop if c not in kept),
+                       select=tuple(dict.fromkeys((*cfg.spec.select, *kept))) if cfg.spec.select else cfg.spec.select)
+        model = prepare_conditions(obs, spec, cfg.k, cfg.seed)
         built.append(model)
         return model.predictions
 
     traffic = S.materialize(spark, cfg.traffic_path, build_traffic, "traffic" in ask,
-                            partition_by=["hour"])
-    conditions = S.materialize(spark, cfg.conditions_path, build_conditions, "conditions" in ask)
+                            partition_by=["hour"], manifest=marks["traffic"])
+    conditions = S.materialize(spark, cfg.conditions_path, build_conditions,
+                               "conditions" in ask or not S.is_complete(spark, cfg.meta_path), manifest=marks["conditions"])
     for model in built:          # written and re-read: the summary follows, the cached features can go
         S.write_cluster_meta(model.meta(spark), cfg.meta_path)
         model.release()
 
     def build_labelled():
         rebuilt.append("labelled")
-        return label_traffic(traffic, conditions)
+        order = [c for c in cfg.station_order if c in conditions.columns]
+        return label_traffic(traffic, conditions, order=order)
 
     return S.materialize(spark, cfg.labelled_path, build_labelled, "labelled" in ask,
-                         partition_by=["hour"])
+                         partition_by=["hour"], manifest=marks["labelled"])
 
 
 def run(spark: SparkSession, cfg: RunConfig,
@@ -222,8 +272,12 @@ def run(spark: SparkSession, cfg: RunConfig,
     """Full run: prepared datasets (reused or rebuilt), then the routes.
 
     ``pairs`` are the (condition, hour, src, dst) requests, or a function of
-    the labelled facts that derives them.
+    the labelled facts that derives them.  ``report`` gets, besides ``built``, the
+    stored clustering summary (``meta``) and what ``stored_report`` makes of it
+    (``summary``, ``profile``).
     """
     labelled = prepare_datasets(spark, cfg, report)
+    if report is not None:
+        report.update(zip(("meta", "summary", "profile"), stored_report(spark, cfg.conditions_path, cfg.meta_path)))
     requests = pairs(labelled) if callable(pairs) else pairs
     return routes_by_scenario(labelled, requests)

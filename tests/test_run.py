@@ -57,3 +57,52 @@ def test_full_run_reuses_and_routes(spark, tmp_path):
             assert r.path == ["A", "B", "C"] and r.total == 200.0
         else:
             assert r.status == "dst_missing"                     # the Nov scenario has only A->B
+
+
+def test_changed_inputs_rebuild_what_depends_on_them(spark, tmp_path):
+    d = str(tmp_path)
+    speed = lambda day, rows: [SPEED_HEADER, *[f"{i},{day},수,길,{i},{a},{b},상행,1000,36,36," for i, (a, b) in enumerate(rows)]]
+    write(f"{d}/speed/2021년 11월 통행속도.csv", speed(20211101, [("A", "B")]))
+    # two stations observe one hour: the last by station number counts
+    write(f"{d}/weather/2021.csv", ["지점,일시,기온(°C),강수량(mm),적설(cm),풍속(m/s)", "108,2021-11-01 10:00,30.0,,,2.0",
+                                    "112,2021-11-01 10:00,-20.0,,,2.0", "112,2021-11-01 15:00,31.0,,,2.0",
+                                    "108,2021-11-01 15:00,-21.0,,,2.0"])
+    cfg = J.RunConfig(traffic_path=f"{d}/out/traffic", conditions_path=f"{d}/out/conditions", labelled_path=f"{d}/out/labelled",
+                      meta_path=f"{d}/out/meta", speed_layouts={"plain": [f"{d}/speed/*.csv"]},
+                      weather_paths=[f"{d}/weather/*.csv"], k=2)
+
+    def built():
+        report = {}
+        J.prepare_datasets(spark, cfg, report)
+        return report["built"]
+
+    assert built() == ["traffic", "conditions", "labelled"] and built() == []
+    at = {r.hour: r.condition for r in spark.read.parquet(cfg.labelled_path).collect()}
+    of = {(r.station, r.ts.hour): r.condition for r in spark.read.parquet(cfg.conditions_path).collect()}
+    assert at == {10: of[112.0, 10], 15: of[112.0, 15]} and at[10] != at[15]
+    write(f"{d}/speed/2021년 12월 통행속도.csv", speed(20211201, [("A", "B"), ("B", "C")]))
+    assert built() == ["traffic", "labelled"] and built() == []
+    assert spark.read.parquet(cfg.labelled_path).count() == 6
+    cfg.k = 3
+    assert built() == ["conditions", "labelled"]
+    cfg.refresh = ["traffic"]
+    assert built() == ["traffic", "labelled"]
+
+
+def test_report_follows_the_sidecar(spark, tmp_path):
+    from roadcast import schemas as SC
+    from roadcast.sources import files as S
+
+    d = str(tmp_path)
+    rows = [(0, *[float(i) for i in range(15)]), (0, *[float(i + 2) for i in range(15)]), (1, *[9.0] * 15)]
+    full = spark.createDataFrame(rows, ["condition", *SC.FULL_FEATURES])
+    full.write.parquet(f"{d}/conditions")
+    for spec, features, count in ((SC.FULL_MODE, SC.FULL_FEATURES, []), (SC.COMPACT_MODE, SC.COMPACT_MODE.features, ["n"])):
+        meta = spark.createDataFrame(S.cluster_meta(0.5, 2, spec.name, features), S.CLUSTER_META_SCHEMA)
+        S.write_cluster_meta(meta, f"{d}/meta")
+        said, summary, profile = J.stored_report(spark, f"{d}/conditions", f"{d}/meta")
+        assert said.first().mode == spec.name and summary.first().n_rows == 3
+        assert profile.columns == ["condition", *[f"avg_{c}" for c in features], *count]
+        got = [tuple(r) for r in profile.collect()]
+        at = [SC.FULL_FEATURES.index(c) for c in features]
+        assert got == [(0, *[i + 1.0 for i in at], *([2] if count else [])), (1, *[9.0] * len(at), *([1] if count else []))]

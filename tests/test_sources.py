@@ -131,3 +131,74 @@ def test_interrupted_write_is_not_reused(spark, tmp_path):
     os.remove(os.path.join(path, "_SUCCESS"))
     os.remove(os.path.join(path, next(f for f in os.listdir(path) if f.startswith("part-"))))
     assert S.materialize(spark, path, lambda: spark.range(7)).count() == 7
+
+
+def jobs_of(spark, call):
+    """Number of Spark jobs that ``call`` runs (through the public status tracker)."""
+    group = f"count-jobs-{id(call)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        call()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_headers_of_any_number_of_files_take_the_same_jobs(spark, tmp_path):
+    counts = []
+    for n in (2, 9):
+        d = str(tmp_path / str(n))
+        for i in range(n):
+            cols, row = (",일자,시점명,10시", f"0,2021010{i + 1},시청앞,30.5") if i % 2 else (",10시,일자,시점명", f"0,30.5,2021010{i + 1},시청앞")
+            write(f"{d}/20210{i + 1}.csv", cols + "\n" + (row + "\n") * 400, "cp949")
+        frames = []
+        counts.append(jobs_of(spark, lambda: frames.append(S.read_monthly(spark, {"plain": [f"{d}/*.csv"]}, SCHEMA))))
+        got = frames[0].groupBy("일자", "시점명", "10시", "period").count().collect()
+        assert sorted((r["일자"], r["시점명"], r["10시"], str(r["period"]), r["count"]) for r in got) == [
+            (20210101 + i, "시청앞", 30.5, f"2021-0{i + 1}-01", 400) for i in range(n)]
+    assert counts[0] == counts[1]
+
+
+def test_files_without_header_or_period_are_errors(spark, tmp_path):
+    d = str(tmp_path)
+    write(f"{d}/a/202101.csv", ",일자,시점명,10시\n0,20210101,a,1\n", "cp949")
+    write(f"{d}/a/readme.csv", ",일자,시점명,10시\n0,20210101,a,1\n", "cp949")
+    with pytest.raises(ValueError, match="readme"):
+        S.read_monthly(spark, {"plain": [f"{d}/a/*.csv"]}, SCHEMA)
+    write(f"{d}/b/202101.csv", ",일자,시점명,10시\n", "cp949")
+    write(f"{d}/b/202102.csv", "", "cp949")              # Spark lists no file without bytes
+    assert S.read_monthly(spark, {"plain": [f"{d}/b/*.csv"]}, SCHEMA).count() == 0
+    write(f"{d}/b/202103.csv", "\n0,20210301,a,1\n", "cp949")
+    with pytest.raises(ValueError):
+        S.read_monthly(spark, {"plain": [f"{d}/b/*.csv"]}, SCHEMA)
+
+
+def test_failed_rebuild_leaves_the_old_dataset(spark, tmp_path):
+    path = str(tmp_path / "m")
+    S.materialize(spark, path, lambda: spark.range(5))
+    broken = spark.range(100).repartition(4).selectExpr("raise_error(concat('row ', id)) AS id")
+    with pytest.raises(Exception, match="row "):
+        S.materialize(spark, path, lambda: broken, refresh=True)
+    assert spark.read.parquet(path).count() == 5
+    # a dataset may be rebuilt from itself
+    S.materialize(spark, path, lambda: spark.read.parquet(path).selectExpr("id + 1 AS id"), refresh=True)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4, 5]
+    # stopped between the two renames: the old one is put back
+    os.rename(path, path + ".old-x")
+    assert S.materialize(spark, path, lambda: spark.range(99)).count() == 5
+
+
+def test_manifest_rebuilds_on_changed_inputs(spark, tmp_path):
+    d, path, calls = str(tmp_path / "in"), str(tmp_path / "m"), []
+
+    def get(*parameters):
+        return S.materialize(spark, path, lambda: calls.append(1) or spark.read.text(f"{d}/*.csv"),
+                             manifest=S.fingerprint(spark, [f"{d}/*.csv"], *parameters)).count()
+
+    write(f"{d}/a.csv", "1\n", "utf-8")
+    assert (get(), get(), len(calls)) == (1, 1, 1)
+    write(f"{d}/b.csv", "1\n2\n", "utf-8")
+    assert (get(), get(), len(calls)) == (3, 3, 2)
+    assert (get("k=5"), get("k=5"), len(calls)) == (3, 3, 3)
+    write(f"{d}/b.csv", "1\n", "utf-8")
+    assert (get("k=5"), len(calls)) == (2, 4)
