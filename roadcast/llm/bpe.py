@@ -15,18 +15,20 @@ change them:
   computed once from the merge list in rank order.
 
 A cut at a stable token boundary splits the word: no merge crosses it, so the
-rest encodes on its own.  The buffer therefore never exceeds a chunk plus the
+rest encodes on its own.  It may fall inside a character: then the symbols that
+are left of the character are carried before the rest.  The buffer therefore never exceeds a chunk plus the
 lookahead, whatever the text (combining marks without a base excepted: the
 normaliser itself has to see such a run whole).
 
 Decoding.  ``Decoder`` joins the vocabulary strings as the library does when a
-tokenizer file names no decoder; ``TextDecoder`` is the byte-to-text state
-machine: it turns ids into bytes, word ends into spaces, and emits characters
-once their UTF-8 sequence is complete.
+tokenizer file names no decoder (``decoded_sha256``); ``TextDecoder`` is the
+byte-to-text state machine: it turns ids into bytes, word ends into spaces, and
+emits characters once their UTF-8 sequence is complete (``readable_sha256``).
 """
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import json
 import re
@@ -55,12 +57,32 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(next(spare)) for b in range(256)}
 
 
+def _require(spec: dict, path: str) -> None:
+    """This module is written for one kind of file; another would give other ids."""
+    def items(part, key):
+        return [{k: v for k, v in p.items()} for p in (part or {}).get(key, [part] if part else [])]
+
+    normal = [n["type"] for n in items(spec.get("normalizer"), "normalizers")]
+    split = items(spec.get("pre_tokenizer"), "pretokenizers")
+    model = spec["model"]
+    fits = (model.get("type", "BPE") == "BPE" and not any(model.get(k) for k in (
+                "dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges"))
+            and normal == ["NFC", "Replace", "Lowercase"] and [p["type"] for p in split] == ["Split", "ByteLevel"]
+            and split[0]["pattern"].get("Regex") == SPLITTER and split[0]["behavior"] == "Removed" and split[0]["invert"]
+            and not split[1]["add_prefix_space"] and not split[1]["use_regex"]
+            and spec.get("decoder") is None and spec.get("post_processor") is None
+            and not any(t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")))
+    if not fits:
+        raise ValueError(f"{path}: not a lower-casing word BPE file of the kind this encoder reads")
+
+
 class Vocabulary:
     """Merge list, ids and special tokens of a word BPE file (read once per task)."""
 
     def __init__(self, path: str):
         spec = json.load(open(path, encoding="utf-8"))
         model = spec["model"]
+        _require(spec, path)
         self.suffix: str = model["end_of_word_suffix"] or ""
         self.ids: dict[str, int] = model["vocab"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
@@ -72,12 +94,19 @@ class Vocabulary:
                 self.names[i] = s
         self.numbers = [str(i) for i in range(len(self.names))]
         self.letters = byte_alphabet()
-        self.bytes_of = {c: b for b, c in self.letters.items()}
+        self.byte_of = {c: b for b, c in self.letters.items()}
+        self.texts = [self._text(name) for name in self.names]          # bytes of every id, word end as a space
         self.lookahead = sufficient_lookahead(merges)
         self._pair_table(merges)
         self.split_special = regex.compile("(" + "|".join(sorted(map(regex.escape, self.special), key=len, reverse=True)) + ")") \
             if self.special else None
 
+    def _text(self, name: str) -> bytes:
+        if name in self.special:
+            return name.encode()
+        ends = bool(self.suffix) and name.endswith(self.suffix)
+        return bytes(self.byte_of[c] for c in (name[:-len(self.suffix)] if ends else name)) + (b" " if ends else b"")
+
     def merge(self, symbols: list[str]) -> list[str]:
         """Apply the merge list: lowest rank first, leftmost among equals."""
         rank, none = self.rank.get, 1 << 30
@@ -214,7 +243,8 @@ def sufficient_lookahead(merges: list[tuple[str, str]]) -> int:
 
 
 # ------------------------------------------------------------- encoding
-#: Fixed values of the tokenizer file: what a word is, after lower-casing.
+#: Fixed values of the tokenizer file: what a word is, after lower-casing; its splitter's own text.
+SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^" + _SPACE + r"\p{L}\p{N}]+"
 _WORD = regex.compile(WORDS)
 _LETTERS = regex.compile(r"\p{L}+")
@@ -254,6 +284,7 @@ class Encoder:
         self.v, self.cache, self.cache_words = vocab, {} if cache is None else cache, cache_words
         self.hold = max(chunk, 2 * vocab.lookahead + 2)
         self.raw, self.text, self.open = "", "", None       # open: pattern of a word that goes on
+        self.head: list[str] = []                           # its symbols before ``text``: the end of a character
 
     def _keep(self, text: str, ids: tuple[int, ...]) -> tuple[int, ...]:
         if len(text) <= 64:
@@ -281,37 +312,45 @@ class Encoder:
             found = [self._between_spaces(p) if f is None else f for p, f in zip(pieces, found)]
         out.extend(chain.from_iterable(found))
 
-    def _long(self, word: str) -> list[int]:
-        """A word of any length in pieces, each emitted once stable."""
-        out, rest = [], word
-        while len(rest) > self.hold:
-            ids, rest = self._stable(rest)
+    def _long(self, word: str, head: list[str] | None = None) -> list[int]:
+        """A word of any length in pieces, each emitted once stable.
+
+        ``head``: symbols that stand before it, left of a character that was cut.
+        """
+        out, head = [], head or []
+        while len(word) > self.hold:
+            ids, head, word = self._stable(head, word)
             out.extend(ids)
-        out.extend(self.v.ids[s] for s in self.v.merge(self.v.symbols(rest)))
+        symbols = head + self.v.symbols(word, ended=False)
+        if symbols:
+            symbols[-1] += self.v.suffix
+        out.extend(self.v.ids[s] for s in self.v.merge(symbols))
         return out
 
-    def _stable(self, word: str) -> tuple[list[int], str]:
-        """Ids of the part of an unfinished word that no continuation changes."""
+    def _stable(self, head: list[str], word: str) -> tuple[list[int], list[str], str]:
+        """Ids of the part of an unfinished word that no continuation changes,
+        and what is left of it: symbols of a cut character, then whole ones."""
         v = self.v
-        head = word[:self.hold]
-        tokens = v.merge(v.symbols(head, ended=False))
-        size = sum(map(len, tokens))
-        done, count = 0, 0
-        starts = set()
-        n = 0
-        for c in head:                    # a cut must also fall between characters
-            starts.add(n)
-            n += len(c.encode("utf-8"))
-        cut = 0
-        for k, t in enumerate(tokens):
-            done += len(t)
-            if size - done < v.lookahead:
+        part = word[:self.hold]
+        tokens = v.merge(head + v.symbols(part, ended=False))      # a symbol is one byte and one letter
+        left = sum(map(len, tokens))
+        count = cut = 0
+        for count, t in enumerate(tokens):                          # hold is above twice the lookahead
+            if left - len(t) < v.lookahead:
                 break
-            if done in starts:
-                count, cut = k + 1, done
-        if not count:
-            raise ValueError("no stable token within the lookahead")
-        return [v.ids[s] for s in tokens[:count]], word.encode("utf-8")[cut:].decode("utf-8")
+            left -= len(t)
+            cut += len(t)
+        else:
+            count = len(tokens)
+        ids = [v.ids[s] for s in tokens[:count]]
+        if cut <= len(head):
+            return ids, head[cut:], word
+        data = part.encode("utf-8")
+        at = cut = cut - len(head)
+        while at < len(data) and data[at] & 0xC0 == 0x80:           # to the next character's first byte
+            at += 1
+        rest = data[at:].decode("utf-8")
+        return ids, [v.letters[x] for x in data[cut:at]], rest + word[self.hold:]
 
     def feed(self, raw: str, last: bool = False) -> list[int]:
         out: list[int] = []
@@ -343,8 +382,8 @@ class Encoder:
             end = m.end() if m else 0
             if end == len(self.text) and not ended:
                 return self._grow(out)
-            out.extend(self._long(self.text[:end]))
-            self.text, self.open = self.text[end:], None
+            out.extend(self._long(self.text[:end], self.head))
+            self.text, self.open, self.head = self.text[end:], None, []
         if ended:
             self._whole(self.text, out)
             self.text = ""
@@ -375,7 +414,7 @@ class Encoder:
 
     def _grow(self, out: list[int]) -> list[int]:
         while len(self.text) > 2 * self.hold:
-            ids, self.text = self._stable(self.text)
+            ids, self.head, self.text = self._stable(self.head, self.text)
             out.extend(ids)
         return out
 
@@ -427,26 +466,10 @@ class TextDecoder:
     (broken sequences give U+FFFD), a word end gives one space."""
 
     def __init__(self, vocab: Vocabulary):
-        import codecs
-        self.v, self.state = vocab, codecs.getincrementaldecoder("utf-8")("replace")
+        self.bytes, self.state = vocab.texts, codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: Iterable[int], last: bool = False) -> str:
-        v, out = self.v, []
-        for i in ids:
-            name = v.names[i]
-            ends = bool(v.suffix) and name.endswith(v.suffix) and name not in v.special
-            if name in v.special:
-                out.append(self.state.decode(b"", True) + name)
-                self.state.reset()
-                continue
-            body = name[:-len(v.suffix)] if ends else name
-            out.append(self.state.decode(bytes(v.bytes_of[c] for c in body)))
-            if ends:
-                out.append(self.state.decode(b"", True) + " ")
-                self.state.reset()
-        if last:
-            out.append(self.state.decode(b"", True))
-        return "".join(out)
+        return self.state.decode(b"".join(map(self.bytes.__getitem__, ids)), last)
 
 
 # ------------------------------------------------------------- on tables
@@ -454,9 +477,10 @@ SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-             with_ids: bool = False) -> DataFrame:
-    """Row per input row: id, n_tokens, ids_sha256, decoded_sha256 (and ``ids``
-    with ``with_ids``), for the tokenizer file at ``path`` on every executor.
+             with_ids: bool = False, readable: bool = False) -> DataFrame:
+    """Row per input row: id, n_tokens, ids_sha256, decoded_sha256, for the
+    tokenizer file at ``path`` on every executor; ``ids`` with ``with_ids``, and with
+    ``readable`` ``readable_sha256``, of what ``TextDecoder`` makes of the ids.
 
     Null texts count as empty (no tokens, digests of nothing); ids may be null
     and may repeat.  Chunk by chunk, so only digests and counts grow with a text.
@@ -467,7 +491,7 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     def run(batches):
         vocab, cache = Vocabulary(path), {}
         for b in batches:
-            count, ids_sha, text_sha, kept = [], [], [], []
+            count, ids_sha, text_sha, kept, read = [], [], [], [], []
             texts, room = b.column(1), 0
             for k in range(b.num_rows):
                 if k >= room:                  # the next texts' words, a bounded amount of text at a time
@@ -478,7 +502,7 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                         some.append(t[:CHUNK])
                     warm(vocab, some, cache)
                 n, first, a, d, own = 0, True, hashlib.sha256(), hashlib.sha256(), []
-                dec = Decoder(vocab)
+                dec, plain, x = Decoder(vocab), TextDecoder(vocab), hashlib.sha256()
                 for ids in encode(vocab, texts[k].as_py(), cache):
                     if ids:
                         s = " ".join(map(vocab.numbers.__getitem__, ids))
@@ -487,15 +511,23 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                         n, first = n + len(ids), False
                         if with_ids:
                             own += ids
+                        if readable:
+                            x.update(plain.feed(ids).encode())
                 count.append(n)
                 ids_sha.append(a.hexdigest())
                 text_sha.append(d.hexdigest())
                 kept.append(own)
+                x.update(plain.feed([], last=True).encode())
+                read.append(x.hexdigest())
             cols = [b.column(0), pa.array(count, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
             names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
                 cols.append(pa.array(kept, pa.list_(pa.int32())))
                 names.append("ids")
+            if readable:
+                cols.append(pa.array(read, pa.string()))
+                names.append("readable_sha256")
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    return rows.mapInArrow(run, f"`{id_col}` {fields}, {SCHEMA}" + (", ids array<int>" if with_ids else ""))
+    return rows.mapInArrow(run, f"`{id_col}` {fields}, {SCHEMA}" + (", ids array<int>" if with_ids else "")
+                           + (", readable_sha256 string" if readable else ""))

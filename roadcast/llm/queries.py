@@ -52,7 +52,7 @@ def op2_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_bpe_transducer")
 def op3_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokenize(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return tokenize(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), readable=True)
 
 
 @query("op4_dual_cover_tree", """

@@ -83,3 +83,45 @@ def test_text_decoder_gives_characters_once_complete(lib, vocab):
     parts = [dec.feed([i]) for i in ids]
     assert "".join(parts) + dec.feed([], last=True) == "naïve café 日本語 😀 ok "
     assert not any("�" in p for p in parts)
+
+
+def test_long_runs_of_every_character_of_the_alphabet(lib, vocab):
+    """Tokens that never end where a character ends: cuts fall inside characters."""
+    texts = [c * 2_000 for c in sorted({chr(x) for x in range(33, 0x3100, 7)} | set("▂กคおかるゕ"))]
+    for text, want in zip(texts, lib.encode_batch(texts, add_special_tokens=False)):
+        assert [i for part in bpe.encode(vocab, text, chunk=1400) for i in part] == want.ids, text[0]
+
+
+@pytest.mark.parametrize("text", ["▂" * 200_000, "ก" * 70_000, "word お" * 3 + "お" * 66_000 + " end", "かる" * 40_000 + "'s"])
+def test_long_runs_at_the_real_limits(lib, vocab, text):
+    assert [i for part in bpe.encode(vocab, text) for i in part] == lib.encode(text, add_special_tokens=False).ids
+
+
+def test_random_periods(lib, vocab):
+    r = random.Random(8)
+    for _ in range(40):
+        unit = "".join(chr(r.choice([r.randrange(97, 123), r.randrange(0xE00, 0xE4F), r.randrange(0x3041, 0x3097), r.randrange(0x2500, 0x2600)]))
+                       for _ in range(2))
+        text = unit * r.randrange(700, 2500)
+        assert [i for part in bpe.encode(vocab, text, chunk=r.choice([300, 1500])) for i in part] == \
+            lib.encode(text, add_special_tokens=False).ids, unit
+
+
+def test_readable_text_of_the_table(spark, lib, vocab):
+    rows = [r[:2] for r in odd_rows()] + [(40, "▂" * 3000), (41, "naïve café 日本語 😀 <|endoftext|> x")]
+    got = {(r["doc_id"], r["n_tokens"], r["readable_sha256"]) for r in bpe.tokenize(docs(spark, rows), PATH, readable=True).collect()}
+    want = set()
+    for i, t in rows:
+        ids = lib.encode(t or "", add_special_tokens=False).ids
+        data = b""
+        for name in map(lib.id_to_token, ids):
+            special = name.startswith("<|")
+            body = name.removesuffix("</w>")
+            data += name.encode() if special else bytes(vocab.byte_of[c] for c in body) + (b" " if body != name else b"")
+        want.add((i, len(ids), hashlib.sha256(data.decode("utf-8", "replace").encode()).hexdigest()))
+    assert got == want
+
+
+def test_other_tokenizer_files_are_refused():
+    with pytest.raises(ValueError, match="not a lower-casing word BPE"):
+        bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
