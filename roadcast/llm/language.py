@@ -37,7 +37,7 @@ def grams(text: str) -> np.ndarray:
     """64-bit hashes of all n-grams of the text's letters (lower case, anything
     else one space); empty when it has no letter."""
     letters = _NO_LETTER.sub(" ", text.lower()).strip()
-    if not letters:
+    if not any(map(str.isalpha, letters)):          # other number signs, as in "²³ ½", are no letters
         return np.zeros(0, dtype=np.uint64)
     c = np.frombuffer(f" {letters}  ".encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
     n = c.size - ORDER + 1

@@ -43,3 +43,12 @@ def test_odd_rows(spark):
     none = fit(docs(spark, []))
     assert {r["lang_pred"] for r in identify(d, none).collect()} == {"und"}
     assert identify(docs(spark, []), none).count() == 0
+
+
+def test_text_without_letters_is_und(spark):
+    texts = ["²³ ½", "Ⅷ ³", "123 --", "\u0301", "_", "", None, "²x"]
+    train = [(4 * i, "some plain words of text", "en") for i in range(20)]
+    t = docs(spark, train + [(1001 + i, x, "en") for i, x in enumerate(texts)])
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in identify(t, fit(t)).collect() if r["doc_id"] > 1000}
+    assert {i for i, (lang, _) in got.items() if lang == "und"} == set(range(1001, 1008))
+    assert got[1008][0] == "en" or got[1008][1] == 0.0
