@@ -77,3 +77,13 @@ def test_odd_rows(spark):
     assert len(got) == len(odd_rows())
     assert all(r["spans"] == "" and r["base_sha256"] == hashlib.sha256(b"").hexdigest() for r in got)
     assert find_pii(docs(spark, [])).count() == 0
+
+
+def test_long_runs_of_digits_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    for text in ("7" * 1_000_000 + ".", ("1" * 50 + ".") * 20_000, "1.2." * 250_000, "." + "9" * 1_000_000 + ".1.1." + "2" * 1_000_000):
+        got = [s for s in base_spans(text) if s[1] == 1]
+        assert all(text[a:b].count(".") == 3 for a, _, b in got)
+    assert time.perf_counter() - start < 20
