@@ -12,7 +12,8 @@ the whole sequence).  Two documents are linked when 100 |A n B| >= percent |A u
 3. Signatures of a pair are compared in batches; after each, the posterior of
    the similarity (uniform prior, binomial matches) is read off: when the
    chance that it reaches the threshold is below ``MISS``, the pair is dropped.
-   Survivors are verified on the complete shingle sets of both texts.
+   Of a member's surviving leaders the one with most equal minima is verified
+   on the complete shingle sets of both texts: one link per member and round.
 4. Links form components.  Buckets whose members are in several components
    then compare every pair that crosses components (members outside the largest
    against all), once each and block by block: what the leaders did not
@@ -92,14 +93,15 @@ def shingle_hashes(text: bytes, width: int) -> tuple[np.ndarray, bytes]:
 
 def signature(s: np.ndarray) -> np.ndarray:
     """Minima of BANDS * ROWS hash functions, 16 bits each (two different minima
-    look equal once in 65,536 times, far below what the posterior resolves)."""
+    look equal once in 65,536 times, far below what the posterior resolves).
+    The minima of a long text are all small, so each is mixed before it is cut."""
     low = np.full(_MUL.size, np.iinfo(np.uint64).max, dtype=np.uint64)
     with np.errstate(over="ignore"):
         for at in range(0, s.size, 1024):
             part = s[at:at + 1024, None] ^ _XOR
             part *= _MUL
             np.minimum(low, part.min(axis=0), out=low)
-    return (low >> np.uint64(48)).astype(np.uint16)
+    return (mix64(low) >> np.uint64(48)).astype(np.uint16)
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
@@ -127,18 +129,19 @@ def least_matches(percent: int, miss: float = MISS) -> tuple[int, ...]:
                  for n in range(BATCH, BANDS * ROWS + 1, BATCH))
 
 
-def survives(a: np.ndarray, b: np.ndarray, need: tuple[int, ...]) -> np.ndarray:
-    """Rows of two signature matrices that no batch rules out."""
+def survives(a: np.ndarray, b: np.ndarray, need: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of two signature matrices that no batch rules out, and their equal minima."""
     alive, equal = np.arange(len(a)), np.zeros(len(a), dtype=np.int64)
     for k, least in enumerate(need):
         part = slice(k * BATCH, (k + 1) * BATCH)
         equal[alive] += (a[alive, part] == b[alive, part]).sum(axis=1)
         alive = alive[equal[alive] >= least]
-    return alive
+    return alive, equal[alive]
 
 
 def _likely(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) left by the sequential comparison of their signatures."""
+    """Of the pairs (a, b) left by the sequential comparison of their signatures,
+    for every b the one with most equal minima."""
     need = least_matches(percent)
     wide = (pairs.join(sigs.select(F.col("class").alias("a"), F.col("sig").alias("sa")), "a")
             .join(sigs.select(F.col("class").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb"))
@@ -148,9 +151,11 @@ def _likely(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
             if not b.num_rows:
                 continue
             x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), dtype=np.uint16).reshape(b.num_rows, -1) for k in (2, 3))
-            at = pa.array(survives(x, y, need))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at)], ["a", "b"])
-    return wide.mapInArrow(run, "a binary, b binary")
+            at, equal = survives(x, y, need)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at)), pa.array(equal)],
+                                             ["a", "b", "equal"])
+    return (wide.mapInArrow(run, "a binary, b binary, equal long").groupBy("b")
+            .agg(F.max(F.struct("equal", "a"))["a"].alias("a")).select("a", "b"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
@@ -285,7 +290,7 @@ def _crossing_links(members: DataFrame, sigs: DataFrame, texts: DataFrame, perce
                 if at.size:
                     shared = (sig[at] == sig[x]).reshape(at.size, BANDS, ROWS).all(axis=2)
                     at = at[shared.argmax(axis=1) == band]
-                    at = at[survives(np.broadcast_to(sig[x], (at.size, sig.shape[1])), sig[at], need)]
+                    at = at[survives(np.broadcast_to(sig[x], (at.size, sig.shape[1])), sig[at], need)[0]]
                 if at.size:
                     partners[cls[x]] = [cls[y] for y in at]
                     for y in partners[cls[x]]:
