@@ -211,48 +211,68 @@ def _ranges(ids, key, s, e, anchor=None, n=None, pos=None):
 
 
 # ------------------------------------------------------------- run-length index
-def suffix_order(text: np.ndarray) -> np.ndarray:
-    """Order of all suffixes of the rows of ``text`` (symbols 1..256, 0: past the
-    end), equal suffixes by row.  Prefix doubling over whole matrices."""
+def sevens(text: np.ndarray) -> np.ndarray:
+    """The seven symbols from each place on as one number (9 bits each, 0 past the row)."""
     n, wide = text.shape
-    pad = np.zeros((n, 6), dtype=np.int64)
-    t = np.concatenate([text.astype(np.int64), pad], axis=1)
-    key = t[:, :wide]
-    for k in range(1, 7):                                   # 7 symbols of 9 bits
-        key = key << 9 | t[:, k:k + wide]
-    depth, key = 7, key.ravel()
-    while True:
-        order = np.argsort(key, kind="stable" if depth >= wide else None)
-        new = np.ones(order.size, dtype=bool)
-        new[1:] = key[order[1:]] != key[order[:-1]]
-        if depth >= wide:
-            return order
-        rank = np.empty(order.size, dtype=np.int64)
-        rank[order] = np.cumsum(new)
-        rank = rank.reshape(n, wide)
-        rank[text == 0] = 0                                 # past the end: as beyond the matrix
-        key = rank << 32
-        key[:, :wide - depth] |= rank[:, depth:]
-        depth, key = 2 * depth, key.ravel()
+    t = np.concatenate([text.astype(np.int64), np.zeros((n, 6), dtype=np.int64)], axis=1)
+    out = t[:, :wide].copy()
+    for k in range(1, 7):
+        out <<= 9
+        out |= t[:, k:k + wide]
+    return out.ravel()
+
+
+def suffix_order(text: np.ndarray) -> np.ndarray:
+    """Places (row * width + offset) of all suffixes of the rows of ``text``
+    (symbols 1..256, 0: past the end) in order, equal suffixes by row.
+
+    Prefix doubling; a pass sorts only suffixes that are not told apart yet.  A
+    rank is the slot at which a suffix's group begins, so it holds when others
+    are sorted; suffixes that end together without a difference are equal.
+    """
+    order = np.flatnonzero(text)
+    rest = (np.count_nonzero(text, axis=1)[:, None] - np.arange(text.shape[1])).astype(np.int32).ravel()
+    rank = np.zeros(text.size + 1, dtype=np.int32)
+    slots, at, key, equal, depth = np.arange(order.size), order, sevens(text)[order], [], 7
+    while slots.size:
+        by = np.argsort(key)
+        key, at = key[by], at[by]
+        order[slots] = at
+        heads = np.flatnonzero(_groups(key))
+        many = np.diff(heads, append=key.size)
+        now = np.repeat(slots[heads] + 1, many)
+        rank[at] = now
+        left = rest[at]
+        open_, over = np.repeat(many > 1, many), left < depth
+        equal.append(slots[open_ & over])
+        go = open_ & ~over
+        slots, at = slots[go], at[go]
+        after = rank[at + depth]
+        after[left[go] == depth] = 0                        # past the end
+        key = now[go] << 32 | after
+        depth *= 2
+    slots = np.sort(np.concatenate(equal)) if equal else slots
+    at = order[slots]
+    order[slots] = at[np.argsort(rank[at].astype(np.int64) << 32 | at)]
+    return order
 
 
 class RunIndex:
     """r-index of short texts for windows of one length.
 
-    Kept: the runs of the transform (symbol, start), the rows at which a
-    symbol's runs begin in the first column, one sample per run end (the
-    earliest place of the run's window) and one entry row per text.
+    Kept: the runs of the transform (symbol, start, and a bit per row with counts
+    a word that tell a row's run), the rows at which a symbol's runs begin in the
+    first column, one sample per run end (the earliest place of the run's
+    window) and one entry row per text.
     """
 
     def __init__(self, text: np.ndarray, size: np.ndarray, place: np.ndarray, length: int = LENGTH):
         """``text``: rows of symbols 1..256, 0 past ``size``; ``place``: order of
         each text's first symbol among all places (start offsets add to it)."""
         n, wide = text.shape
-        order = suffix_order(text)
-        row, off = np.divmod(order, wide)
-        real = off < size[row]                              # positions past a text's end are no suffixes
+        row, off = np.divmod(suffix_order(text), wide)
         # one terminator per text comes first, in the order of the texts
-        row, off = np.concatenate([np.arange(n), row[real]]), np.concatenate([size, off[real]])
+        row, off = np.concatenate([np.arange(n), row]), np.concatenate([size, off])
         before = np.where(off > 0, text[row, off - 1], 0)
         # windows: neighbours that share at least ``length`` symbols
         whole = off + length <= size[row]
@@ -262,6 +282,10 @@ class RunIndex:
         cut = ~share
         cut[1:] |= before[1:] != before[:-1]
         self.start = np.flatnonzero(cut)
+        bits = np.zeros(-(-row.size // 64) * 64, dtype=np.uint8)
+        bits[self.start] = 1
+        self.begins = np.packbits(bits, bitorder="little").view("<u8")
+        self.ahead = np.cumsum(np.append(0, np.bitwise_count(self.begins)[:-1].astype(np.int64)))
         self.symbol = before[self.start]
         size_of = np.diff(np.append(self.start, row.size))
         by = np.argsort(self.symbol, kind="stable")
@@ -279,25 +303,29 @@ class RunIndex:
 
     @staticmethod
     def _equal(text, row, off, i, j, length):
-        out = np.ones(i.size, dtype=bool)
-        flat, wide = text.ravel(), text.shape[1]
+        """Whether the windows of rows i and j are the same: seven symbols at a time (``length`` >= 7)."""
+        words, wide = sevens(text), text.shape[1]
         x, y = row[i] * wide + off[i], row[j] * wide + off[j]
         live = np.arange(i.size)
-        for k in range(length):
-            live = live[flat[x[live] + length - 1 - k] == flat[y[live] + length - 1 - k]]
-            if not live.size:
-                break
-        out[:] = False
+        for k in [length - 7, *range(0, length - 7, 7)]:
+            live = live[words[x[live] + k] == words[y[live] + k]]
+        out = np.zeros(i.size, dtype=bool)
         out[live] = True
         return out
 
+    def _run_of(self, at: np.ndarray) -> np.ndarray:
+        """The run each row lies in: runs begun before its word of 64 rows, and in it up to the row."""
+        word = at >> 6
+        upto = self.begins[word] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (63 - (at & 63)).astype(np.uint64))
+        return self.ahead[word] + np.bitwise_count(upto) - 1
+
     def stream(self, size: np.ndarray, place: np.ndarray, length: int = LENGTH):
         """(text, offset) of every window with an earlier match, by LF steps."""
         live = np.flatnonzero(size >= length)
         at, off = self.entry[live], (size - length)[live]
         texts, offs = [], []
         while live.size:
-            run = np.searchsorted(self.start, at, side="right") - 1
+            run = self._run_of(at)
             hit = self.sample[run] < place[live] + off
             texts.append(live[hit])
             offs.append(off[hit])
