@@ -8,16 +8,20 @@ after its bytes compared equal to the first occurrence; chunks of one line and
 chunks shorter than ``least`` bytes stay.
 
 That rule alone sees a repeat only where whole chunks lie inside the shared
-passage.  With ``runs`` (what the query and the pipeline use) every place of
-the rolling hash counts: a *window* is the fewest lines, at least ``WINDOW``
-and ``least`` bytes, that start or that end at a line.  Any run of lines that
-occurs earlier is covered by windows inside it, so the removed bytes, joined
-where windows overlap, are exactly the maximal repeated runs of two lines and
-``least`` bytes or more.
-
-Hashes meet first (a row per chunk, no text); only chunks whose hash repeats
-are cut out of the texts again for the comparison, found by a filter of fixed
-size in a scan that shuffles no whole text.
+passage.  With ``runs`` (what the query and the pipeline use) the boundaries
+are finer and only find the places to look at: a line is a boundary where its
+hash is the least of a rolling window of ``WINDOW`` lines (``boundaries``), so
+the lines from one boundary to the next are at most ``WINDOW`` and any run of
+that many lines holds a boundary chosen by its own lines alone.  Boundaries
+whose hash repeats in the corpus are then grown line by line: every shortest
+run of ``WINDOW`` lines and ``least`` bytes around one (``windows``) that occurs
+earlier goes after its bytes compared equal.  Joined where they overlap, the
+removed bytes are exactly the maximal repeated runs of two lines and ``least``
+bytes or more; no window away from a repeated boundary is hashed.
+
+Hashes meet first (a row per boundary, then per window, no text); only chunks
+whose hash repeats are cut out of the texts again for the comparison, found by
+filters of bounded size in a scan that shuffles no whole text.
 """
 
 from __future__ import annotations
@@ -65,10 +69,9 @@ def _hashed(text: bytes, least: int):
             yield s, e, n, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), body
 
 
-def windows(text: bytes, least: int = LEAST_BYTES) -> list[tuple[int, int, int, int]]:
-    """(start, end, lines, end without the last newline) of the shortest runs of
-    at least ``WINDOW`` lines and ``least`` bytes, from each line and up to each
-    line.  The nothing after a text's last newline is no line."""
+def _lines(text: bytes) -> tuple[list[int], list[int]]:
+    """Starts and ends of the lines, newlines apart.  The nothing after a text's
+    last newline is no line."""
     start, stop, at = [], [], 0
     for line in text.split(b"\n"):
         start.append(at)
@@ -76,6 +79,35 @@ def windows(text: bytes, least: int = LEAST_BYTES) -> list[tuple[int, int, int,
         at += len(line) + 1
     if len(start) > 1 and start[-1] == stop[-1]:
         del start[-1], stop[-1]
+    return start, stop
+
+
+def boundaries(text: bytes, least: int = LEAST_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers, hashes) of the lines whose hash is the least of a window of
+    ``WINDOW`` lines they are in.  Lines that fill their share of ``least`` come
+    before shorter ones, so blank lines are chosen among blank lines only."""
+    start, stop = _lines(text)
+    n = len(start)
+    if n < WINDOW:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    view = memoryview(text)
+    h = np.array([xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(start, stop)], dtype=np.uint64)
+    short = np.subtract(stop, start) < least // WINDOW
+    h = (h >> np.uint64(1)) | (short.astype(np.uint64) << np.uint64(63))
+    rolled = np.lib.stride_tricks.sliding_window_view(h, WINDOW)
+    low = rolled.min(axis=1)
+    chosen = np.zeros(n, dtype=bool)
+    for k in range(WINDOW):
+        chosen[k:n - WINDOW + 1 + k] |= rolled[:, k] == low
+    at = np.flatnonzero(chosen)
+    return at, h[at]
+
+
+def windows(text: bytes, least: int = LEAST_BYTES, near: np.ndarray | None = None) -> list[tuple[int, int, int, int]]:
+    """(start, end, lines, end without the last newline) of the shortest runs of
+    at least ``WINDOW`` lines and ``least`` bytes, from each line and up to each
+    line; with ``near``, of those that hold one of these lines."""
+    start, stop = _lines(text)
     n, found, j = len(start), set(), 0
     for i in range(n):
         j = max(j, i + WINDOW - 1)
@@ -92,17 +124,45 @@ def windows(text: bytes, least: int = LEAST_BYTES) -> list[tuple[int, int, int,
         if i < 0:
             break
         found.add((i, j))
+    if near is not None:
+        upto = np.zeros(n + 1, dtype=np.int64)
+        upto[np.asarray(near, dtype=np.int64) + 1] = 1
+        upto = np.cumsum(upto).tolist()
+        found = {(i, j) for i, j in found if upto[j + 1] > upto[i]}
     return [(start[i], start[j + 1] if j + 1 < n else len(text), j - i + 1, stop[j]) for i, j in sorted(found)]
 
 
-def _hashed_windows(text: bytes, least: int):
-    """As ``_hashed``, for all windows."""
-    for s, e, n, stop in windows(text, least):
+def _hashed_windows(text: bytes, least: int, repeated: np.ndarray):
+    """As ``_hashed``, for the windows around boundaries that the filter ``repeated`` lets through."""
+    at, h = boundaries(text, least)
+    if at.size:
+        at = at[in_filter(repeated, h)]
+    if not at.size:
+        return
+    for s, e, n, stop in windows(text, least, at):
         body = text[s:stop]
         d = xxhash.xxh3_128_digest(body)
         yield s, e, n, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), body
 
 
+def _filter_of(df: DataFrame, col: str) -> np.ndarray:
+    """Filter of a column's values: 16 bits for each, 1 MB at least and 16 MB at
+    most.  Beyond 8 million values it lets more through; exact joins follow."""
+    return bounded_filter(df, col, 1 << min(27, max(23, (16 * df.count() - 1).bit_length())))
+
+
+def _repeated_boundaries(rows: DataFrame, least: int) -> DataFrame:
+    """Column h: hashes of boundaries that occur more than once in the corpus."""
+    def scan(batches):
+        for b in batches:
+            found = [boundaries(t.as_py(), least)[1] for t in b.column(0)]
+            h, times = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(times.astype(np.int64))], ["h", "times"])
+
+    times = rows.select("text").mapInArrow(scan, "h long, times long").groupBy("h").agg(F.sum("times").alias("times"))
+    return save(times.where("times > 1").select("h"), "lines-boundaries")
+
+
 _CHUNK = "array<struct<s:int,e:int,n:int,c1:long,c2:long>>"
 
 
@@ -118,14 +178,19 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text are one document and keep the same chunks.  An empty table gives an
     empty result.
     """
-    hashed = _hashed_windows if runs else _hashed
     rows = docs.select(F.col(id_col).alias("id"), *row_key(id_col, text_col), utf8(text_col).alias("text"))
     chunk = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("n", pa.int32()), ("c1", pa.int64()), ("c2", pa.int64())]))
+    spark = docs.sparkSession
+    edges = spark.sparkContext.broadcast(_filter_of(_repeated_boundaries(rows, least), "h")) if runs else None
+
+    def hashed(text):
+        return _hashed_windows(text, least, edges.value) if runs else _hashed(text, least)
+
     id_sql = rows.schema["id"].dataType.simpleString()
 
     def scan(batches):
         for b in batches:
-            found = [[dict(zip(("s", "e", "n", "c1", "c2"), c)) for c in hashed(t.as_py(), least)] for t in b.column(3)]
+            found = [[dict(zip(("s", "e", "n", "c1", "c2"), c)) for c in hashed(t.as_py())] for t in b.column(3)]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(found, chunk)], ["id", "k1", "k2", "chunks"])
 
     scanned = save(rows.mapInArrow(scan, f"id {id_sql}, k1 long, k2 long, chunks {_CHUNK}").where(F.size("chunks") > 0), "lines-scan")
@@ -135,13 +200,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     .where("times > 1").select("c1", "c2", "first"), "lines-repeated")
 
     # the bytes of chunks whose hash repeats
-    bitmap = docs.sparkSession.sparkContext.broadcast(bounded_filter(repeated, "c1"))
+    bitmap = spark.sparkContext.broadcast(_filter_of(repeated, "c1"))
 
     def cut(batches):
         for b in batches:
             cols: list[list] = [[] for _ in range(7)]
             for k1, k2, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                got = list(hashed(t.as_py(), least))
+                got = list(hashed(t.as_py()))
                 if got:
                     may = in_filter(bitmap.value, np.array([g[3] for g in got], dtype=np.int64).view(np.uint64))
                     for (s, e, n, c1, c2, body), ok in zip(got, may.tolist()):

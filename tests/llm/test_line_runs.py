@@ -1,6 +1,9 @@
 import random
+from collections import defaultdict
 
-from roadcast.llm.line_chunks import digests, line_dedup, windows
+import numpy as np
+
+from roadcast.llm.line_chunks import boundaries, digests, line_dedup, windows
 from roadcast.llm.queries import QUERIES
 
 from .helpers import SF, docs, odd_rows, table
@@ -29,6 +32,32 @@ def brute(rows, least=32):
     return out
 
 
+def brute_long(rows, least=32):
+    """As ``brute`` for long texts: runs grow by a line as long as they repeat."""
+    texts = sorted(rows)
+    ls = [lines_of(t) for _, t in texts]
+    gone = [[False] * len(x) for x in ls]
+    runs, n = [(d, a) for d, x in enumerate(ls) for a in range(len(x))], 2
+    while runs:
+        at = defaultdict(list)
+        for d, a in runs:
+            if a + n <= len(ls[d]):
+                at[b"\n".join(ls[d][a:a + n]), n].append((d, a))
+        runs = []
+        for (body, _), places in at.items():
+            if len(places) > 1:
+                runs += places
+                if len(body) >= least:
+                    for d, a in sorted(places)[1:]:
+                        gone[d][a:a + n] = [True] * n
+        n += 1
+    out = []
+    for (i, t), x, g in zip(texts, ls, gone):
+        parts = [line + (b"" if k == len(x) - 1 and not (t or "").endswith("\n") else b"\n") for k, line in enumerate(x) if not g[k]]
+        out.append((i, b"".join(parts).decode(), sum(g)))
+    return out
+
+
 def run(df):
     return sorted((r["doc_id"], r["text"], r["n_removed"]) for r in line_dedup(df, runs=True).collect())
 
@@ -76,3 +105,38 @@ def test_windows_and_odd_rows(spark):
     d = docs(spark, [(r[0], r[1]) for r in odd_rows()])
     assert digests(line_dedup(d, runs=True)).count() == len(odd_rows())
     assert line_dedup(docs(spark, []), runs=True).count() == 0
+
+
+def test_every_run_holds_a_boundary_of_its_own():
+    rng = random.Random(4)
+    pool = ["", "", "a", "short", "a line of some length, no. 1", "a line of some length, no. 2", "x" * 50]
+    for _ in range(200):
+        ls = [rng.choice(pool).encode() for _ in range(rng.randrange(2, 30))]
+        at, h = boundaries(b"\n".join(ls))
+        n = len(lines_of(b"\n".join(ls).decode()))
+        assert all({k, k + 1} & set(at.tolist()) for k in range(n - 1))
+        for k in range(n - 1):                     # the run alone chooses a boundary that the text has too
+            own = set(boundaries(ls[k] + b"\n" + ls[k + 1] + b"\n")[1].tolist())
+            assert own & set(h[(at == k) | (at == k + 1)].tolist())
+    assert boundaries(b"")[0].size == boundaries(b"one line\n")[0].size == 0
+
+
+def test_windows_only_around_boundaries():
+    text = b"\n".join(b"line number %d of the text" % k for k in range(40))
+    assert windows(text, near=np.array([], dtype=np.int64)) == []
+    some = windows(text, near=np.array([20]))
+    assert some and set(some) < set(windows(text))
+    assert all(s <= text.index(b"line number 20 ") < e for s, e, _, _ in some)
+
+
+def test_driver_table_equals_all_runs(spark):
+    t = table(spark)
+    rows = [(r[0], r[1]) for r in t.select("doc_id", "text").collect()]
+    assert run(t) == brute_long(rows)
+
+
+def test_both_brute_forces_agree():
+    rng = random.Random(12)
+    pool = ["", "", "a", "}", "short line", "a line that alone has more than thirty-two bytes"]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(0, 14)))) for i in range(120)]
+    assert brute_long(rows) == brute(rows)
