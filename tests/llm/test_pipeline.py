@@ -9,7 +9,7 @@ import corpus_pipeline as cp
 from roadcast.llm.language import fit
 
 from .helpers import DOCS, WORD, docs, odd_rows, table
-from .test_line_chunks import brute as brute_lines
+from .test_line_runs import brute_long as brute_lines
 from .test_minhash import brute as brute_near
 from .test_mixing import brute_targets
 
@@ -51,7 +51,7 @@ def test_lines(stages):
     before, after = stages["line_dedup"]
     rows = texts(before)
     same = dict(rows)
-    want = sorted((i, t) for i, t in brute_lines(rows) if t == same[i] or WORD.search(t))
+    want = sorted((i, t) for i, t, _ in brute_lines(rows) if t == same[i] or WORD.search(t))
     assert sorted(texts(after)) == want
     assert all(r["n_chars"] == len(r["text"]) for r in after.collect())
 
