@@ -90,46 +90,67 @@ def for_scenario(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- W1
-def forward_fill(df: DataFrame, cols: Sequence[str] | Mapping[str, str], partition: Sequence[str],
-                 order: Sequence[str | Column], bucket: Column | None = None) -> DataFrame:
-    """Replace nulls by the last non-null value earlier in the series.
+FILL_PIECES = 64
+
+
+def _pieces(df: DataFrame, at: Column, pieces: int) -> Column | None:
+    """Number of the quantile range that ``at`` lies in, or None where its type
+    has no quantiles.  One pass; ``pieces - 1`` values come to the driver."""
+    kind = df.select(at).schema[0].dataType
+    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return None
+    cuts = df.agg(F.percentile_approx(at, [i / pieces for i in range(1, pieces)], 100 * pieces)).first()[0]
+    out = F.lit(0)
+    for c in sorted(set(cuts or [])):
+        out = out + F.when(at > F.lit(c).cast(kind), 1).otherwise(0)
+    return out
 
-    ``cols``: list (fill in place) or {source: new column}.  ``order`` must be
-    a unique order inside a partition (add a tie-break column).
 
-    ``bucket`` -- an expression monotone in ``order`` (e.g. the day of the
-    timestamp) -- splits every series into pieces: the fill runs per
-    (series, bucket) and the value carried into each piece is taken from a
-    per-(series, bucket) summary, so one very long series does not become
-    one task.  Without it the window is partitioned by the series only.
+def forward_fill(df: DataFrame, cols: Sequence[str] | Mapping[str, str], partition: Sequence[str],
+                 order: Sequence[str | Column], bucket: Column | None = None,
+                 pieces: int = FILL_PIECES) -> DataFrame:
+    """Replace nulls by the last non-null value so far in the series.
+
+    ``cols``: list (fill in place) or {source: new column}.  Rows of equal
+    ``order`` see each other: a null takes the greatest of the values that
+    stand at the latest place up to its own; a value stays as it is.  Null
+    places come first.
+
+    Every series is split along ``order``; the fill runs per (series, piece)
+    and the value carried into each piece is taken from a per-(series, piece)
+    summary, so one very long series does not become one task.  ``bucket`` is
+    an expression monotone in ``order`` that gives the pieces (e.g. the day of
+    the timestamp).  Without it they are ``pieces`` quantile ranges of the
+    first order column, found by an extra pass; an order that has no quantiles
+    (text) leaves each series whole.
     """
     mapping = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     part = list(partition)
     if bucket is None:
-        w = (Window.partitionBy(*part).orderBy(*order_cols)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return df.withColumns({new: F.last(src, ignorenulls=True).over(w)
-                               for src, new in mapping.items()})
+        bucket = _pieces(df, order_cols[0], pieces)
+    if bucket is None:
+        bucket = F.lit(0)
 
-    # phase 1: fill inside each (series, bucket)
+    # a value with its place; the greatest one so far is the last one
+    place = [o.alias(f"o{i}") for i, o in enumerate(order_cols)]
+    seen = {i: F.when(F.col(src).isNotNull(), F.struct(*place, F.col(src).alias("v"))) for i, src in enumerate(mapping)}
+    # phase 1: fill inside each (series, piece)
     b = df.withColumn("_ff_bucket", bucket)
     w_in = (Window.partitionBy(*part, "_ff_bucket").orderBy(*order_cols)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    filled = b.withColumns({f"_ff_in_{i}": F.last(src, ignorenulls=True).over(w_in)
+            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    filled = b.withColumns({f"_ff_in_{i}": F.coalesce(F.col(src), F.max(seen[i]).over(w_in)["v"])
                             for i, src in enumerate(mapping)})
-    # phase 2: last non-null value of each (series, bucket) -- partial aggregate
-    order_struct = F.struct(*order_cols)
-    summary = b.groupBy(*part, "_ff_bucket").agg(*[
-        F.max_by(F.col(src), F.when(F.col(src).isNotNull(), order_struct)).alias(f"_ff_last_{i}")
-        for i, src in enumerate(mapping)])
-    # carry-in: last non-null over earlier buckets (one row per bucket, small)
+    # phase 2: last non-null value of each (series, piece) -- partial aggregate
+    summary = b.groupBy(*part, "_ff_bucket").agg(*[F.max(c)["v"].alias(f"_ff_last_{i}") for i, c in seen.items()])
+    # carry-in: last non-null over earlier pieces (one row per piece, small)
     w_prev = (Window.partitionBy(*part).orderBy("_ff_bucket")
               .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summary.select(*part, "_ff_bucket", *[
+    carry = summary.select(*[F.col(c).alias(f"_ff_key_{i}") for i, c in enumerate([*part, "_ff_bucket"])], *[
         F.last(f"_ff_last_{i}", ignorenulls=True).over(w_prev).alias(f"_ff_carry_{i}")
         for i in range(len(mapping))])
-    joined = filled.join(carry, [*part, "_ff_bucket"], "left")
+    same = [F.col(c).eqNullSafe(F.col(f"_ff_key_{i}")) for i, c in enumerate([*part, "_ff_bucket"])]
+    joined = filled.join(carry, same, "left")
     out = joined.withColumns({new: F.coalesce(F.col(f"_ff_in_{i}"), F.col(f"_ff_carry_{i}"))
                               for i, new in enumerate(mapping.values())})
     helper = [c for c in out.columns if c.startswith("_ff_")]

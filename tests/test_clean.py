@@ -1,6 +1,7 @@
 """Hand-worked cases for expressions, cleaning, forward fill, union (FIXTURES D1, D5-D8)."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +46,26 @@ def test_d5_forward_fill(spark, bucketed):
     assert [got[(2, i)] for i in range(3)] == [None, 5.0, 5.0]
 
 
+@pytest.mark.parametrize("pieces", [2, 7, 64])
+def test_forward_fill_of_one_series_with_ties_and_null_keys(spark, pieces):
+    rng = random.Random(pieces)
+    rows = [(rng.choice([None, "s"]), rng.choice([None, *range(30)]), rng.choice([None, None, 1.0, 2.0, 3.0])) for _ in range(300)]
+    got = C.forward_fill(spark.createDataFrame(rows, "s string, t int, v double"), {"v": "f"}, ["s"], ["t"], pieces=pieces)
+
+    def want(s, t, v):
+        place = lambda x: -1 if x is None else x
+        known = [(place(t2), v2) for s2, t2, v2 in rows if s2 == s and v2 is not None and place(t2) <= place(t)]
+        return v if v is not None else max(known)[1] if known else None
+
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(str((*r, want(*r))) for r in rows)
+
+
+def test_forward_fill_orders_without_quantiles_and_empty_tables(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", None), ("c", 2.0), ("d", None)], "t string, v double")
+    assert sorted((r.t, r.v) for r in C.forward_fill(df, ["v"], [], ["t"]).collect()) == [("a", 1.0), ("b", 1.0), ("c", 2.0), ("d", 2.0)]
+    assert C.forward_fill(spark.createDataFrame([], "t timestamp, v double"), ["v"], [], ["t"]).count() == 0
+
+
 def test_hours_to_long_from_names(spark):
     df = spark.createDataFrame([(1, 10.0, None)], "id int, `10시` double, `~15시` double")
     out = C.hours_to_long(df, ["id"], ["10시", "~15시"]).collect()
