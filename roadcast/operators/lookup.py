@@ -79,24 +79,15 @@ def conform_to_latest(df: DataFrame, key: str | Sequence[str], attrs: Sequence[s
     (the latest by ``order``), giving ``attrs``.  Facts of keys absent from the
     newest period are dropped; ``attrs`` of the remaining facts are replaced.
 
-    The facts are read twice: once for a partial ``max(struct(period, order,
-    attrs))`` per key -- the key's newest period comes first in the struct, so
-    the winner is its latest row of its newest period -- written as a small
-    one-row-per-key table, and once for the join.  Only keys whose newest
-    period is the overall newest survive.  (Runs one job when called.)
+    The facts are read for the newest period (one column), for its rows, which
+    alone are shuffled to find the latest row per key, and for the join; a frame
+    that is costly to evaluate is best written before.
     """
     k = _keys(key)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    packed = F.struct(F.col(period).alias("p"), F.struct(*order_cols).alias("o"),
-                      F.struct(*[F.col(a) for a in attrs]).alias("a"))
-    # one row per key, written once: the facts are not evaluated a third time
-    # for the overall newest period (Spark does not reuse the aggregate
-    # across the two consumers)
-    per_key = _one_row_per_key(df.groupBy(*k).agg(F.max(packed).alias("_m")), "conform-keys")
-    newest = per_key.agg(F.max("_m.p").alias("_newest"))
-    dim = (per_key.join(newest, F.col("_m.p") == F.col("_newest"))
-           .select(*k, *[F.col(f"_m.a.{a}").alias(a) for a in attrs]))
-    return df.drop(*attrs).join(dim, k)
+    packed = F.struct(F.struct(*order_cols).alias("o"), F.struct(*[F.col(a) for a in attrs]).alias("a"))
+    dim = newest_rows(df, period).groupBy(*k).agg(F.max(packed).alias("_m"))
+    return df.drop(*attrs).join(dim.select(*k, *[F.col(f"_m.a.{a}").alias(a) for a in attrs]), k)
 
 
 def lookup_default(df: DataFrame, dim: DataFrame, on: str | Sequence[str], value: str,

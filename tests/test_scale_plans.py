@@ -112,3 +112,87 @@ def test_library_pulls_only_one_row_summaries():
             if ".first()" in line and ".agg(" not in line:
                 offenders.append(f"{path.name}:{no}: {line.strip()}")
     assert offenders == []
+
+
+def test_rounds_do_not_move_the_log_or_the_targets(spark, monkeypatch):
+    plans = []
+    orig = G.relax
+
+    def spy(*a, **k):
+        out = orig(*a, **k)
+        plans.append(plan_of(out))
+        return out
+
+    monkeypatch.setattr(G, "relax", spy)
+    rows = [(i, j, 1 + (7 * i + j) % 5) for i in range(12) for j in range(12) if (i + j) % 3 or j == i + 1]
+    e = spark.createDataFrame(rows, "src long, dst long, cost long")
+    asked = spark.createDataFrame([(0, j) for j in range(12)], "src long, dst long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")        # as with a log too large to broadcast
+    try:
+        got = {r.dst: r.total for r in G.route(e, asked).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    best = {0: 0}
+    for _ in range(12):
+        for u, v, c in rows:
+            if u in best:
+                best[v] = min(best.get(v, 1 << 30), best[u] + c)
+    assert got == best and len(plans) > 1
+    for plan in plans:
+        lines = plan.split("== Initial Plan ==")[0].splitlines()
+        logs = [i for i, x in enumerate(lines) if "route_log" in x and "Bucketed: true" in x]
+        assert logs, plan
+        for i in logs:
+            depth, above = len(lines[i]), []
+            for j in range(i, -1, -1):
+                d = len(lines[j]) - len(lines[j].lstrip(" :+-"))
+                if d < depth:
+                    depth = d
+                    above.append(lines[j])
+                    if "Join" in lines[j]:
+                        break
+            assert not any("Exchange" in x for x in above), plan
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("roadcast_route")]
+
+
+def test_shuffle_files_are_dropped_during_a_search_only(spark):
+    before = spark.conf.get(G.CLEANUP, None)
+    e = spark.createDataFrame([(0, 1, 1), (1, 2, -1)], "src long, dst long, cost long")
+    seen = []
+    with G._drops_shuffles(spark):
+        seen.append(spark.conf.get(G.CLEANUP))
+    try:
+        G.shortest_paths(e, spark.createDataFrame([(0,)], "source long"))
+    except ValueError:
+        seen.append("refused")
+    assert seen == ["true", "refused"] and spark.conf.get(G.CLEANUP, None) == before
+
+
+def test_conform_shuffles_newest_rows_only(spark):
+    rows = [(k, p, p * 10 + k, f"a{p}{k}") for k in range(40) for p in range(6) if k % 8 == 0 or p < 5]
+    df = spark.createDataFrame(rows + [(None, 5, 1, "x"), (3, None, 9, "y")], "k int, p int, o int, a string")
+    out = L.conform_to_latest(df, "k", ["a"], "p", ["o"])
+    assert {(r.k, r.a) for r in out.collect()} == {(k, f"a5{k}") for k in range(0, 40, 8)}
+    assert out.count() == 30
+    plan = plan_of(out).split("== Initial Plan ==")[0]
+    assert "partial_max" in plan and "conform-keys" not in plan
+    # the per-key aggregate lies over the join with the newest period, not over all rows
+    under = plan[plan.index("partial_max(struct(o"):]
+    assert "Join" in under.splitlines()[1] + under.splitlines()[2] + under.splitlines()[3], plan
+
+
+def test_requests_and_landmarks_are_evaluated_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    e = spark.createDataFrame([(i, i + 1, 1) for i in range(6)], "src long, dst long, cost long")
+    asked = spark.createDataFrame([(0, 3), (1, 5)], "src long, dst long").mapInArrow(count, "src long, dst long")
+    out = G.route(e, asked).collect()
+    assert sorted((r.src, r.dst, r.total) for r in out) == [(0, 3, 3), (1, 5, 4)] and seen.value == 2
+    plan = G.landmark_table(e, n=2)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "FileScan parquet" in plan
