@@ -18,11 +18,9 @@ the next one's documents.  All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 import functools
-import re
 
 import public_tokenizers
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadcast.llm.bpe import tokenize
@@ -70,16 +68,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             .withColumn("copy", F.row_number().over(one)).where("copy = 1").select(*docs.columns))
 
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
-
-def _first_words(text: str, n: int) -> str:
-    end = 0
-    for k, m in enumerate(_WORD.finditer(text), 1):
-        end = m.end()
-        if k == n:
-            break
-    return text[:end]
+def _first_words(text: str, n: str) -> Column:
+    """The text up to the end of its n-th word, by Spark's own functions: no text
+    goes through a Python worker.  White space stays as it is: it is only looked
+    at in a copy of equal length with spaces alone."""
+    parts = F.split(F.translate(text, "\t\n\x0b\x0c\r", " " * 5), " ", -1)
+    words = F.filter(F.transform(parts, lambda p, i: F.when(p != "", i)), lambda i: i.isNotNull())
+    last = F.get(words, F.least(F.col(n), F.size(words)) - 1)
+    return F.substring(F.col(text), F.lit(1), F.length(F.array_join(F.slice(parts, F.lit(1), last.cast("int") + 1), " ")))
 
 
 @_stage
@@ -92,19 +88,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                                 for w, p in (("first", early), ("second", late))]), lambda p: p["words"] > 0)
     taken = taken.select("k1", "k2", "size", passes.alias("passes"))
     rows = keyed.join(taken, ["k1", "k2"]).withColumn("mix", F.explode("passes"))
-    rows = rows.select(*docs.columns, F.when(F.col("mix.words") < F.col("size"), F.col("mix.words")).alias("mix_words"), "mix")
+    cut = F.when(F.col("mix.words") < F.col("size"), _first_words("text", "mix.words")).otherwise(F.col("text"))
+    rows = rows.select(*[cut.alias(c) if c == "text" else F.col(c) for c in docs.columns], "mix")     # cut before rows move
     order = ("mix.at", "mix.from", "source")       # late slots of several sources share a place
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("mix")
-    at = docs.columns.index("text")
-
-    def cut(batches):
-        for b in batches:
-            words = b.column(len(docs_columns)).to_pylist()
-            text = [t.as_py() if n is None else _first_words(t.as_py(), n) for t, n in zip(b.column(at), words)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(text, pa.string()), *b.columns[at + 1:-1]], docs_columns)
-
-    docs_columns = list(docs.columns)
-    return rows.mapInArrow(cut, docs.schema).withColumn("n_chars", F.length("text").cast("long")).select(*docs_columns)
+    return rows.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

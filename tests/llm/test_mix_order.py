@@ -66,3 +66,15 @@ def test_pipeline_stage_is_written_in_the_order_of_the_mix(spark, tmp_path):
         total[s] += n
     longest = max(n for _, n in order)
     spread(order, total, sum(total.values()) // 4, max(3 * longest, sum(total.values()) // 25))
+
+
+def test_texts_are_cut_without_python_workers(spark):
+    texts = ["a b c", " \t\na\x0b\x0cb\r\rc d ", " x y z w", "\U0001f600 \U0001f601\n\n\U0001f602", "a\x1fb c  "]
+    rows = [(t, n) for t in texts for n in range(1, len(WORD.findall(t)) + 1)]
+    got = spark.createDataFrame(rows, "text string, n long").withColumn("cut", cp._first_words("text", "n")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["cut"] == r["text"][:[m.end() for m in WORD.finditer(r["text"])][r["n"] - 1]], r
+    core = table(spark).select(*cp.CORE)
+    plan = cp.mixture(spark, core, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "Python" not in plan
