@@ -1,6 +1,7 @@
 r"""Operator 3: BPE encoding and decoding as streaming transducers.
 
-Encoding.  A text goes through the normaliser, the word splitter and the merge
+Encoding.  Texts that fit a chunk are final as a whole: ``Pieces`` encodes many of
+them at once, each piece between spaces a single time.  A longer text goes through the normaliser, the word splitter and the merge
 list in chunks.  Tokens are emitted as soon as nothing that may follow can
 change them:
 
@@ -33,19 +34,24 @@ import hashlib
 import json
 import re
 import unicodedata
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 1 << 16
 _NONE, _SLOTS, _SPREAD = 1 << 30, (1 << 20) - 1, 0x9E3779B97F4A7C15 >> 24
-CACHE_WORDS = 500_000
-WARM_CHARS = 1 << 21
+CACHE_WORDS = 100_000
+CACHE_BYTES, ENTRY_BYTES = 1 << 26, 120
+MERGE_WORDS = 8192
+GROUP_CHARS = 1 << 21
 #: White space, as the splitter sees it.
 _SPACE = " \t\n\v\f\r\x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
@@ -168,46 +174,45 @@ class Vocabulary:
             at[open_] = (at[open_] + 1) & _SLOTS
         return flat.reshape(left.shape)
 
-    def merge_many(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Ids of many short ended words at once; row by row the same rule as ``merge``."""
+    def merge_many(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many short ended words at once, and how many each has; row by row
+        the same rule as ``merge``.
+
+        A merged pair leaves its right cell empty; ``after`` and ``before`` name the
+        cells in use next to each, so a step touches no more than the pair's neighbours.
+        """
         raw = [w.encode("utf-8") for w in words]
-        size = np.array([len(r) for r in raw])
-        wide = int(size.max())
-        sym = np.full((len(raw), wide), -1, dtype=np.int64)
-        here = np.arange(wide) < size[:, None]
+        size = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        n, wide = len(raw), int(size.max()) + 2               # an empty cell at either end
+        sym = np.full((n, wide), -1, dtype=np.int64)
+        here = np.arange(1, wide + 1) <= size[:, None]
         data = np.frombuffer(b"".join(raw), dtype=np.uint8)
-        sym[here] = self.first[data]
-        sym[np.arange(len(raw)), size - 1] = self.last[data[np.cumsum(size) - 1]]
-        out: list = [None] * len(raw)
-        row = np.arange(len(raw))
-        rank = self.ranks(sym[:, :-1], sym[:, 1:])
-        while row.size:
-            if rank.shape[1]:
-                at = rank.argmin(axis=1)
-                each = np.arange(row.size)
-                best = rank[each, at]
-                done = best == _NONE
-            else:
-                done = np.ones(row.size, dtype=bool)
-            if done.any():
-                for r, ids in zip(row[done].tolist(), sym[done].tolist()):
-                    out[r] = tuple(i for i in ids if i >= 0)
-                row, sym, rank = row[~done], sym[~done], rank[~done]
-                if not row.size:
+        sym[:, 1:][here[:, :-1]] = self.first[data]
+        sym[np.arange(n), size] = self.last[data[np.cumsum(size) - 1]]
+        rank = np.full((n, wide), _NONE, dtype=np.int32)
+        rank[:, :-1] = self.ranks(sym[:, :-1], sym[:, 1:])
+        flat, base = sym.ravel(), np.arange(n) * wide
+        after = np.arange(1, n * wide + 1)
+        before = after - 2
+        while base.size:
+            at = rank.argmin(axis=1)
+            best = rank[np.arange(base.size), at]
+            if best.max() == _NONE:
+                go = np.flatnonzero(best != _NONE)
+                base, rank, at, best = base[go], rank[go], at[go], best[go]
+                if not base.size:
                     break
-                at, best = at[~done], best[~done]
-                each = np.arange(row.size)
-            sym[each, at] = self.made[best]
-            cols = np.arange(sym.shape[1] - 1)
-            sym = np.take_along_axis(sym, cols + (cols > at[:, None]), axis=1)
-            cols = cols[:-1]
-            rank = np.take_along_axis(rank, cols + (cols >= at[:, None]), axis=1)
-            if cols.size:
-                nxt = np.minimum(at, cols.size - 1)
-                rank[each, nxt] = self.ranks(sym[each, nxt], sym[each, nxt + 1])
-                before = np.maximum(at - 1, 0)
-                rank[each, before] = self.ranks(sym[each, before], sym[each, before + 1])
-        return out
+            each = np.arange(base.size)
+            left = base + at
+            right = after[left]
+            beyond, prior = after[right], before[left]
+            flat[left], flat[right] = self.made[best], -1
+            after[left], before[beyond] = beyond, left
+            rank[each, right - base] = _NONE
+            new = self.ranks(flat[np.concatenate([prior, left])], flat[np.concatenate([left, beyond])])
+            rank[each, prior - base], rank[each, at] = new[:base.size], new[base.size:]
+        used = sym >= 0
+        return sym[used], used.sum(axis=1)
 
     def symbols(self, word: str, ended: bool = True) -> list[str]:
         letters = self.letters
@@ -251,7 +256,9 @@ _LETTERS = regex.compile(r"\p{L}+")
 _SIGNS = regex.compile(r"[^" + _SPACE + r"\p{L}\p{N}]+")
 _ANY_SPACE = regex.compile("[" + _SPACE + "]")
 _SPACES = regex.compile("[" + _SPACE + "]+")
-_OTHER_SPACE = re.compile("[\x1c-\x1f]")        # spaces to str.split only
+_WIDE_SPACE = [c for c in _SPACE if not c.isascii()]
+_OTHER_SPACE = "\x1c\x1d\x1e\x1f"                 # spaces to str.split only
+_PLAIN = re.compile("([a-zß-öø-ɏ]+)([.,;:!?]*)").fullmatch      # a word and its signs, all that most pieces are
 
 
 def normalise(text: str) -> str:
@@ -306,7 +313,7 @@ class Encoder:
 
     def _whole(self, text: str, out: list[int]) -> None:
         """Encode a text that ends with a word's end."""
-        pieces = text.split() if _OTHER_SPACE.search(text) is None else _SPACES.split(text)
+        pieces = _SPACES.split(text) if any(c in text for c in _OTHER_SPACE) else text.split()
         found = list(map(self.cache.get, pieces))
         if None in found:
             found = [self._between_spaces(p) if f is None else f for p, f in zip(pieces, found)]
@@ -419,22 +426,88 @@ class Encoder:
         return out
 
 
-def warm(vocab: Vocabulary, texts: list[str], cache: dict[str, tuple[int, ...]],
-         cache_words: int = CACHE_WORDS) -> None:
-    """Put the words of some short texts into the cache, new ones merged together."""
-    pieces = set()
-    for t in texts:
-        pieces.update(normalise(t).split())
-    pieces = [p for p in pieces if p not in cache and len(p) <= 64]
-    if len(cache) + 2 * len(pieces) > cache_words:
-        cache.clear()
-    parts = [_WORD.findall(p) for p in pieces]
-    fresh = sorted({w for ws in parts for w in ws if w not in cache}, key=len)
-    for at in range(0, len(fresh), 4096):
-        some = fresh[at:at + 4096]
-        cache.update(zip(some, vocab.merge_many(some)))
-    for p, ws in zip(pieces, parts):
-        cache[p] = cache[ws[0]] if len(ws) == 1 else tuple(chain.from_iterable([cache[w] for w in ws]))
+class Rows:
+    """Number lists of various lengths, one after the other."""
+
+    def __init__(self):
+        self.ends, self.values = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int32)
+
+    def add(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        self.values = np.concatenate([self.values, values.astype(np.int32)])
+
+    def get(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows' values, joined, and where each row ends in them."""
+        start, size = self.ends[rows], self.ends[rows + 1] - self.ends[rows]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if ends.size else 0
+        return self.values[np.repeat(start - ends + size, size) + np.arange(total)], ends
+
+
+class Pieces:
+    """Ids of whole short texts, many at once: each piece between spaces is encoded
+    when it is first met and looked up from then on.
+
+    A text of less than a chunk without special strings is what ``Encoder`` encodes
+    in one step, so its ids are those of its pieces.  New words of many texts are
+    merged together.  Everything learned goes when it exceeds ``CACHE_BYTES``.
+    """
+
+    def __init__(self, vocab: Vocabulary):
+        self.v = vocab
+        self.numbers, self.names = pa.array(vocab.numbers), pa.array(vocab.names)
+        self.texts = pa.array(vocab.texts, pa.binary())
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.pieces, self.size = {}, {"": 0}, 0
+        self.word_ids, self.piece_ids = Rows(), Rows()
+        self.piece_ids.add(np.zeros(0), np.zeros(1, dtype=np.int64))
+
+    def fits(self, text: str) -> bool:
+        return len(text) < CHUNK and not any(s in text for s in self.v.special)
+
+    def _learn(self, new: list[str]) -> None:
+        parts = [((m[1], m[2]) if m[2] else (m[1],)) if (m := _PLAIN(p)) else _WORD.findall(p) for p in new]
+        fresh = sorted({w for ws in parts for w in ws if w not in self.words}, key=len)
+        short = bisect_right(fresh, 64, key=len)
+        for at in range(0, short, MERGE_WORDS):
+            self.word_ids.add(*self.v.merge_many(fresh[at:min(short, at + MERGE_WORDS)]))
+        alone = Encoder(self.v)
+        for w in fresh[short:]:
+            ids = np.array(alone._word(w))
+            self.word_ids.add(ids, np.array([ids.size]))
+        self.words.update(zip(fresh, range(len(self.words), len(self.words) + len(fresh))))
+        rows = np.fromiter(map(self.words.__getitem__, chain.from_iterable(parts)), dtype=np.int64)
+        ids, ends = self.word_ids.get(rows)
+        last = np.cumsum(np.fromiter(map(len, parts), dtype=np.int64))
+        self.piece_ids.add(ids, np.diff(ends[last - 1], prepend=0))
+        self.pieces.update(zip(new, range(len(self.pieces), len(self.pieces) + len(new))))
+        self.size += sum(map(len, new)) + sum(map(len, fresh)) + ENTRY_BYTES * (len(new) + len(fresh))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, joined, and where each text's begin (and the last one's end)."""
+        if self.size > CACHE_BYTES:
+            self._forget()
+        split = pc.ascii_split_whitespace(pa.array(map(_plain_spaces, map(normalise, texts)), pa.large_string()))
+        found = split.values.dictionary_encode()
+        each = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [p for p in each if p not in self.pieces]
+        if new:
+            self._learn(new)
+        rows = np.fromiter(map(self.pieces.__getitem__, each), dtype=np.int64, count=len(each))
+        ids, ends = self.piece_ids.get(rows[found.indices.to_numpy()])
+        return ids, np.concatenate([[0], ends])[split.offsets.to_numpy()]
+
+    def joined(self, table: pa.Array, ids: np.ndarray, at: np.ndarray, by: str) -> list[pa.Buffer]:
+        """Per text what its ids stand for in ``table``, joined."""
+        lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), table.take(pa.array(ids)))
+        return [x.as_buffer() for x in pc.binary_join(lists, by if pa.types.is_string(table.type) else by.encode())]
+
+
+def _plain_spaces(text: str) -> str:
+    """White space beyond ASCII as plain spaces."""
+    return text if text.isascii() or not any(c in text for c in _WIDE_SPACE) else _SPACES.sub(" ", text)
 
 
 def encode(vocab: Vocabulary, text: str | None, cache=None, chunk: int = CHUNK) -> Iterator[list[int]]:
@@ -488,46 +561,65 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col), F.col(text_col).alias("text"))
     fields = rows.schema[id_col].dataType.simpleString()
 
+    def streamed(vocab, cache, text):
+        """n, digests of ids and text, packed ids, digest of the readable text, chunk by chunk."""
+        n, first, a, d, x, own = 0, True, hashlib.sha256(), hashlib.sha256(), hashlib.sha256(), array("i")
+        dec, plain = Decoder(vocab), TextDecoder(vocab)
+        for ids in encode(vocab, text, cache):
+            if ids:
+                s = " ".join(map(vocab.numbers.__getitem__, ids))
+                a.update((s if first else " " + s).encode())
+                d.update(dec.feed(ids).encode())
+                n, first = n + len(ids), False
+                if with_ids:
+                    own.extend(ids)
+                if readable:
+                    x.update(plain.feed(ids).encode())
+        x.update(plain.feed([], last=True).encode())
+        return n, a.hexdigest(), d.hexdigest(), own.tobytes(), x.hexdigest()
+
+    def at_once(pieces, texts):
+        """The same of each of some short texts."""
+        ids, at = pieces.encode(texts)
+        numbers, names = (pieces.joined(t, ids, at, " ") for t in (pieces.numbers, pieces.names))
+        plain = pieces.joined(pieces.texts, ids, at, "") if readable else [b""] * len(texts)
+        for k, (a, b, c) in enumerate(zip(numbers, names, plain)):
+            own = ids[at[k]:at[k + 1]].tobytes() if with_ids else b""
+            yield (int(at[k + 1] - at[k]), hashlib.sha256(a).hexdigest(), hashlib.sha256(b).hexdigest(), own,
+                   hashlib.sha256(str(c, "utf-8", "replace").encode()).hexdigest())
+
+    def groups(texts):
+        """Some rows at a time, by a bounded amount of text: first row, texts."""
+        at, some, size = 0, [], 0
+        for k in range(len(texts)):
+            some.append(texts[k].as_py() or "")
+            size += len(some[-1])
+            if size >= GROUP_CHARS:
+                yield at, some
+                at, some, size = k + 1, [], 0
+        if some:
+            yield at, some
+
     def run(batches):
-        vocab, cache = Vocabulary(path), {}
+        vocab = Vocabulary(path)
+        pieces, cache = Pieces(vocab), {}
         for b in batches:
-            count, ids_sha, text_sha, kept, read = [], [], [], [], []
-            texts, room = b.column(1), 0
-            for k in range(b.num_rows):
-                if k >= room:                  # the next texts' words, a bounded amount of text at a time
-                    some, size = [], 0
-                    while room < b.num_rows and size < WARM_CHARS:
-                        t, room = texts[room].as_py() or "", room + 1
-                        size += len(t)
-                        some.append(t[:CHUNK])
-                    warm(vocab, some, cache)
-                n, first, a, d, own = 0, True, hashlib.sha256(), hashlib.sha256(), []
-                dec, plain, x = Decoder(vocab), TextDecoder(vocab), hashlib.sha256()
-                for ids in encode(vocab, texts[k].as_py(), cache):
-                    if ids:
-                        s = " ".join(map(vocab.numbers.__getitem__, ids))
-                        a.update((s if first else " " + s).encode())
-                        d.update(dec.feed(ids).encode())
-                        n, first = n + len(ids), False
-                        if with_ids:
-                            own += ids
-                        if readable:
-                            x.update(plain.feed(ids).encode())
-                count.append(n)
-                ids_sha.append(a.hexdigest())
-                text_sha.append(d.hexdigest())
-                kept.append(own)
-                x.update(plain.feed([], last=True).encode())
-                read.append(x.hexdigest())
-            cols = [b.column(0), pa.array(count, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
-            names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                cols.append(pa.array(kept, pa.list_(pa.int32())))
-                names.append("ids")
-            if readable:
-                cols.append(pa.array(read, pa.string()))
-                names.append("readable_sha256")
-            yield pa.RecordBatch.from_arrays(cols, names)
+            for at, some in groups(b.column(1)):
+                short = list(map(pieces.fits, some))
+                found = at_once(pieces, [t for t, s in zip(some, short) if s])
+                count, ids_sha, text_sha, own, read = zip(*[
+                    next(found) if s else streamed(vocab, cache, t) for t, s in zip(some, short)])
+                cols = [b.column(0).slice(at, len(some)), pa.array(count, pa.int64()), pa.array(ids_sha, pa.string()),
+                        pa.array(text_sha, pa.string())]
+                names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
+                if with_ids:
+                    ends = pa.array(np.cumsum([0, *count]), pa.int32())
+                    cols.append(pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(own), dtype=np.int32))))
+                    names.append("ids")
+                if readable:
+                    cols.append(pa.array(read, pa.string()))
+                    names.append("readable_sha256")
+                yield pa.RecordBatch.from_arrays(cols, names)
 
     return rows.mapInArrow(run, f"`{id_col}` {fields}, {SCHEMA}" + (", ids array<int>" if with_ids else "")
                            + (", readable_sha256 string" if readable else ""))

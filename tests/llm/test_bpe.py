@@ -125,3 +125,37 @@ def test_readable_text_of_the_table(spark, lib, vocab):
 def test_other_tokenizer_files_are_refused():
     with pytest.raises(ValueError, match="not a lower-casing word BPE"):
         bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_texts_at_once_equal_the_library_and_merge_a_word_once(lib, vocab, monkeypatch):
+    r = random.Random(3)
+    parts = [*PARTS, "word", "word.", "x1-y2", " ", "z" * 70, "\x85", "ǅ", "İ"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(60))) for _ in range(300)]
+    pieces = bpe.Pieces(vocab)
+    texts = [t for t in texts if pieces.fits(t)] + ["", " ", "word", " word. word "]
+    met, plain = [], vocab.merge_many
+    monkeypatch.setattr(vocab, "merge_many", lambda words: met.extend(words) or plain(words))
+    for some in (texts[:150], texts[150:], texts):
+        ids, at = pieces.encode(some)
+        assert [ids[i:j].tolist() for i, j in zip(at, at[1:])] == \
+            [e.ids for e in lib.encode_batch(some, add_special_tokens=False)]
+    assert met and len(met) == len(set(met))
+    assert not pieces.fits("a <|endoftext|>") and not pieces.fits("a" * bpe.CHUNK)
+
+
+def test_pieces_are_forgotten_when_they_take_too_much(lib, vocab, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 2000)
+    pieces = bpe.Pieces(vocab)
+    for k in range(30):
+        texts = [f"wort{k} zahl{k}{c}, und mehr" for c in "abcde"]
+        ids, at = pieces.encode(texts)
+        assert [ids[i:j].tolist() for i, j in zip(at, at[1:])] == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+        assert len(pieces.pieces) < 60
+
+
+def test_short_and_cut_texts_in_one_batch(spark, lib):
+    """Ids of rows that are looked up and of rows that go through the stream stand in their rows."""
+    rows = [(k, t) for k, t in enumerate(["one two", "a<|endoftext|>b", None, "x" * 70_000, "", "two one.", "w " * 40_000, "日本 é"])]
+    got = {x["doc_id"]: (x["ids"], x["n_tokens"]) for x in bpe.tokenize(docs(spark, rows), PATH, with_ids=True).collect()}
+    want = {k: lib.encode(t or "", add_special_tokens=False).ids for k, t in rows}
+    assert got == {k: (ids, len(ids)) for k, ids in want.items()}
