@@ -49,9 +49,9 @@ from pyspark.sql import functions as F
 CHUNK = 1 << 16
 _NONE, _SLOTS, _SPREAD = 1 << 30, (1 << 20) - 1, 0x9E3779B97F4A7C15 >> 24
 CACHE_WORDS = 100_000
-CACHE_BYTES, ENTRY_BYTES = 1 << 26, 120
-MERGE_WORDS = 8192
-GROUP_CHARS = 1 << 21
+CACHE_BYTES, ENTRY_BYTES = 1 << 25, 200
+MERGE_WORDS = 4096
+GROUP_CHARS = 1 << 20
 #: White space, as the splitter sees it.
 _SPACE = " \t\n\v\f\r\x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 

@@ -14,6 +14,7 @@ it most, so a few mislabelled texts do not spread a language's n-grams.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,6 +32,7 @@ WORD_BITS = 62
 _NO_LETTER = re.compile(r"[\W\d_]+")
 _FACTORS = seeds(ORDER, 41) | np.uint64(1)
 _PIECE = 1 << 20
+COUNT_AT = 1 << 20
 
 
 def grams(text: str) -> np.ndarray:
@@ -121,14 +123,23 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
              .join(F.broadcast(sample), ["id", "lang"], "left_semi").select("lang", "text"))
 
     def count(batches):
+        def counted(lang, parts):
+            gram, n = np.unique(np.concatenate(parts), return_counts=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([lang] * gram.size), pa.array(gram.view(np.int64)), pa.array(n)], ["lang", "gram", "n"])
+
         for b in batches:
             by_lang: dict[str, list[np.ndarray]] = {}
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                by_lang.setdefault(lang, []).append(grams(text))
+            size: dict[str, int] = {}
+            for lang, text in zip(b.column(0), b.column(1)):
+                lang, found = lang.as_py(), grams(text.as_py())
+                by_lang.setdefault(lang, []).append(found)
+                size[lang] = size.get(lang, 0) + found.size
+                if size[lang] >= COUNT_AT:           # sums are added up later: no batch's n-grams are held at once
+                    yield counted(lang, by_lang.pop(lang))
+                    del size[lang]
             for lang, parts in by_lang.items():
-                gram, n = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * gram.size), pa.array(gram.view(np.int64)), pa.array(n)], ["lang", "gram", "n"])
+                yield counted(lang, parts)
 
     counted = texts.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counted = save(counted, "lang-grams")
@@ -167,19 +178,18 @@ def identify(docs: DataFrame, model: LanguageFilters, id_col: str = "doc_id", te
     are 'und' with score 0, as is everything when nothing was learned; equal
     scores go to the first language by code point.
     """
-    rows = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"),
-                       *[F.col(c).alias(f"keep_{c}") for c in keep])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
-        for b in batches:
-            found = [shared.value.predict(t.as_py()) for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([f[0] for f in found], pa.string()),
-                 pa.array([f[1] for f in found], pa.float64()), *b.columns[3:]],
-                [id_col, "held_out", "lang_pred", "score", *b.schema.names[3:]])
-
-    kinds = dict(rows.dtypes)
-    schema = f"`{id_col}` {kinds[id_col]}, held_out boolean, lang_pred string, score double" + "".join(
-        f", `keep_{c}` {kinds[f'keep_{c}']}" for c in keep)
-    return rows.mapInArrow(run, schema).withColumnsRenamed({f"keep_{c}": c for c in keep})
+    @F.arrow_udf("lang_pred string, score double")
+    def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for some in texts:
+            found = [shared.value.predict(t.as_py()) for t in some]
+            yield pa.StructArray.from_arrays(
+                [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                ["lang_pred", "score"])
+
+    # only the text goes to the Python worker and only the prediction comes back; the rows wait in the JVM
+    plain = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), predict(F.col(text_col)).alias("found"),
+                        *[F.col(c).alias(f"keep_{c}") for c in keep])
+    return plain.select(F.col(id_col), "held_out", "found.lang_pred", "found.score",
+                        *[F.col(f"keep_{c}").alias(c) for c in keep])

@@ -1,5 +1,6 @@
 import zlib
 
+from roadcast.llm import language
 from roadcast.llm.language import fit, grams, identify
 
 from .helpers import docs, odd_rows, table
@@ -52,3 +53,21 @@ def test_text_without_letters_is_und(spark):
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in identify(t, fit(t)).collect() if r["doc_id"] > 1000}
     assert {i for i, (lang, _) in got.items() if lang == "und"} == set(range(1001, 1008))
     assert got[1008][0] == "en" or got[1008][1] == 0.0
+
+
+def test_rows_stay_out_of_the_python_workers(spark):
+    """The worker gets a text once and returns its prediction only, whatever columns are kept."""
+    t = table(spark)
+    keep = tuple(c for c in t.columns if c != "doc_id")
+    found = identify(t, fit(t), keep=keep)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("ArrowEvalPython [predict(text") == 1
+    assert sorted(map(str, found.select(*t.columns).collect())) == sorted(map(str, t.collect()))
+
+
+def test_partial_counts_give_the_same_filters(spark, monkeypatch):
+    t = table(spark)
+    whole = fit(t)
+    monkeypatch.setattr(language, "COUNT_AT", 500)
+    parts = fit(t)
+    assert parts.languages == whole.languages and all((a == b).all() for a, b in zip(parts.slices, whole.slices))
