@@ -196,3 +196,53 @@ def test_requests_and_landmarks_are_evaluated_once(spark):
     assert sorted((r.src, r.dst, r.total) for r in out) == [(0, 3, 3), (1, 5, 4)] and seen.value == 2
     plan = G.landmark_table(e, n=2)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "FileScan parquet" in plan
+
+
+def test_edges_are_adjacency_lists(spark):
+    e = spark.createDataFrame([("x", 0, i, i) for i in range(1, 8)] + [("x", 1, 0, 2), ("y", 1, 0, 3), ("x", 1, 0, 5)],
+                              "scen string, src long, dst long, cost long")
+    marks = spark.createDataFrame([("x", 1, [4], [5]), ("x", 9, [6], [None]), ("x", 0, [1], [0])],
+                                  "scen string, id long, to_mark array<long>, from_mark array<long>")
+    plain = {(r.scen, r.src, r.chunk): (sorted(zip(r.dst, r.cost)), r.dst_chunks) for r in G.prepare_edges(e, ["scen"]).collect()}
+    assert plain == {("x", 0, 0): ([(i, i) for i in range(1, 8)], None), ("x", 1, 0): ([(0, 2)], None), ("y", 1, 0): ([(0, 3)], None)}
+    split = G.prepare_edges(e, ["scen"], fanout_chunk=3, landmarks=marks).collect()
+    at = {(r.scen, r.src, r.chunk): r for r in split}
+    assert len(at) == len(split) and {k[2] for k in at if k[:2] == ("x", 0)} == {0, 1, 2}
+    assert sorted(d for k, r in at.items() if k[:2] == ("x", 0) for d in r.dst) == list(range(1, 8))
+    assert at["x", 1, 0].dst_chunks == [3] and at["y", 1, 0].dst_chunks is None
+    assert all(at["x", 0, c].to_mark == [1] for c in range(3)) and at["x", 9, 0].dst == [] and at["y", 1, 0].to_mark is None
+
+
+def test_bounds_wait_until_enough_rows_are_known(spark, monkeypatch):
+    asked = []
+    orig = G._bound
+    monkeypatch.setattr(G, "_bound", lambda *a, **k: asked.append(1) or orig(*a, **k))
+    e = spark.createDataFrame([(0, 1, 1), (1, 2, 1), (0, 2, 5)] + [(i, i + 1, 1) for i in range(10, 30)], "src long, dst long, cost long")
+    far = spark.createDataFrame([(0, 2)] + [(0, i) for i in range(10, 30)], "src long, dst long")
+    got = {r.dst: (r.status, r.total) for r in G.route(e, far).collect()}
+    assert got == {2: ("ok", 2), **{i: ("unreachable", None) for i in range(10, 30)}} and not asked
+    near = spark.createDataFrame([(0, 1)], "src long, dst long")
+    assert [(r.total, r.path) for r in G.route(e, near).collect()] == [(1, [0, 1])] and asked
+
+
+def test_vertices_and_their_edges_come_from_one_aggregate(spark):
+    e = spark.createDataFrame([(0, 1, 4), (0, 2, 3), (1, 2, 1)], "src long, dst long, cost long")
+    assert {r.id: (r.deg, r.least_in) for r in G.vertex_table(e).collect()} == {0: (2, None), 1: (1, 4), 2: (0, 1)}
+
+
+def test_landmark_search_collapses_edges_once(spark, monkeypatch):
+    calls = []
+    orig = G.collapse_edges
+    monkeypatch.setattr(G, "collapse_edges", lambda *a, **k: calls.append(1) or orig(*a, **k))
+    e = spark.createDataFrame([(i, i + 1, 1) for i in range(5)] + [(0, 1, 3), (5, None, 1)], "src long, dst long, cost long")
+    rows = lambda df: sorted((r.id, r.to_mark, r.from_mark) for r in df.collect())     # noqa: E731
+    want = rows(G.landmark_table(e, n=2))
+    assert len(calls) == 1
+    assert rows(G.landmark_table(orig(e), n=2, edges_collapsed=True)) == want and len(calls) == 1
+
+
+def test_scenario_facts_are_joined_once(spark):
+    edges, reqs = GC.scenario_edges(spark, SF)
+    for df in (edges, reqs):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "lineitem" not in plan and "orders" not in plan
